@@ -13,14 +13,14 @@ def _only(col: Column, cond: Column | None) -> Column:
 
 
 def mean_half_up(col: Column, decimals: int, scale: int, precision: int = 18,
-                 cond: Column | None = None) -> Column:
+                 cond: Column | None = None, wide: bool = False) -> Column:
     """AVG(col) [FILTER (WHERE cond)] cast to numeric(precision, scale), exactly rounded.
 
     ``decimals`` is the scale of ``col`` (0 for integers).  Spark's ``avg(decimal)`` rounds to
     scale+4 before any narrowing, so the mean is formed as an exact SUM / COUNT instead.
     """
     v = _only(col, cond)
-    return ratio(F.sum(v), F.count(v), scale, precision, num_scale=decimals)
+    return ratio(F.sum(v), F.count(v), scale, precision, num_scale=decimals, wide=wide)
 
 
 def stddev_decimal(col: Column, scale: int, precision: int = 18, cond: Column | None = None) -> Column:

@@ -15,42 +15,47 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WIDE = "decimal(38,0)"
+LONG = "bigint"
 
 
-def _lit_int(v: int) -> Column:
-    return F.lit(v).cast(WIDE)
+def _lit_int(v: int, wide: bool = True) -> Column:
+    return F.lit(v).cast(WIDE if wide else LONG)
 
 
-def div_half_up(num: Column, den: Column, scale: int = 0, precision: int = 18) -> Column:
+def div_half_up(num: Column, den: Column, scale: int = 0, precision: int = 18,
+                wide: bool = False) -> Column:
     """``num / den`` rounded half away from zero to ``scale`` decimals, as DECIMAL(precision, scale).
 
     ``num`` and ``den`` must be integer-valued. NULL if either is NULL or ``den`` is 0
-    (the NULLIF guard of the reference).
+    (the NULLIF guard of the reference).  The default works on 64-bit integers (primitive
+    arithmetic inside whole-stage codegen; an overflow raises under ANSI mode, it never wraps);
+    ``wide=True`` uses 38-digit decimals for products of several sums (FIP-style constants).
     """
-    n = num.cast(WIDE) * _lit_int(10 ** scale)
-    d = F.nullif(den.cast(WIDE), _lit_int(0))
-    q = F.call_function("div", F.abs(n) * _lit_int(2) + F.abs(d), F.abs(d) * _lit_int(2))
-    signed = F.when((n < 0) != (d < 0), -q).otherwise(q).cast(WIDE)
+    t = WIDE if wide else LONG
+    n = num.cast(t) * _lit_int(10 ** scale, wide)
+    d = F.nullif(den.cast(t), _lit_int(0, wide))
+    q = F.call_function("div", F.abs(n) * _lit_int(2, wide) + F.abs(d), F.abs(d) * _lit_int(2, wide))
+    signed = F.when((n < 0) != (d < 0), -q).otherwise(q).cast(WIDE if wide else "decimal(18,0)")
     if scale:
         signed = signed * F.lit(Decimal(1).scaleb(-scale))
     return signed.cast(f"decimal({precision},{scale})")
 
 
-def scaled(col: Column, decimals: int) -> Column:
+def scaled(col: Column, decimals: int, wide: bool = False) -> Column:
     """Exact integer units of a decimal column (e.g. dollars with 2 decimals -> cents)."""
-    return (col * _lit_int(10 ** decimals)).cast(WIDE)
+    return (col * _lit_int(10 ** decimals, wide)).cast(WIDE if wide else LONG)
 
 
 def ratio(num: Column, den: Column, scale: int, precision: int = 18,
-          num_scale: int = 0, den_scale: int = 0) -> Column:
+          num_scale: int = 0, den_scale: int = 0, wide: bool = False) -> Column:
     """Guarded ratio ``ROUND(num::numeric / NULLIF(den, 0), scale)`` (the reference's metric shape).
 
     ``num_scale``/``den_scale`` declare how many decimals the operands carry so that they can be
     turned into exact integers first.
     """
-    n = scaled(num, num_scale) * _lit_int(10 ** den_scale)
-    d = scaled(den, den_scale) * _lit_int(10 ** num_scale)
-    return div_half_up(n, d, scale, precision)
+    n = scaled(num, num_scale, wide) * _lit_int(10 ** den_scale, wide)
+    d = scaled(den, den_scale, wide) * _lit_int(10 ** num_scale, wide)
+    return div_half_up(n, d, scale, precision, wide)
 
 
 def round_to_bigint(col: Column) -> Column:
@@ -65,6 +70,6 @@ def exact_median(col: Column, decimals: int = 0) -> Column:
     grows with the number of distinct values in a group, not with rows.  Interpolating on
     integers makes the midpoint exact before the single final division.
     """
-    units = scaled(col, decimals).cast("bigint")
+    units = scaled(col, decimals)
     m = F.percentile(units, F.lit(0.5))
     return m / F.lit(float(10 ** decimals)) if decimals else m

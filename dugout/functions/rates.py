@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dugout.functions.numeric import WIDE, div_half_up
+from dugout.functions.numeric import LONG, div_half_up
 
 
 def _z(c: Column) -> Column:
@@ -19,7 +19,7 @@ def innings_pitched(ipouts: Column) -> Column:
 
 def per_nine(stat: Column, ipouts: Column) -> Column:
     """stat * 27 / ipouts as numeric(6,2); NULL unless ipouts > 0 (K/9, BB/9)."""
-    return F.when(ipouts > 0, div_half_up(stat.cast(WIDE) * 27, ipouts, 2, 6))
+    return F.when(ipouts > 0, div_half_up(stat.cast(LONG) * 27, ipouts, 2, 6))
 
 
 def plate_appearances(ab: Column, bb: Column, hbp: Column, sh: Column, sf: Column) -> Column:
@@ -55,11 +55,11 @@ def on_base_plus_slugging(h, b2, b3, hr, bb, hbp, ab, sf) -> Column:
     """
     n1, d1 = _obp_parts(h, bb, hbp, ab, sf)
     n2, d2 = _slg_parts(h, b2, b3, hr, ab)
-    d1 = F.nullif(d1.cast(WIDE), F.lit(0).cast(WIDE))
-    d2 = F.nullif(d2.cast(WIDE), F.lit(0).cast(WIDE))
-    one = F.lit(1).cast(WIDE)
-    t1 = F.when(d1.isNotNull(), n1.cast(WIDE) * F.coalesce(d2, one)).otherwise(F.lit(0).cast(WIDE))
-    t2 = F.when(d2.isNotNull(), n2.cast(WIDE) * F.coalesce(d1, one)).otherwise(F.lit(0).cast(WIDE))
+    d1 = F.nullif(d1.cast(LONG), F.lit(0).cast(LONG))
+    d2 = F.nullif(d2.cast(LONG), F.lit(0).cast(LONG))
+    one = F.lit(1).cast(LONG)
+    t1 = F.when(d1.isNotNull(), n1.cast(LONG) * F.coalesce(d2, one)).otherwise(F.lit(0).cast(LONG))
+    t2 = F.when(d2.isNotNull(), n2.cast(LONG) * F.coalesce(d1, one)).otherwise(F.lit(0).cast(LONG))
     return div_half_up(t1 + t2, F.coalesce(d1, one) * F.coalesce(d2, one), 3, 5)
 
 
@@ -69,22 +69,22 @@ def full_name(first: Column, last: Column) -> Column:
 
 
 def with_pitching_rates(pitching):
-    return (pitching
-            .withColumn("innings_pitched", innings_pitched(F.col("ipouts")))
-            .withColumn("k_per_9", per_nine(F.col("so"), F.col("ipouts")))
-            .withColumn("bb_per_9", per_nine(F.col("bb"), F.col("ipouts"))))
+    ip, so, bb = F.col("ipouts"), F.col("so"), F.col("bb")
+    return pitching.select("*", innings_pitched(ip).alias("innings_pitched"),
+                           per_nine(so, ip).alias("k_per_9"), per_nine(bb, ip).alias("bb_per_9"))
 
 
 def with_batting_rates(batting):
-    c = {k: (F.col(k) if k in batting.columns else F.lit(None).cast("int"))
+    c = {k: (F.col(f"`{k}`") if k in batting.columns else F.lit(None).cast("int"))
          for k in ("ab", "h", "2b", "3b", "hr", "bb", "hbp", "sh", "sf")}
-    return (batting
-            .withColumn("pa", plate_appearances(c["ab"], c["bb"], c["hbp"], c["sh"], c["sf"]))
-            .withColumn("obp", on_base_pct(c["h"], c["bb"], c["hbp"], c["ab"], c["sf"]))
-            .withColumn("slg", slugging_pct(c["h"], c["2b"], c["3b"], c["hr"], c["ab"]))
-            .withColumn("ops", on_base_plus_slugging(c["h"], c["2b"], c["3b"], c["hr"], c["bb"],
-                                                     c["hbp"], c["ab"], c["sf"])))
+    return batting.select(
+        "*",
+        plate_appearances(c["ab"], c["bb"], c["hbp"], c["sh"], c["sf"]).alias("pa"),
+        on_base_pct(c["h"], c["bb"], c["hbp"], c["ab"], c["sf"]).alias("obp"),
+        slugging_pct(c["h"], c["2b"], c["3b"], c["hr"], c["ab"]).alias("slg"),
+        on_base_plus_slugging(c["h"], c["2b"], c["3b"], c["hr"], c["bb"], c["hbp"], c["ab"],
+                              c["sf"]).alias("ops"))
 
 
 def with_full_name(people):
-    return people.withColumn("full_name", full_name(F.col("name_first"), F.col("name_last")))
+    return people.select("*", full_name(F.col("name_first"), F.col("name_last")).alias("full_name"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dugout.functions.aggregates import mean_half_up, stddev_decimal
-from dugout.functions.numeric import WIDE, div_half_up, ratio, scaled
+from dugout.functions.numeric import LONG, div_half_up, ratio, scaled
 from dugout.params import Params
 from dugout.plans.aggregates import team_payroll, team_physiques
 from dugout.plans.sabermetrics import fip_raw
@@ -41,14 +41,14 @@ def mart_pitcher_advanced(stg_pitching: DataFrame, stg_people: DataFrame,
     rounded numeric(6,3) league values, HBP is not coalesced, and the base excludes era = 0.
     """
     base = stg_pitching.where((c("ipouts") >= params.ip_floor) & c("era").isNotNull() & (c("era") > 0))
-    raw = fip_raw(c("home_runs_allowed"), c("walks"), c("hit_batters"), c("strikeouts")).cast(WIDE)
+    raw = fip_raw(c("home_runs_allowed"), c("walks"), c("hit_batters"), c("strikeouts")).cast(LONG)
     ip10 = scaled(c("innings_pitched"), 1)
     base = base.withColumn("_raw", raw).withColumn("_ip10", ip10)
-    per_ip = div_half_up(c("_raw") * 10, c("_ip10"), 12, 30)          # raw / IP, 12 decimals
+    per_ip = div_half_up(c("_raw") * 10, c("_ip10"), 12, 30, wide=True)   # raw / IP, 12 decimals
     league = (base.groupBy("year_id", "lg_id")
               .agg(mean_half_up(c("era"), 2, 3, 6).alias("league_era"),
                    stddev_decimal(c("era"), 3, 6).alias("league_era_stddev"),
-                   mean_half_up(per_ip, 12, 3, 6).alias("lg_raw_fip"))
+                   mean_half_up(per_ip, 12, 3, 6, wide=True).alias("lg_raw_fip"))
               .withColumn("_c_milli", scaled(c("league_era"), 3) - scaled(c("lg_raw_fip"), 3)))
     names = stg_people.select("player_id", c("full_name").alias("pitcher"))
     j = base.join(league, ["year_id", "lg_id"]).join(names, "player_id")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dugout.functions.aggregates import mean_half_up
-from dugout.functions.numeric import WIDE, div_half_up, scaled
+from dugout.functions.numeric import LONG, WIDE, div_half_up, scaled
 from dugout.operators.topk import check_k, top_k
 from dugout.params import Params
 from dugout.plans.aggregates import league_pitching_baseline
@@ -63,9 +63,9 @@ def fip_constants(pitching: DataFrame, params: Params = Params()) -> DataFrame:
     num, den = _cfip_num_den(c("_n"), c("_se"), c("_s"), c("_i"))
     i_nz = F.nullif(c("_i"), F.lit(0))
     return sums.select(*KEYS,
-                       div_half_up(c("_se"), c("_n") * 100, 6, 12).alias("lg_era"),
-                       div_half_up(c("_s") * 3, i_nz, 6, 12).alias("lg_raw_fip"),
-                       div_half_up(num, F.when(i_nz.isNotNull(), den), 6, 12).alias("c_fip"))
+                       div_half_up(c("_se"), c("_n") * 100, 6, 12, wide=True).alias("lg_era"),
+                       div_half_up(c("_s") * 3, i_nz, 6, 12, wide=True).alias("lg_raw_fip"),
+                       div_half_up(num, F.when(i_nz.isNotNull(), den), 6, 12, wide=True).alias("c_fip"))
 
 
 def fip(pitching: DataFrame, params: Params = Params()) -> DataFrame:
@@ -80,8 +80,8 @@ def fip(pitching: DataFrame, params: Params = Params()) -> DataFrame:
     num = r * c("_n").cast(WIDE) * c("_i").cast(WIDE) * 300 + ip * cnum
     return rows.select(
         "player_id", "year_id", "team_id", "lg_id", "stint", "innings_pitched", "era",
-        div_half_up(num, F.when(i_nz.isNotNull(), ip * cden), 2, 8).alias("fip"),
-        div_half_up(cnum, F.when(i_nz.isNotNull(), cden), 6, 12).alias("c_fip"))
+        div_half_up(num, F.when(i_nz.isNotNull(), ip * cden), 2, 8, wide=True).alias("fip"),
+        div_half_up(cnum, F.when(i_nz.isNotNull(), cden), 6, 12, wide=True).alias("c_fip"))
 
 
 def _leaderboard(df: DataFrame, people: DataFrame, name_col: str, order, k: int, cols) -> DataFrame:
@@ -110,7 +110,7 @@ def woba(batting: DataFrame, params: Params = Params()) -> DataFrame:
     den = c("ab") + c("bb") - ibb + sf + hbp
     return (batting.where(c("pa") >= params.pa_floor)
             .select("player_id", "year_id", "team_id", "lg_id", "stint", "pa", "ab", "obp", "slg",
-                    "ops", div_half_up(num, den.cast(WIDE) * 1000, 3, 10).alias("woba")))
+                    "ops", div_half_up(num, den.cast(LONG) * 1000, 3, 10).alias("woba")))
 
 
 def woba_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10) -> DataFrame:
@@ -138,8 +138,9 @@ def era_adjusted(pitching: DataFrame, params: Params = Params(),
         F.ntile(100).over(bucket).alias("era_percentile"))
 
 
-def era_plus_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10) -> DataFrame:
-    return _leaderboard(era_adjusted(wh.pitching, params), wh.people, "pitcher",
+def era_plus_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10,
+                         baseline: DataFrame | None = None) -> DataFrame:
+    return _leaderboard(era_adjusted(wh.pitching, params, baseline), wh.people, "pitcher",
                         [c("era_plus").desc_nulls_last(), c("player_id"), c("year_id"), c("stint")], k,
                         ["year_id", "team_id", "innings_pitched", "era", "league_era_mean",
                          "era_z_score", "era_plus"])
@@ -164,7 +165,7 @@ def batting_war(batting: DataFrame, params: Params = Params()) -> DataFrame:
     scale_c = Decimal(params.woba_scale) * 100          # 1.20 -> 120
     if scale_c != scale_c.to_integral_value():
         raise ValueError("woba_scale must have at most 2 decimals")
-    num = (scaled(c("woba"), 3) - scaled(c("lg_woba"), 3)) * c("pa").cast(WIDE)
+    num = (scaled(c("woba"), 3) - scaled(c("lg_woba"), 3)) * c("pa").cast(LONG)
     return (w.join(lg, KEYS)
             .select("player_id", "year_id", "team_id", "lg_id", "stint", "pa", "woba", "lg_woba",
                     div_half_up(num, F.lit(int(scale_c)), 2, 10).alias("war_proxy")))

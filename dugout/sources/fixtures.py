@@ -138,14 +138,24 @@ def teams(nation: DataFrame, orders: DataFrame) -> DataFrame:
                     (F.lit(162) - wins).cast("int").alias("l")))
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The five raw tables (without derived columns) as lazy plans over TESTDATA."""
-    t = {n: read(spark, sf_dir, n) for n in ("nation", "customer", "orders", "lineitem")}
-    s = season(t["orders"], t["lineitem"], t["customer"])
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict:
+    """The five raw tables (without derived columns) as lazily built plans over TESTDATA."""
+    cache: dict[str, DataFrame] = {}
+
+    def src(name: str) -> DataFrame:
+        if name not in cache:
+            cache[name] = read(spark, sf_dir, name)
+        return cache[name]
+
+    def seasons() -> DataFrame:
+        if "_season" not in cache:
+            cache["_season"] = season(src("orders"), src("lineitem"), src("customer"))
+        return cache["_season"]
+
     return {
-        "people": people(t["customer"], t["nation"]),
-        "teams": teams(t["nation"], t["orders"]),
-        "batting": batting(s),
-        "pitching": pitching(s),
-        "salaries": salaries(t["orders"], t["customer"]),
+        "people": lambda: people(src("customer"), src("nation")),
+        "teams": lambda: teams(src("nation"), src("orders")),
+        "batting": lambda: batting(seasons()),
+        "pitching": lambda: pitching(seasons()),
+        "salaries": lambda: salaries(src("orders"), src("customer")),
     }

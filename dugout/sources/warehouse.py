@@ -1,32 +1,47 @@
-"""The raw layer: five typed tables with their stored derived columns."""
+"""The raw layer: five typed tables with their stored derived columns.
+
+Tables are built lazily on first access, so a query only pays for the tables it reads
+(plan construction is not free: every DataFrame step is analysed on the driver).
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from dugout.functions.rates import with_batting_rates, with_full_name, with_pitching_rates
 
+TABLE_NAMES = ("people", "teams", "batting", "pitching", "salaries")
+_DERIVE = {"people": with_full_name, "batting": with_batting_rates, "pitching": with_pitching_rates}
+
 
-@dataclass(frozen=True)
 class Warehouse:
-    people: DataFrame
-    teams: DataFrame
-    batting: DataFrame
-    pitching: DataFrame
-    salaries: DataFrame
+    def __init__(self, tables: dict[str, DataFrame | Callable[[], DataFrame]]):
+        self._src = dict(tables)
+        self._built: dict[str, DataFrame] = {}
+
+    def _get(self, name: str) -> DataFrame:
+        if name not in self._built:
+            src = self._src[name]
+            self._built[name] = src() if callable(src) else src
+        return self._built[name]
+
+    people = property(lambda self: self._get("people"))
+    teams = property(lambda self: self._get("teams"))
+    batting = property(lambda self: self._get("batting"))
+    pitching = property(lambda self: self._get("pitching"))
+    salaries = property(lambda self: self._get("salaries"))
 
     @staticmethod
-    def derive(raw: dict[str, DataFrame]) -> "Warehouse":
+    def derive(raw: dict[str, DataFrame | Callable[[], DataFrame]]) -> "Warehouse":
         """Add the load-time generated columns (IP, K/9, BB/9, PA, OBP, SLG, OPS, full_name)."""
-        return Warehouse(
-            people=with_full_name(raw["people"]),
-            teams=raw["teams"],
-            batting=with_batting_rates(raw["batting"]),
-            pitching=with_pitching_rates(raw["pitching"]),
-            salaries=raw["salaries"],
-        )
+        def lazy(name):
+            src = raw[name]
+            get = src if callable(src) else (lambda: src)
+            fn = _DERIVE.get(name)
+            return (lambda: fn(get())) if fn else get
+        return Warehouse({n: lazy(n) for n in TABLE_NAMES})
 
     @staticmethod
     def from_testdata(spark: SparkSession, sf_dir: str) -> "Warehouse":
@@ -37,9 +52,7 @@ class Warehouse:
     def from_parquet(spark: SparkSession, root: str) -> "Warehouse":
         """Tables written by ``dugout.sources.loader.load_all`` (derived columns already stored)."""
         from dugout.sources.sinks import read_layer
-        return Warehouse(**{t: read_layer(spark, root, "raw", t)
-                            for t in ("people", "teams", "batting", "pitching", "salaries")})
+        return Warehouse({t: (lambda t=t: read_layer(spark, root, "raw", t)) for t in TABLE_NAMES})
 
     def tables(self) -> dict[str, DataFrame]:
-        return {"people": self.people, "teams": self.teams, "batting": self.batting,
-                "pitching": self.pitching, "salaries": self.salaries}
+        return {n: self._get(n) for n in TABLE_NAMES}
