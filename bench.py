@@ -45,8 +45,12 @@ def main() -> None:
     refresh_aggregates(wh, root, p)
     load_s = time.time() - t0
 
+    # like a long-running service, hold one DataFrame handle per published aggregate
+    mvs = {n: read_layer(spark, root, "analytics", n)
+           for n in ("mv_team_payroll", "mv_team_physiques", "mv_league_pitching_baseline")}
+
     def mv(name):
-        return read_layer(spark, root, "analytics", name)
+        return mvs[name]
 
     headline = {
         "award_heaviest": lambda: J.heaviest_hitters(wh, physiques=mv("mv_team_physiques")),

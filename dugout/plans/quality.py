@@ -171,19 +171,37 @@ MART_SUITE = {
 }
 
 
-def staging_models(wh: Warehouse, params: Params = Params()) -> dict[str, DataFrame]:
+class LazyModels(dict):
+    """name -> DataFrame mapping whose values are built on first lookup (plans are not free)."""
+
+    def __init__(self, builders):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, key):
+        self[key] = self._builders[key]()
+        return self[key]
+
+    def keys(self):  # noqa: D401 - all model names, built or not
+        return self._builders.keys()
+
+
+def staging_models(wh: Warehouse, params: Params = Params()) -> LazyModels:
     from dugout.plans import staging as S
-    return {"stg_people": S.stg_people(wh.people), "stg_teams": S.stg_teams(wh.teams, params),
-            "stg_batting": S.stg_batting(wh.batting), "stg_pitching": S.stg_pitching(wh.pitching),
-            "stg_salaries": S.stg_salaries(wh.salaries)}
+    return LazyModels({"stg_people": lambda: S.stg_people(wh.people),
+                       "stg_teams": lambda: S.stg_teams(wh.teams, params),
+                       "stg_batting": lambda: S.stg_batting(wh.batting),
+                       "stg_pitching": lambda: S.stg_pitching(wh.pitching),
+                       "stg_salaries": lambda: S.stg_salaries(wh.salaries)})
 
 
-def mart_models(wh: Warehouse, params: Params = Params()) -> dict[str, DataFrame]:
+def mart_models(wh: Warehouse, params: Params = Params()) -> LazyModels:
     from dugout.plans import marts as M
     st = staging_models(wh, params)
-    return {"mart_team_payroll": M.mart_team_payroll(st["stg_salaries"], st["stg_teams"]),
-            "mart_pitcher_advanced": M.mart_pitcher_advanced(st["stg_pitching"], st["stg_people"], params),
-            "mart_team_physiques": M.mart_team_physiques(st["stg_batting"], st["stg_people"])}
+    return LazyModels({
+        "mart_team_payroll": lambda: M.mart_team_payroll(st["stg_salaries"], st["stg_teams"]),
+        "mart_pitcher_advanced": lambda: M.mart_pitcher_advanced(st["stg_pitching"], st["stg_people"], params),
+        "mart_team_physiques": lambda: M.mart_team_physiques(st["stg_batting"], st["stg_people"])})
 
 
 def expect_sources(wh: Warehouse) -> DataFrame:
