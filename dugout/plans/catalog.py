@@ -104,6 +104,7 @@ QUERIES: dict[str, Query] = {
     "expect_sources": _stg(lambda w: M.expect_sources(w)),
     "expect_staging": _stg(lambda w: M.expect_staging(w, P)),
     "expect_marts": _stg(lambda w: M.expect_marts(w, P)),
+    "award_checks": _stg(lambda w: M.award_checks(w, P)),
     # A / N
     "row_counts": _stg(lambda w: row_counts(w.tables())),
     "querylog_stats": lambda s, d: N.statement_stats(read(s, d, "events")),

@@ -214,3 +214,64 @@ def expect_staging(wh: Warehouse, params: Params = Params()) -> DataFrame:
 
 def expect_marts(wh: Warehouse, params: Params = Params()) -> DataFrame:
     return X.evaluate_all(mart_models(wh, params), MART_SUITE)
+
+
+# ---- award invariants (the imperative assertions, as expectation rows) -----------------------
+
+def _assertions(df: DataFrame, checks: list[tuple[str, Column]]) -> DataFrame:
+    """One (check_name, passed) row per check over a 0/1-row DataFrame; a missing row or a NULL
+    condition counts as failed (``IF cond THEN ok ELSE raise``)."""
+    agg = df.agg(*[F.coalesce(F.bool_and(F.coalesce(cond, F.lit(False))), F.lit(False)).alias(f"c{i}")
+                   for i, (_, cond) in enumerate(checks)])
+    return agg.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("check_name"), F.col(f"c{i}").alias("passed"))
+        for i, (name, _) in enumerate(checks)])))
+
+
+def award_checks(wh: Warehouse, params: Params = Params(), years: tuple[int, int] = (1871, 2030)) -> DataFrame:
+    """The 23 winner/structure assertions; ``passed`` is false wherever an invariant fails."""
+    from dugout.operators.topk import top_k
+    from dugout.plans import aggregates as A
+    from dugout.plans import awards as J
+    from dugout.plans import sabermetrics as K
+    phys = A.team_physiques(wh.batting, wh.people)
+    pay = A.team_payroll(wh.salaries)
+    heavy = top_k(phys, [c("avg_weight_lbs").desc_nulls_last(), c("team_id"), c("year_id")], 1)
+    short = top_k(phys, [c("avg_height_in").asc_nulls_last(), c("team_id"), c("year_id")], 1)
+    spend = top_k(pay, [c("total_payroll_usd").desc_nulls_first(), c("year_id"), c("team_id")], 1)
+    bang = top_k(J.cost_per_win(wh, params.season, pay),
+                 [c("cost_per_win_usd").asc_nulls_last(), c("team_id"), c("lg_id")], 1)
+    start = top_k(J.starter_costs(wh, params),
+                  [c("cost_per_start_usd").desc_nulls_last(), c("player_id"), c("year_id"), c("stint")], 1)
+    ace = top_k(J._ace_pool(wh, params, None),
+                [c("era").asc(), c("ipouts").desc(), c("player_id"), c("year_id"), c("stint")], 1)
+    parts = [
+        _assertions(heavy, [("heaviest hitters: team_id present", c("team_id").isNotNull()),
+                            ("heaviest hitters: year in range", c("year_id").between(*years)),
+                            ("heaviest hitters: >= 5 batters", c("batter_appearances") >= 5),
+                            ("heaviest hitters: realistic weight", c("avg_weight_lbs").between(150, 280))]),
+        _assertions(short, [("shortest sluggers: team_id present", c("team_id").isNotNull()),
+                            ("shortest sluggers: realistic height", c("avg_height_in").between(60, 80)),
+                            ("shortest sluggers: >= 5 batters", c("batter_appearances") >= 5)]),
+        _assertions(spend, [("biggest spenders: > $1M payroll", c("total_payroll_usd") > 1000000),
+                            ("biggest spenders: from salary era", c("year_id") >= 1985),
+                            ("biggest spenders: roster_size > 0", c("roster_size") > 0)]),
+        _assertions(bang, [(f"bang for buck: year = {params.season}", c("year_id") == params.season),
+                           ("bang for buck: wins > 0", c("wins") > 0),
+                           ("bang for buck: cost_per_win > 0", c("cost_per_win_usd") > 0)]),
+        _assertions(start, [(f"priciest starter: gs >= {params.gs_floor} enforced", c("gs") >= params.gs_floor),
+                            ("priciest starter: salary > 0", c("salary") > 0),
+                            ("priciest starter: cost_per_start > 0", c("cost_per_start_usd") > 0)]),
+        _assertions(ace, [("canadian ace: team in list", c("team_id").isin(*params.team_list)),
+                          ("canadian ace: era > 0 (no zero-noise)", c("era") > 0),
+                          (f"canadian ace: ipouts >= {params.ip_floor}", c("ipouts") >= params.ip_floor)]),
+    ]
+    for name, df in [("v_fip", K.fip(wh.pitching, params)), ("v_woba", K.woba(wh.batting, params)),
+                     ("v_era_adjusted", K.era_adjusted(wh.pitching, params)),
+                     ("v_pitching_war_proxy", K.pitching_war(wh.pitching, params))]:
+        parts.append(df.agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(f"sabermetrics: {name} returns rows").alias("check_name"), (c("n") > 0).alias("passed")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
