@@ -1,0 +1 @@
+"""Structured Streaming forms of the rollups whose source is an append-only log."""

@@ -1,0 +1,74 @@
+"""Continuously maintained statement statistics over an append-only execution log.
+
+The reference's statement-statistics view is a set of cumulative counters kept by the server
+(calls, total and mean time, spread) that grow as statements run.  The Spark form is a stateful
+streaming aggregation: one state row per normalised statement, updated per micro-batch from
+running sums (count, sum, sum of squares) so mean and population stddev are derived exactly at
+read time.  State size is bounded by the number of distinct statements, not by log volume;
+progress and state live in the checkpoint folder so a restarted or relocated driver resumes
+where it stopped.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from dugout.functions.numeric import div_half_up
+from dugout.functions.text import fingerprint
+from dugout.session import shared_dir
+
+c = F.col
+
+
+def log_stream(spark: SparkSession, path: str, schema, glob: str | None = None,
+               files_per_trigger: int = 100) -> DataFrame:
+    """Parquet log files appearing under ``path`` as a stream (explicit schema, no inference)."""
+    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    return r.parquet(path)
+
+
+def running_sums(log: DataFrame, text_col: str = "event_type", ms_col: str = "value",
+                 exclude: str | None = "%pg_stat_statements%", width: int = 90) -> DataFrame:
+    """Per statement: calls, sum(ms) and sum(ms^2) in exact integer hundredths."""
+    df = log.where(~c(text_col).ilike(exclude)) if exclude else log
+    cents = (c(ms_col).cast("decimal(18,2)") * 100).cast("bigint")
+    return (df.select(fingerprint(c(text_col), width).alias("query"), cents.alias("cents"))
+            .groupBy("query")
+            .agg(F.count(F.lit(1)).alias("calls"), F.sum("cents").alias("sum_cents"),
+                 F.sum(c("cents").cast("decimal(38,0)") * c("cents")).alias("sumsq_cents")))
+
+
+def finalize(sums: DataFrame, k: int | None = 15) -> DataFrame:
+    """calls, mean_ms, stddev_ms (population), total_s from the running sums; slowest first."""
+    n, s, q = c("calls"), c("sum_cents"), c("sumsq_cents")
+    var_num = q * n - s.cast("decimal(38,0)") * s              # n^2 * variance, in cents^2
+    out = sums.select(
+        "query", "calls",
+        div_half_up(s, n * 100, 2, 18).alias("mean_ms"),
+        (F.sqrt(var_num.cast("double")) / (n * 100)).cast("decimal(18,2)").alias("stddev_ms"),
+        div_half_up(s, F.lit(100000), 2, 18).alias("total_s"))
+    ordered = out.orderBy(c("mean_ms").desc_nulls_last(), "query")
+    return ordered.limit(k) if k else ordered
+
+
+def start(log: DataFrame, sink: str, checkpoint: str | None = None,
+          trigger_available_now: bool = True, **kw) -> StreamingQuery:
+    """Start the rollup.
+
+    ``sink`` is a memory-table name (tests) or a folder path: each micro-batch then overwrites the
+    small per-statement state table there.  The checkpoint goes to the cluster's shared folder.
+    """
+    spark = log.sparkSession
+    tag = sink.rstrip("/").split("/")[-1]
+    ckpt = checkpoint or f"{shared_dir(spark).rstrip('/')}/querylog-{tag}"
+    w = running_sums(log, **kw).writeStream.outputMode("complete").option("checkpointLocation", ckpt)
+    if "/" in sink:
+        w = w.foreachBatch(lambda batch, _id: batch.write.mode("overwrite").parquet(sink))
+    else:
+        w = w.format("memory").queryName(sink)
+    w = w.trigger(availableNow=True) if trigger_available_now else w.trigger(processingTime="10 seconds")
+    return w.start()
