@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dugout.functions.aggregates import mean_half_up
 from dugout.functions.numeric import LONG, WIDE, div_half_up, scaled
+from dugout.operators.ntile import ntile
 from dugout.operators.topk import check_k, top_k
 from dugout.params import Params
 from dugout.plans.aggregates import league_pitching_baseline
@@ -129,13 +130,15 @@ def era_adjusted(pitching: DataFrame, params: Params = Params(),
     rows = (pitching.where((c("ipouts") >= params.ip_floor) & c("era").isNotNull() & (c("era") > 0))
             .join(b.select(*KEYS, "league_era_mean", "league_era_stddev"), KEYS))
     e, m, s = scaled(c("era"), 2), scaled(c("league_era_mean"), 3), scaled(c("league_era_stddev"), 3)
-    bucket = Window.partitionBy(*KEYS).orderBy(c("era").asc(), c("player_id"), c("stint"))
-    return rows.select(
+    scored = rows.select(
         "player_id", "year_id", "team_id", "lg_id", "stint", "innings_pitched", "era",
         "league_era_mean", "league_era_stddev",
         div_half_up(e * 10 - m, s, 3, 10).alias("era_z_score"),
-        div_half_up(m * 10, e, 0, 10).cast("int").alias("era_plus"),
-        F.ntile(100).over(bucket).alias("era_percentile"))
+        div_half_up(m * 10, e, 0, 10).cast("int").alias("era_plus"))
+    # NTILE(100) per league-season, lowest ERA first; range-sliced so a hot league-season is
+    # numbered by many tasks (see dugout.operators.ntile)
+    return ntile(scored, 100, KEYS, [c("era").asc(), c("player_id").asc(), c("stint").asc()],
+                 "era_percentile")
 
 
 def era_plus_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10,
