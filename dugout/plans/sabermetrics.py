@@ -175,17 +175,18 @@ def batting_war(batting: DataFrame, params: Params = Params()) -> DataFrame:
 
 
 def war_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10) -> DataFrame:
-    """Batters and pitchers in one list (role B/P; IP NULL for batters), best WAR first."""
+    """Batters and pitchers in one list (role B/P; IP NULL for batters), best WAR first.
+
+    The two WAR sets are unioned first so the name lookup is a single join."""
     check_k(k)
     names = wh.people.select("player_id", c("full_name").alias("player"))
-    bat = (batting_war(wh.batting, params).join(names, "player_id")
-           .select("player", "year_id", "team_id", F.lit("B").alias("role"),
-                   F.lit(None).cast("decimal(6,1)").alias("ip"), "war_proxy", "player_id", "stint"))
-    pit = (pitching_war(wh.pitching, params).join(names, "player_id")
-           .select("player", "year_id", "team_id", F.lit("P").alias("role"),
-                   c("innings_pitched").cast("decimal(6,1)").alias("ip"), "war_proxy", "player_id",
-                   "stint"))
-    both = bat.unionByName(pit)
+    bat = (batting_war(wh.batting, params)
+           .select("player_id", "year_id", "team_id", "stint", F.lit("B").alias("role"),
+                   F.lit(None).cast("decimal(6,1)").alias("ip"), "war_proxy"))
+    pit = (pitching_war(wh.pitching, params)
+           .select("player_id", "year_id", "team_id", "stint", F.lit("P").alias("role"),
+                   c("innings_pitched").cast("decimal(6,1)").alias("ip"), "war_proxy"))
+    both = bat.unionByName(pit).join(names, "player_id")
     return (top_k(both, [c("war_proxy").desc_nulls_last(), c("role"), c("player_id"), c("year_id"),
                          c("stint")], k)
             .select("player", "year_id", "team_id", "role", "ip", "war_proxy"))
