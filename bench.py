@@ -26,8 +26,9 @@ from dugout.plans import awards as J  # noqa: E402
 from dugout.plans import quality as M  # noqa: E402
 from dugout.plans import sabermetrics as K  # noqa: E402
 from dugout.session import build_session, shared_dir  # noqa: E402
-from dugout.sources.sinks import read_layer, refresh_aggregates, write_layer  # noqa: E402
-from dugout.sources.warehouse import TABLE_NAMES, Warehouse  # noqa: E402
+from dugout.sources.fixtures import persist_raw  # noqa: E402
+from dugout.sources.sinks import read_layer, refresh_aggregates  # noqa: E402
+from dugout.sources.warehouse import Warehouse  # noqa: E402
 
 
 def main() -> None:
@@ -38,11 +39,7 @@ def main() -> None:
     p = Params.fixture()
 
     t0 = time.time()
-    src = Warehouse.from_testdata(spark, sf_dir)
-    for t in TABLE_NAMES:
-        # fact tables are laid out by season so season-filtered awards prune whole folders
-        part = ("year_id",) if t in ("batting", "pitching", "salaries") else ()
-        write_layer(getattr(src, t), root, "raw", t, partition_by=part)
+    persist_raw(spark, sf_dir, root)
     wh = Warehouse.from_parquet(spark, root)
     refresh_aggregates(wh, root, p)
     load_s = time.time() - t0

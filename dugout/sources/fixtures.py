@@ -159,3 +159,28 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict:
         "pitching": lambda: pitching(seasons()),
         "salaries": lambda: salaries(src("orders"), src("customer")),
     }
+
+
+def persist_raw(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Load job: derive the raw layer from TESTDATA and persist it under ``root/raw``.
+
+    The season helper (the only step that reads lineitem) is written once to the shared folder
+    and both batting and pitching are derived from that copy, so lineitem is scanned once and a
+    lost executor later in the job recomputes from the written table, not from lineitem.
+    Fact tables are laid out by season.
+    """
+    from dugout.sources.sinks import write_layer
+    from dugout.sources.warehouse import Warehouse
+    t = {n: read(spark, sf_dir, n) for n in ("nation", "customer", "orders", "lineitem")}
+    season_path = write_layer(season(t["orders"], t["lineitem"], t["customer"]), root, "work", "season")
+    s = spark.read.parquet(season_path)
+    wh = Warehouse.derive({
+        "people": people(t["customer"], t["nation"]),
+        "teams": teams(t["nation"], t["orders"]),
+        "batting": batting(s),
+        "pitching": pitching(s),
+        "salaries": salaries(t["orders"], t["customer"]),
+    })
+    for name, df in wh.tables().items():
+        part = ("year_id",) if name in ("batting", "pitching", "salaries") else ()
+        write_layer(df, root, "raw", name, partition_by=part)
