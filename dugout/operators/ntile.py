@@ -1,47 +1,49 @@
 """NTILE that does not funnel a hot group through one task.
 
-``F.ntile(n).over(Window.partitionBy(g).orderBy(o))`` shuffles every row of a group to one task
-and sorts it there; a league-season holding a third of all rows would make that task the whole
-job.  Here the rows are range-partitioned on (group, order) instead, so a hot group is split
-across many tasks by its sort key; each task numbers its slice locally, and the slice offsets come
-from a small per-(slice, group) count table (at most partitions x groups rows).  The bucket then
-follows arithmetically from the global row number and the group size, exactly as NTILE assigns
-it: the first ``size % n`` buckets get one extra row.
-
-The order must be total (end it with a unique key) for the numbering to be deterministic.
+``F.ntile(n).over(Window.partitionBy(g).orderBy(v, k))`` shuffles every row of a group to one
+task and sorts it there; a league-season holding a third of all rows would make that task the
+whole job.  Here the global row number inside a group is assembled from two smaller pieces:
+
+* a histogram (group, v) -> count, built with partial aggregation, whose running sum over v
+  (a window over *distinct values*, not rows) gives the number of rows ranked before each value;
+* the position among rows that share the same (group, v), ordered by the tie-break key.
+
+The bucket then follows arithmetically from the row number and the group size, exactly as NTILE
+assigns it: the first ``size % n`` buckets get one extra row.  Everything is deterministic (no
+partition ids), so recomputation after a lost executor yields the same numbering.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def ntile(df: DataFrame, n: int, partition_by: Sequence[str], order_by: Sequence[Column],
-          out_col: str = "ntile", slices: int | None = None) -> DataFrame:
+def ntile(df: DataFrame, n: int, partition_by: Sequence[str], value: str,
+          tiebreak: Sequence[str], out_col: str = "ntile") -> DataFrame:
+    """NTILE(n) OVER (PARTITION BY partition_by ORDER BY value ASC, *tiebreak ASC).
+
+    ``(partition_by, value, tiebreak)`` must identify rows uniquely for a deterministic order.
+    """
     if n < 1:
         raise ValueError("n must be >= 1")
-    spark = df.sparkSession
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(k) for k in partition_by]
-    ranged = (df.repartitionByRange(slices, *keys, *order_by)
-              .withColumn("_slice", F.spark_partition_id()))
-    local = ranged.withColumn(
-        "_lrn", F.row_number().over(Window.partitionBy("_slice", *partition_by).orderBy(*order_by)))
-    counts = local.groupBy("_slice", *partition_by).agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(*partition_by).orderBy("_slice").rowsBetween(
+    keys = list(partition_by)
+    hist = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*partition_by)
-    offsets = counts.select("_slice", *partition_by,
-                            F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-                            F.sum("_cnt").over(whole).alias("_size"))
-    j = local.join(offsets, ["_slice", *partition_by])
-    r = F.col("_off") + F.col("_lrn")              # 1-based row number within the group
+    cum = hist.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.col(value).alias("_h_v"),
+                      F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"),
+                      F.sum("_c").over(Window.partitionBy(*keys)).alias("_size"))
+    order = [F.col(t).asc_nulls_first() for t in tiebreak] or [F.col(value)]
+    within = df.withColumn("_r2", F.row_number().over(Window.partitionBy(*keys, value).orderBy(*order)))
+    cond = [within[k].eqNullSafe(cum[f"_h_{k}"]) for k in keys] + [within[value].eqNullSafe(cum["_h_v"])]
+    j = within.join(cum, cond)
+    r = F.col("_before") + F.col("_r2")            # 1-based row number within the group
     q = F.floor(F.col("_size") / n).cast("long")
     rem = (F.col("_size") % n).cast("long")
     big = rem * (q + 1)                            # rows held by the (q+1)-sized buckets
     bucket = F.when(r <= big, F.floor((r - 1) / (q + 1)) + 1).otherwise(
         rem + F.floor((r - big - 1) / q) + 1)
-    return j.select(*[F.col(f"`{x}`") for x in df.columns], bucket.cast("int").alias(out_col))
+    return j.select(*[within[f"`{x}`"] for x in df.columns], bucket.cast("int").alias(out_col))

@@ -135,10 +135,9 @@ def era_adjusted(pitching: DataFrame, params: Params = Params(),
         "league_era_mean", "league_era_stddev",
         div_half_up(e * 10 - m, s, 3, 10).alias("era_z_score"),
         div_half_up(m * 10, e, 0, 10).cast("int").alias("era_plus"))
-    # NTILE(100) per league-season, lowest ERA first; range-sliced so a hot league-season is
-    # numbered by many tasks (see dugout.operators.ntile)
-    return ntile(scored, 100, KEYS, [c("era").asc(), c("player_id").asc(), c("stint").asc()],
-                 "era_percentile")
+    # NTILE(100) per league-season, lowest ERA first; numbered from a value histogram so a hot
+    # league-season is not sorted by one task (see dugout.operators.ntile)
+    return ntile(scored, 100, KEYS, "era", ["player_id", "stint"], "era_percentile")
 
 
 def era_plus_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10,

@@ -1,4 +1,4 @@
-"""Range-sliced NTILE equals the window NTILE, including a group holding most rows."""
+"""Histogram-numbered NTILE equals the window NTILE, including a group holding most rows."""
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -12,10 +12,10 @@ def test_ntile_matches_window_with_hot_group(spark):
           .withColumn("v", (F.col("id") * 7919) % 101))
     order = [F.col("v").asc(), F.col("id").asc()]
     want = df.withColumn("b", F.ntile(100).over(Window.partitionBy("g").orderBy(*order)))
-    got = ntile(df, 100, ["g"], order, "b", slices=16)
+    got = ntile(df, 100, ["g"], "v", ["id"], "b")
     assert got.count() == df.count()
     diff = got.select("id", "g", "v", "b").exceptAll(want.select("id", "g", "v", "b")).count()
     assert diff == 0
     small = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3), ("b", 1)], "g string, v int")
-    rows = {(r.g, r.v): r.b for r in ntile(small, 100, ["g"], [F.col("v")], "b", slices=4).collect()}
+    rows = {(r.g, r.v): r.b for r in ntile(small, 100, ["g"], "v", [], "b").collect()}
     assert rows == {("a", 1): 1, ("a", 2): 2, ("a", 3): 3, ("b", 1): 1}
