@@ -9,6 +9,7 @@ window's exchange, so only candidate rows travel.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,3 +34,17 @@ def rank_filter(df: DataFrame, order: Sequence[Column], max_rank: int = 1,
     w = Window.partitionBy(*partition_by).orderBy(*order) if partition_by else Window.orderBy(*order)
     return (df.withColumn(rank_col, F.rank().over(w))
             .where(F.col(rank_col) <= max_rank))
+
+
+def first_rank(df: DataFrame, order: Sequence[tuple[str, bool]], rank_col: str = "rank") -> DataFrame:
+    """Rows with RANK() = 1 under ``order`` ((column, ascending) pairs), without a global window.
+
+    The best key is a top-1 (per-partition heaps, one tiny merge); the tied rows are then picked
+    with a left-semi join against that one-row key (null-safe), so even when a large share of the
+    input ties for first no single task has to sort it.
+    """
+    cols = [c for c, _ in order]
+    best = top_k(df.select(*cols), [F.col(c).asc() if a else F.col(c).desc() for c, a in order], 1)
+    best = best.select(*[F.col(c).alias(f"_best_{c}") for c in cols])
+    cond = reduce(lambda a, b: a & b, [df[c].eqNullSafe(best[f"_best_{c}"]) for c in cols])
+    return df.join(best, cond, "left_semi").withColumn(rank_col, F.lit(1))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from dugout.functions.numeric import ratio
 from dugout.functions.text import millions, season_label
 from dugout.operators.joins import lookup
-from dugout.operators.topk import rank_filter, top_k
+from dugout.operators.topk import first_rank, rank_filter, top_k
 from dugout.params import Params
 from dugout.plans.aggregates import team_payroll, team_physiques
 from dugout.sources.warehouse import Warehouse
@@ -145,8 +145,8 @@ def _ace_pool(wh: Warehouse, params: Params, min_ipouts: int | None) -> DataFram
 
 def team_ace(wh: Warehouse, params: Params = Params(), min_ipouts: int | None = None) -> DataFrame:
     """Lowest qualified ERA among the listed teams: RANK() by (era ASC, ipouts DESC) = 1."""
-    ranked = rank_filter(_ace_pool(wh, params, min_ipouts), [c("era").asc(), c("ipouts").desc()],
-                         1, rank_col="canadian_era_rank")
+    ranked = first_rank(_ace_pool(wh, params, min_ipouts), [("era", True), ("ipouts", False)],
+                        rank_col="canadian_era_rank")
     # rank over all qualifiers, then the inner people join, then one row of rank 1
     top = top_k(ranked.join(_names(wh, "pitcher"), "player_id"),
                 [c("player_id"), c("year_id"), c("stint")], 1)

@@ -40,6 +40,17 @@ def test_rank_filter_uses_window_group_limit(spark):
     assert "WindowGroupLimit" in plan
 
 
+def test_first_rank_matches_rank_window(spark):
+    from dugout.operators.topk import first_rank
+    df = spark.createDataFrame([(1, 2.0, 5), (2, 2.0, 5), (3, 2.0, 4), (4, 1.0, None), (5, 1.0, None)],
+                               "id int, era double, ip int")
+    got = sorted(r.id for r in first_rank(df, [("era", False), ("ip", True)]).collect())
+    want = sorted(r.id for r in rank_filter(df, [F.col("era").desc(), F.col("ip").asc()], 1).collect())
+    assert got == want == [3]
+    nulls = sorted(r.id for r in first_rank(df, [("era", True), ("ip", True)]).collect())
+    assert nulls == [4, 5]                      # NULLs tie with each other (null-safe)
+
+
 def test_pushdown_pruning_and_inferred_season_filter(spark):
     wh = _persisted(spark)
     p = Params.fixture()
