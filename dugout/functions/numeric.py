@@ -18,10 +18,6 @@ WIDE = "decimal(38,0)"
 LONG = "bigint"
 
 
-def _lit_int(v: int, wide: bool = True) -> Column:
-    return F.lit(v).cast(WIDE if wide else LONG)
-
-
 def div_half_up(num: Column, den: Column, scale: int = 0, precision: int = 18,
                 wide: bool = False) -> Column:
     """``num / den`` rounded half away from zero to ``scale`` decimals, as DECIMAL(precision, scale).
@@ -32,9 +28,12 @@ def div_half_up(num: Column, den: Column, scale: int = 0, precision: int = 18,
     ``wide=True`` uses 38-digit decimals for products of several sums (FIP-style constants).
     """
     t = WIDE if wide else LONG
-    n = num.cast(t) * _lit_int(10 ** scale, wide)
-    d = F.nullif(den.cast(t), _lit_int(0, wide))
-    q = F.call_function("div", F.abs(n) * _lit_int(2, wide) + F.abs(d), F.abs(d) * _lit_int(2, wide))
+    n = num.cast(t)
+    if scale:
+        n = n * (10 ** scale)
+    d = F.nullif(den.cast(t), F.lit(0))
+    ad = F.abs(d)
+    q = F.call_function("div", F.abs(n) * 2 + ad, ad * 2)
     signed = F.when((n < 0) != (d < 0), -q).otherwise(q).cast(WIDE if wide else "decimal(18,0)")
     if scale:
         signed = signed * F.lit(Decimal(1).scaleb(-scale))
@@ -43,7 +42,7 @@ def div_half_up(num: Column, den: Column, scale: int = 0, precision: int = 18,
 
 def scaled(col: Column, decimals: int, wide: bool = False) -> Column:
     """Exact integer units of a decimal column (e.g. dollars with 2 decimals -> cents)."""
-    return (col * _lit_int(10 ** decimals, wide)).cast(WIDE if wide else LONG)
+    return (col * (10 ** decimals) if decimals else col).cast(WIDE if wide else LONG)
 
 
 def ratio(num: Column, den: Column, scale: int, precision: int = 18,
@@ -53,8 +52,12 @@ def ratio(num: Column, den: Column, scale: int, precision: int = 18,
     ``num_scale``/``den_scale`` declare how many decimals the operands carry so that they can be
     turned into exact integers first.
     """
-    n = scaled(num, num_scale, wide) * _lit_int(10 ** den_scale, wide)
-    d = scaled(den, den_scale, wide) * _lit_int(10 ** num_scale, wide)
+    n = scaled(num, num_scale, wide)
+    d = scaled(den, den_scale, wide)
+    if den_scale:
+        n = n * (10 ** den_scale)
+    if num_scale:
+        d = d * (10 ** num_scale)
     return div_half_up(n, d, scale, precision, wide)
 
 
