@@ -30,3 +30,13 @@ def flatten(envelope: DataFrame) -> DataFrame:
     m = envelope.schema["metric"].dataType.fieldNames()
     return envelope.select("award", *[F.col(f"winner.{f}").alias(f"winner_{f}") for f in w],
                            *[F.col(f"metric.{f}").alias(f"metric_{f}") for f in m])
+
+
+def require_winner(envelope: DataFrame):
+    """The single envelope row, or ``LookupError`` when nothing matched (the HTTP 404 case).
+
+    Fetches at most one row to the driver."""
+    rows = envelope.take(1)
+    if not rows:
+        raise LookupError("No row matched.")
+    return rows[0]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from dugout.functions.text import contains_ci, fingerprint
 from dugout.operators import expectations as X
-from dugout.operators.envelope import as_json, award_envelope, award_title, flatten
+from dugout.operators.envelope import as_json, award_envelope, award_title, flatten, require_winner
 from dugout.plans.querylog import statement_stats
 
 
@@ -45,6 +45,10 @@ def test_envelope_shapes(spark):
     assert flatten(env).columns == ["award", "winner_team_id", "winner_team_name", "winner_year_id",
                                     "metric_wins", "metric_total"]
     assert award_envelope(df.limit(0), "x", ["team_id"], ["wins"]).count() == 0
+    assert require_winner(env).winner.team_id == "T1"
+    import pytest
+    with pytest.raises(LookupError):
+        require_winner(award_envelope(df.limit(0), "x", ["team_id"], ["wins"]))
 
 
 def test_name_search_escapes_wildcards(spark):
