@@ -64,15 +64,3 @@ def ratio(num: Column, den: Column, scale: int, precision: int = 18,
 def round_to_bigint(col: Column) -> Column:
     """numeric -> bigint as the reference casts it (rounds half away from zero, not truncation)."""
     return F.round(col, 0).cast("bigint")
-
-
-def exact_median(col: Column, decimals: int = 0) -> Column:
-    """Interpolated median (PERCENTILE_CONT(0.5)) as DOUBLE, computed on exact integer units.
-
-    Spark's ``percentile`` is a partial/final histogram aggregate (value -> count), so its state
-    grows with the number of distinct values in a group, not with rows.  Interpolating on
-    integers makes the midpoint exact before the single final division.
-    """
-    units = scaled(col, decimals)
-    m = F.percentile(units, F.lit(0.5))
-    return m / F.lit(float(10 ** decimals)) if decimals else m

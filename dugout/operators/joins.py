@@ -25,3 +25,13 @@ def orphans(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFra
     Child rows whose key is NULL never match and are counted, as in the reference.
     """
     return child.join(parent.select(*keys), list(keys), "left_anti")
+
+
+def attach(df: DataFrame, extra: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """LEFT join of per-key columns onto ``df`` with NULL-safe key equality (grouping keys may be
+    NULL, and a NULL group must still find its own row); the key columns appear once."""
+    from functools import reduce
+    e = extra.select(*[extra[k].alias(f"_x_{k}") for k in keys],
+                     *[extra[c] for c in extra.columns if c not in keys])
+    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(e[f"_x_{k}"]) for k in keys])
+    return df.join(e, cond, "left").drop(*[f"_x_{k}" for k in keys])

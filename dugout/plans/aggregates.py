@@ -10,39 +10,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dugout.functions.aggregates import mean_half_up, stddev_decimal
-from dugout.functions.numeric import exact_median, round_to_bigint
+from dugout.functions.numeric import round_to_bigint
+from dugout.operators.joins import attach
+from dugout.operators.median import median_by
 from dugout.params import Params
 
 
 def team_payroll(salaries: DataFrame, salary_col: str = "salary", with_max: bool = True) -> DataFrame:
     """Per (year, team, league): roster size, total (bigint), mean, median, max salary."""
+    keys = ["year_id", "team_id", "lg_id"]
     s = F.col(salary_col)
     aggs = [F.count(F.lit(1)).alias("roster_size"),
             round_to_bigint(F.sum(s)).alias("total_payroll_usd"),
-            mean_half_up(s, 2, 2, 12).alias("avg_salary_usd"),
-            exact_median(s, 2).alias("median_salary_usd")]
+            mean_half_up(s, 2, 2, 12).alias("avg_salary_usd")]
     if with_max:
         aggs.append(F.max(s).alias("max_salary_usd"))
-    return salaries.groupBy("year_id", "team_id", "lg_id").agg(*aggs)
+    base = salaries.groupBy(*keys).agg(*aggs)
+    med = median_by(salaries, keys, salary_col, 2, "median_salary_usd")
+    cols = keys + ["roster_size", "total_payroll_usd", "avg_salary_usd", "median_salary_usd"]
+    return attach(base, med, keys).select(*cols, *(["max_salary_usd"] if with_max else []))
 
 
 def team_physiques(batting: DataFrame, people: DataFrame, weight: str = "weight",
                    height: str = "height", with_median: bool = False) -> DataFrame:
     """Per (team, year): batting rows of players with a known weight or height, and the
     mean / sample-stddev (and optionally median) of their weight and height."""
+    keys = ["team_id", "year_id"]
     bodies = (people.select("player_id", F.col(weight).alias("w"), F.col(height).alias("h"))
               .where(F.col("w").isNotNull() | F.col("h").isNotNull()))
     w, h = F.col("w"), F.col("h")
-    aggs = [F.count(F.lit(1)).alias("batter_appearances"),
-            mean_half_up(w, 0, 2, 6).alias("avg_weight_lbs"),
-            mean_half_up(h, 0, 2, 6).alias("avg_height_in"),
-            stddev_decimal(w, 2, 6).alias("stddev_weight_lbs"),
-            stddev_decimal(h, 2, 6).alias("stddev_height_in")]
+    rows = batting.select("team_id", "year_id", "player_id").join(bodies, "player_id")
+    out = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("batter_appearances"),
+        mean_half_up(w, 0, 2, 6).alias("avg_weight_lbs"),
+        mean_half_up(h, 0, 2, 6).alias("avg_height_in"),
+        stddev_decimal(w, 2, 6).alias("stddev_weight_lbs"),
+        stddev_decimal(h, 2, 6).alias("stddev_height_in"))
     if with_median:
-        aggs += [exact_median(w).alias("median_weight_lbs"), exact_median(h).alias("median_height_in")]
-    return (batting.select("team_id", "year_id", "player_id")
-            .join(bodies, "player_id")
-            .groupBy("team_id", "year_id").agg(*aggs))
+        out = attach(out, median_by(rows, keys, "w", 0, "median_weight_lbs"), keys)
+        out = attach(out, median_by(rows, keys, "h", 0, "median_height_in"), keys)
+    return out
 
 
 def league_pitching_baseline(pitching: DataFrame, params: Params = Params()) -> DataFrame:
