@@ -44,7 +44,7 @@ def _stg(fn) -> Query:
     return lambda s, d: fn(_wh(s, d))
 
 
-QUERIES: dict[str, Query] = {
+QUERIES_EXACT: dict[str, Query] = {
     # B: derived columns and staging
     "pitching_rates": lambda s, d: _wh(s, d).pitching.select(
         "player_id", "year_id", "stint", "team_id", "ipouts", "so", "bb", "innings_pitched",
@@ -109,3 +109,21 @@ QUERIES: dict[str, Query] = {
     "row_counts": _stg(lambda w: row_counts(w.tables())),
     "querylog_stats": lambda s, d: N.statement_stats(read(s, d, "events")),
 }
+
+
+def as_double(df: DataFrame) -> DataFrame:
+    """Present DECIMAL columns as DOUBLE (the exact rounded decimal, correctly rounded to binary).
+
+    The library computes in exact decimals; the registered queries hand DOUBLE to consumers so that
+    a comparison does not depend on how each engine's client renders decimals."""
+    from pyspark.sql.types import DecimalType
+    return df.select(*[F.col(f"`{f.name}`").cast("double").alias(f.name)
+                       if isinstance(f.dataType, DecimalType) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
+def _presented(fn: Query) -> Query:
+    return lambda spark, sf_dir: as_double(fn(spark, sf_dir))
+
+
+QUERIES: dict[str, Query] = {name: _presented(fn) for name, fn in QUERIES_EXACT.items()}

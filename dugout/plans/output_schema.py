@@ -1,0 +1,344 @@
+"""Output columns of every catalogue query (generated by tools/record_schemas.py)."""
+
+OUTPUT_SCHEMA = {'ace_top15': [('pitcher', 'string'),
+               ('year_id', 'int'),
+               ('team_id', 'string'),
+               ('era', 'decimal(6,2)'),
+               ('innings_pitched', 'decimal(6,1)'),
+               ('label', 'string')],
+ 'award_ace': [('pitcher', 'string'),
+               ('canadian_team', 'string'),
+               ('season', 'int'),
+               ('innings_pitched', 'decimal(6,1)'),
+               ('earned_run_average', 'decimal(6,2)'),
+               ('k_per_9', 'decimal(6,2)'),
+               ('bb_per_9', 'decimal(6,2)'),
+               ('canadian_era_rank', 'int')],
+ 'award_bang': [('team_id', 'string'),
+                ('year_id', 'int'),
+                ('team_name', 'string'),
+                ('wins', 'int'),
+                ('total_payroll_usd', 'bigint'),
+                ('cost_per_win_usd', 'decimal(20,2)')],
+ 'award_bang_list': [('team_id', 'string'),
+                     ('team_name', 'string'),
+                     ('wins', 'int'),
+                     ('total_payroll_usd', 'bigint'),
+                     ('cost_per_win', 'decimal(20,2)'),
+                     ('cost_per_win_m', 'double')],
+ 'award_checks': [('check_name', 'string'), ('passed', 'boolean')],
+ 'award_envelope': [('award', 'string'),
+                    ('winner_team_id', 'string'),
+                    ('winner_team_name', 'string'),
+                    ('winner_year_id', 'int'),
+                    ('metric_wins', 'int'),
+                    ('metric_total_payroll_usd', 'bigint'),
+                    ('metric_cost_per_win_usd', 'decimal(20,2)')],
+ 'award_heaviest': [('team_id', 'string'),
+                    ('year_id', 'int'),
+                    ('team_name', 'string'),
+                    ('avg_weight_lbs', 'decimal(6,2)'),
+                    ('stddev_weight_lbs', 'decimal(6,2)'),
+                    ('batter_appearances', 'bigint')],
+ 'award_shortest': [('team_id', 'string'),
+                    ('year_id', 'int'),
+                    ('team_name', 'string'),
+                    ('avg_height_in', 'decimal(6,2)'),
+                    ('stddev_height_in', 'decimal(6,2)'),
+                    ('batter_appearances', 'bigint')],
+ 'award_spender': [('year_id', 'int'),
+                   ('team_id', 'string'),
+                   ('team_name', 'string'),
+                   ('total_payroll_usd', 'bigint'),
+                   ('roster_size', 'bigint'),
+                   ('median_salary_usd', 'double'),
+                   ('max_salary_usd', 'decimal(12,2)')],
+ 'award_spender_year': [('year_id', 'int'),
+                        ('team_id', 'string'),
+                        ('team_name', 'string'),
+                        ('total_payroll_usd', 'bigint'),
+                        ('roster_size', 'bigint'),
+                        ('median_salary_usd', 'double'),
+                        ('max_salary_usd', 'decimal(12,2)')],
+ 'award_starter': [('pitcher', 'string'),
+                   ('player_id', 'string'),
+                   ('year_id', 'int'),
+                   ('team_id', 'string'),
+                   ('games_started', 'int'),
+                   ('innings_pitched', 'decimal(6,1)'),
+                   ('salary_usd', 'decimal(12,2)'),
+                   ('cost_per_start_usd', 'decimal(20,2)')],
+ 'award_starter_year': [('pitcher', 'string'),
+                        ('player_id', 'string'),
+                        ('year_id', 'int'),
+                        ('team_id', 'string'),
+                        ('games_started', 'int'),
+                        ('innings_pitched', 'decimal(6,1)'),
+                        ('salary_usd', 'decimal(12,2)'),
+                        ('cost_per_start_usd', 'decimal(20,2)')],
+ 'batting_rates': [('player_id', 'string'),
+                   ('year_id', 'int'),
+                   ('stint', 'int'),
+                   ('ab', 'int'),
+                   ('h', 'int'),
+                   ('bb', 'int'),
+                   ('pa', 'int'),
+                   ('obp', 'decimal(5,3)'),
+                   ('slg', 'decimal(5,3)'),
+                   ('ops', 'decimal(5,3)')],
+ 'batting_war': [('player_id', 'string'),
+                 ('year_id', 'int'),
+                 ('team_id', 'string'),
+                 ('lg_id', 'string'),
+                 ('pa', 'int'),
+                 ('woba', 'decimal(10,3)'),
+                 ('lg_woba', 'decimal(5,3)'),
+                 ('war_proxy', 'decimal(10,2)')],
+ 'dq_ledger': [('category', 'string'),
+               ('check_name', 'string'),
+               ('status', 'string'),
+               ('observed', 'string'),
+               ('expected', 'string'),
+               ('note', 'string')],
+ 'dq_summary': [('status', 'string'), ('checks', 'bigint')],
+ 'era_adjusted': [('player_id', 'string'),
+                  ('year_id', 'int'),
+                  ('team_id', 'string'),
+                  ('lg_id', 'string'),
+                  ('innings_pitched', 'decimal(6,1)'),
+                  ('era', 'decimal(6,2)'),
+                  ('league_era_mean', 'decimal(6,3)'),
+                  ('league_era_stddev', 'decimal(6,3)'),
+                  ('era_z_score', 'decimal(10,3)'),
+                  ('era_plus', 'int'),
+                  ('era_percentile', 'int')],
+ 'era_plus_top10': [('pitcher', 'string'),
+                    ('year_id', 'int'),
+                    ('team_id', 'string'),
+                    ('innings_pitched', 'decimal(6,1)'),
+                    ('era', 'decimal(6,2)'),
+                    ('league_era_mean', 'decimal(6,3)'),
+                    ('era_z_score', 'decimal(10,3)'),
+                    ('era_plus', 'int')],
+ 'expect_marts': [('model', 'string'),
+                  ('test_name', 'string'),
+                  ('column_name', 'string'),
+                  ('failures', 'bigint'),
+                  ('status', 'string')],
+ 'expect_sources': [('model', 'string'),
+                    ('test_name', 'string'),
+                    ('column_name', 'string'),
+                    ('failures', 'bigint'),
+                    ('status', 'string')],
+ 'expect_staging': [('model', 'string'),
+                    ('test_name', 'string'),
+                    ('column_name', 'string'),
+                    ('failures', 'bigint'),
+                    ('status', 'string')],
+ 'fip': [('player_id', 'string'),
+         ('year_id', 'int'),
+         ('team_id', 'string'),
+         ('lg_id', 'string'),
+         ('innings_pitched', 'decimal(6,1)'),
+         ('era', 'decimal(6,2)'),
+         ('fip', 'decimal(8,2)'),
+         ('c_fip', 'decimal(12,6)')],
+ 'fip_constants': [('year_id', 'int'),
+                   ('lg_id', 'string'),
+                   ('lg_era', 'decimal(12,6)'),
+                   ('lg_raw_fip', 'decimal(12,6)'),
+                   ('c_fip', 'decimal(12,6)')],
+ 'fip_top10': [('pitcher', 'string'),
+               ('year_id', 'int'),
+               ('team_id', 'string'),
+               ('innings_pitched', 'decimal(6,1)'),
+               ('era', 'decimal(6,2)'),
+               ('fip', 'decimal(8,2)')],
+ 'heaviest_top20': [('team_id', 'string'),
+                    ('year_id', 'int'),
+                    ('team_name', 'string'),
+                    ('avg_weight_lbs', 'decimal(6,2)'),
+                    ('label', 'string')],
+ 'league_baseline': [('year_id', 'int'),
+                     ('lg_id', 'string'),
+                     ('qualified_pitchers', 'bigint'),
+                     ('league_era_mean', 'decimal(6,3)'),
+                     ('league_era_stddev', 'decimal(6,3)')],
+ 'league_era_by_year': [('year_id', 'int'), ('lg_era', 'decimal(12,6)'), ('grand_mean', 'decimal(12,6)')],
+ 'mart_payroll': [('year_id', 'int'),
+                  ('team_id', 'string'),
+                  ('lg_id', 'string'),
+                  ('team_name', 'string'),
+                  ('roster_size', 'bigint'),
+                  ('total_payroll_usd', 'bigint'),
+                  ('avg_salary_usd', 'decimal(12,2)'),
+                  ('median_salary_usd', 'double'),
+                  ('wins', 'int'),
+                  ('losses', 'int'),
+                  ('win_pct', 'decimal(6,3)'),
+                  ('cost_per_win_usd', 'decimal(20,2)'),
+                  ('cost_per_game_usd', 'decimal(20,2)')],
+ 'mart_physiques': [('team_id', 'string'),
+                    ('year_id', 'int'),
+                    ('batter_appearances', 'bigint'),
+                    ('avg_weight_lbs', 'decimal(6,2)'),
+                    ('avg_height_in', 'decimal(6,2)'),
+                    ('stddev_weight_lbs', 'decimal(6,2)'),
+                    ('stddev_height_in', 'decimal(6,2)'),
+                    ('median_weight_lbs', 'double'),
+                    ('median_height_in', 'double')],
+ 'mart_pitcher': [('player_id', 'string'),
+                  ('year_id', 'int'),
+                  ('team_id', 'string'),
+                  ('lg_id', 'string'),
+                  ('pitcher', 'string'),
+                  ('games_started', 'int'),
+                  ('innings_pitched', 'decimal(6,1)'),
+                  ('era', 'decimal(6,2)'),
+                  ('fip', 'decimal(8,2)'),
+                  ('era_z_score', 'decimal(10,3)'),
+                  ('era_plus', 'int'),
+                  ('k_per_9', 'decimal(6,2)'),
+                  ('bb_per_9', 'decimal(6,2)'),
+                  ('league_era', 'decimal(6,3)'),
+                  ('league_era_stddev', 'decimal(6,3)')],
+ 'name_search': [('player_id', 'string'), ('full_name', 'string')],
+ 'payroll_max_by_year': [('year_id', 'int'), ('max_payroll', 'bigint')],
+ 'people_full_name': [('player_id', 'string'),
+                      ('name_first', 'string'),
+                      ('name_last', 'string'),
+                      ('full_name', 'string')],
+ 'pitching_rates': [('player_id', 'string'),
+                    ('year_id', 'int'),
+                    ('stint', 'int'),
+                    ('team_id', 'string'),
+                    ('ipouts', 'int'),
+                    ('so', 'int'),
+                    ('bb', 'int'),
+                    ('innings_pitched', 'decimal(6,1)'),
+                    ('k_per_9', 'decimal(6,2)'),
+                    ('bb_per_9', 'decimal(6,2)')],
+ 'pitching_war': [('player_id', 'string'),
+                  ('year_id', 'int'),
+                  ('team_id', 'string'),
+                  ('lg_id', 'string'),
+                  ('innings_pitched', 'decimal(6,1)'),
+                  ('era', 'decimal(6,2)'),
+                  ('fip', 'decimal(8,2)'),
+                  ('lg_fip', 'decimal(6,3)'),
+                  ('war_proxy', 'decimal(10,2)')],
+ 'querylog_stats': [('query', 'string'),
+                    ('calls', 'bigint'),
+                    ('mean_ms', 'decimal(18,2)'),
+                    ('stddev_ms', 'decimal(18,2)'),
+                    ('total_s', 'decimal(18,2)')],
+ 'row_counts': [('table_name', 'string'), ('rows', 'bigint')],
+ 'shortest_top20': [('team_id', 'string'),
+                    ('year_id', 'int'),
+                    ('team_name', 'string'),
+                    ('avg_height_in', 'decimal(6,2)'),
+                    ('label', 'string')],
+ 'starter_top15': [('pitcher', 'string'),
+                   ('year_id', 'int'),
+                   ('team_id', 'string'),
+                   ('gs', 'int'),
+                   ('salary', 'decimal(12,2)'),
+                   ('cost_per_start', 'decimal(20,2)'),
+                   ('label', 'string'),
+                   ('cps_m', 'double')],
+ 'stg_batting': [('player_id', 'string'),
+                 ('year_id', 'int'),
+                 ('stint', 'int'),
+                 ('team_id', 'string'),
+                 ('lg_id', 'string'),
+                 ('at_bats', 'int'),
+                 ('hits', 'int'),
+                 ('doubles', 'int'),
+                 ('triples', 'int'),
+                 ('home_runs', 'int'),
+                 ('walks', 'int'),
+                 ('intentional_walks', 'int'),
+                 ('hit_by_pitch', 'int'),
+                 ('sac_hits', 'int'),
+                 ('sac_flies', 'int'),
+                 ('pa', 'int'),
+                 ('obp', 'decimal(5,3)'),
+                 ('slg', 'decimal(5,3)'),
+                 ('ops', 'decimal(5,3)')],
+ 'stg_people': [('player_id', 'string'),
+                ('full_name', 'string'),
+                ('name_first', 'string'),
+                ('name_last', 'string'),
+                ('weight_lbs', 'int'),
+                ('height_in', 'int'),
+                ('birth_country', 'string'),
+                ('is_deceased', 'boolean')],
+ 'stg_pitching': [('player_id', 'string'),
+                  ('year_id', 'int'),
+                  ('stint', 'int'),
+                  ('team_id', 'string'),
+                  ('lg_id', 'string'),
+                  ('games_started', 'int'),
+                  ('ipouts', 'int'),
+                  ('innings_pitched', 'decimal(6,1)'),
+                  ('earned_runs', 'int'),
+                  ('home_runs_allowed', 'int'),
+                  ('walks', 'int'),
+                  ('strikeouts', 'int'),
+                  ('era', 'decimal(6,2)'),
+                  ('k_per_9', 'decimal(6,2)'),
+                  ('bb_per_9', 'decimal(6,2)'),
+                  ('hit_batters', 'int')],
+ 'stg_salaries': [('year_id', 'int'),
+                  ('team_id', 'string'),
+                  ('lg_id', 'string'),
+                  ('player_id', 'string'),
+                  ('salary_usd', 'decimal(12,2)')],
+ 'stg_teams': [('year_id', 'int'),
+               ('team_id', 'string'),
+               ('lg_id', 'string'),
+               ('team_name', 'string'),
+               ('games', 'int'),
+               ('wins', 'int'),
+               ('losses', 'int'),
+               ('win_pct', 'decimal(6,3)'),
+               ('is_canadian', 'boolean')],
+ 'team_payroll': [('year_id', 'int'),
+                  ('team_id', 'string'),
+                  ('lg_id', 'string'),
+                  ('roster_size', 'bigint'),
+                  ('total_payroll_usd', 'bigint'),
+                  ('avg_salary_usd', 'decimal(12,2)'),
+                  ('median_salary_usd', 'double'),
+                  ('max_salary_usd', 'decimal(12,2)')],
+ 'team_physiques': [('team_id', 'string'),
+                    ('year_id', 'int'),
+                    ('batter_appearances', 'bigint'),
+                    ('avg_weight_lbs', 'decimal(6,2)'),
+                    ('avg_height_in', 'decimal(6,2)'),
+                    ('stddev_weight_lbs', 'decimal(6,2)'),
+                    ('stddev_height_in', 'decimal(6,2)')],
+ 'war_top10': [('player', 'string'),
+               ('year_id', 'int'),
+               ('team_id', 'string'),
+               ('role', 'string'),
+               ('ip', 'decimal(6,1)'),
+               ('war_proxy', 'decimal(10,2)')],
+ 'woba': [('player_id', 'string'),
+          ('year_id', 'int'),
+          ('team_id', 'string'),
+          ('lg_id', 'string'),
+          ('pa', 'int'),
+          ('ab', 'int'),
+          ('obp', 'decimal(5,3)'),
+          ('slg', 'decimal(5,3)'),
+          ('ops', 'decimal(5,3)'),
+          ('woba', 'decimal(10,3)')],
+ 'woba_top10': [('batter', 'string'),
+                ('year_id', 'int'),
+                ('team_id', 'string'),
+                ('pa', 'int'),
+                ('obp', 'decimal(5,3)'),
+                ('slg', 'decimal(5,3)'),
+                ('ops', 'decimal(5,3)'),
+                ('woba', 'decimal(10,3)')]}

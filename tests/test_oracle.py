@@ -7,6 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from dugout.plans.catalog import QUERIES_EXACT
+from dugout.plans.oracle import ORACLE_EXACT
+from dugout.plans.output_schema import OUTPUT_SCHEMA
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -28,14 +31,26 @@ def _norm(v):
     return repr(v)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_EXACT))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    """Exact (DECIMAL) library output vs the exact oracle: names, types and values."""
+    df = QUERIES_EXACT[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(E.oracle_sql()[name])
+    cur = duck.execute(ORACLE_EXACT[name])
     drows = cur.fetchall()
     assert df.columns == [d[0] for d in cur.description]
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == OUTPUT_SCHEMA[name]
     for f, d in zip(df.schema.fields, cur.description):
         t = f.dataType.simpleString()
         assert SPARK_TO_DUCK.get(t, t.upper()) == str(d[1]), (f.name, t, d[1])
     assert Counter(tuple(map(_norm, r)) for r in srows) == Counter(tuple(map(_norm, r)) for r in drows)
+
+
+@pytest.mark.parametrize("name", ["fip", "team_payroll", "dq_ledger", "war_top10"])
+def test_presented_queries_are_double(spark, duck, name):
+    """The registered (presented) form: no DECIMAL left, and still equal to the wrapped oracle."""
+    df = E.queries()[name](spark, SF)
+    assert not any(f.dataType.simpleString().startswith("decimal") for f in df.schema.fields)
+    cur = duck.execute(E.oracle_sql()[name])
+    assert [str(d[1]) for d in cur.description if str(d[1]).startswith("DECIMAL")] == []
+    assert Counter(map(repr, (tuple(r) for r in df.collect()))) == Counter(map(repr, cur.fetchall()))

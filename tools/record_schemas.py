@@ -1,0 +1,22 @@
+"""Regenerate dugout/plans/output_schema.py from the live Spark schemas of the catalogue.
+
+usage: python tools/record_schemas.py
+"""
+
+import os
+import pprint
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+from dugout.plans.catalog import QUERIES  # noqa: E402
+from dugout.session import build_session  # noqa: E402
+
+spark = build_session("local[4]", shuffle_partitions=4)
+out = {name: [(f.name, f.dataType.simpleString()) for f in fn(spark, "/root/testdata/sf0.001").schema.fields]
+       for name, fn in sorted(QUERIES.items())}
+with open(os.path.join(ROOT, "dugout", "plans", "output_schema.py"), "w") as f:
+    f.write('"""Output columns of every catalogue query (generated by tools/record_schemas.py)."""\n\n')
+    f.write("OUTPUT_SCHEMA = " + pprint.pformat(out, width=110, sort_dicts=True) + "\n")
+spark.stop()
