@@ -38,15 +38,16 @@ def build_session(master: str | None = None, app: str = "dugout",
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder for lineage cuts and rebuilt tables.
+    """The cluster's shared folder for lineage cuts, rebuilt tables and streaming state.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local tests) do we create a
-    scratch folder and register it, so cluster jobs never write to machine-local storage.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only a *local* session
+    (tests, laptops) may fall back to a scratch folder; on a cluster an unset setting is an error,
+    because a machine-local folder would not survive losing that machine.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS/GCS)")
         d = tempfile.mkdtemp(prefix="dugout-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
