@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from dugout.functions.numeric import ratio
 from dugout.functions.text import millions, season_label
 from dugout.operators.joins import lookup
-from dugout.operators.topk import first_rank, rank_filter, top_k
+from dugout.operators.topk import first_rank, top_k
 from dugout.params import Params
 from dugout.plans.aggregates import team_payroll, team_physiques
 from dugout.sources.warehouse import Warehouse

@@ -16,7 +16,6 @@ from dugout.operators.envelope import award_envelope, award_title, flatten
 from dugout.params import Params
 from dugout.plans import aggregates as A
 from dugout.plans import awards as J
-from dugout.plans import marts as L
 from dugout.plans import quality as M
 from dugout.plans import querylog as N
 from dugout.plans import sabermetrics as K

@@ -61,8 +61,11 @@ def test_ace_rank_ties(make_wh):
     rows = [P("a", 300, "2.00", team="T3"), P("b", 400, "2.00", team="T7"),
             P("c", 400, "2.00", team="T7", year=1999), P("d", 500, "9.00", team="T1")]
     wh = make_wh(people=[person(x) for x in "abcd"], pitching=rows)
-    ranked = J.rank_filter(wh.pitching.where("team_id IN ('T3','T7')"),
-                           [J.c("era").asc(), J.c("ipouts").desc()], 1).collect()
+    from pyspark.sql import functions as F
+
+    from dugout.operators.topk import rank_filter
+    ranked = rank_filter(wh.pitching.where("team_id IN ('T3','T7')"),
+                         [F.col("era").asc(), F.col("ipouts").desc()], 1).collect()
     assert sorted(r.player_id for r in ranked) == ["b", "c"]     # full tie: both rank 1
     ace = J.team_ace(wh, PAR).collect()
     assert len(ace) == 1 and ace[0].pitcher == "F B" and ace[0].canadian_era_rank == 1

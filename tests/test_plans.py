@@ -1,6 +1,5 @@
 """Plan-shape checks: top-k, rank filter, inferred filters, pushdown and pruning."""
 
-import os
 import tempfile
 
 from pyspark.sql import functions as F
