@@ -4,9 +4,11 @@ Mirrors the reference's flow (load -> derived columns -> aggregates -> award que
 
 1. ``load``: build the five raw tables from TESTDATA, persist them as Parquet (derived columns
    stored), and publish the three analytical aggregates.
-2. each headline query against the persisted layers: first run, then the median of 3 warm runs.
+2. each headline query against the persisted layers: first run, then the median of 5 warm runs.
 
-Prints one JSON line; ``value`` is the sum of warm medians over the headline queries.
+Prints one JSON line; ``value`` is the sum of the warm medians of the six award queries (the
+reference's benchmark times its award script; its target is < 250 ms per award).  Every other
+headline query is reported in ``queries`` as well, with ``all_queries_s`` their total.
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 """
 
@@ -74,16 +76,18 @@ def main() -> None:
         q().collect()
         first[name] = round(time.time() - t, 3)
         runs = []
-        for _ in range(3):
+        for _ in range(5):
             t = time.time()
             q().collect()
             runs.append(time.time() - t)
         warm[name] = round(statistics.median(runs), 3)
+    awards = [n for n in warm if n.startswith("award_")]
     out = {
-        "metric": "sum of warm median latency over headline queries (persisted warehouse)",
-        "value": round(sum(warm.values()), 3),
+        "metric": "sum of warm median latency of the six award queries (persisted warehouse)",
+        "value": round(sum(warm[n] for n in awards), 3),
         "unit": "sec",
         "queries": warm,
+        "all_queries_s": round(sum(warm.values()), 3),
         "first_run": first,
         "load_s": round(load_s, 3),
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
