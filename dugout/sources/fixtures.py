@@ -24,6 +24,20 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def order_year(orders: DataFrame):
+    """Calendar year of ``o_orderdate`` independent of the session time zone.
+
+    The files store wall-clock timestamps (not adjusted to UTC), which Spark reads as
+    TIMESTAMP_NTZ; if a session reads them as zone-aware TIMESTAMP instead, the UTC date is used so
+    a non-UTC session cannot move New-Year orders into the previous season.
+    """
+    from pyspark.sql.types import TimestampType
+    col = F.col("o_orderdate")
+    if isinstance(orders.schema["o_orderdate"].dataType, TimestampType):
+        col = F.date_from_unix_date(F.floor(F.unix_micros(col) / F.lit(86400000000)).cast("int"))
+    return F.year(col).cast("int")
+
+
 def _pid(col):
     return F.concat(F.lit("p"), col.cast("string"))
 
@@ -44,7 +58,7 @@ def people(customer: DataFrame, nation: DataFrame) -> DataFrame:
 def _order_keys(orders: DataFrame) -> DataFrame:
     return orders.select(
         F.col("o_orderkey"), F.col("o_custkey").alias("ck"),
-        F.year("o_orderdate").cast("int").alias("year_id"),
+        order_year(orders).alias("year_id"),
         (F.col("o_orderkey") % 2).alias("parity"), F.col("o_totalprice"))
 
 
@@ -124,7 +138,7 @@ def teams(nation: DataFrame, orders: DataFrame) -> DataFrame:
     The distinct-year set is a scalar subquery (partial ``collect_set`` of calendar years, so
     bounded by the number of seasons) exploded per nation row — no join is needed.
     """
-    years = orders.select(F.array_sort(F.collect_set(F.year("o_orderdate").cast("int"))).alias("ys"))
+    years = orders.select(F.array_sort(F.collect_set(order_year(orders))).alias("ys"))
     nk = F.col("n_nationkey")
     y = F.col("year_id")
     wins = ((nk * 37 + y * 11) % 163).cast("int")
