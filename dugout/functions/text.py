@@ -31,6 +31,11 @@ def contains_ci(col: Column, needle: str) -> Column:
     return col.ilike(f"%{like_escape(needle)}%")
 
 
+def normalize_ws(text: Column) -> Column:
+    """Whitespace-normalised statement text: regexp_replace(q, '\\s+', ' ', 'g')."""
+    return F.regexp_replace(text, r"\s+", " ")
+
+
 def fingerprint(text: Column, width: int = 90) -> Column:
-    """Whitespace-normalised statement prefix: LEFT(regexp_replace(q, '\\s+', ' ', 'g'), width)."""
-    return F.left(F.regexp_replace(text, r"\s+", " "), F.lit(width))
+    """Display label of a statement: LEFT(whitespace-normalised text, width)."""
+    return F.left(normalize_ws(text), F.lit(width))

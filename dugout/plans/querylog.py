@@ -4,6 +4,7 @@ The reference reads pre-aggregated server counters; here the counters are *compu
 rows (statement text, execution ms) with one grouped aggregate — partial sums map-side, so a
 statement that accounts for a third of the log is combined before the shuffle.
 Block-cache counters have no source column in a plain run log and are not produced.
+Counters are per whole normalised statement; the 90-character cut is only the display label.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from dugout.functions.aggregates import mean_half_up
 from dugout.functions.numeric import ratio
-from dugout.functions.text import fingerprint
+from dugout.functions.text import normalize_ws
 from dugout.operators.topk import top_k
 
 c = F.col
@@ -28,12 +29,15 @@ def statement_stats(log: DataFrame, text_col: str = "event_type", ms_col: str =
     if exclude:
         df = df.where(~c(text_col).ilike(exclude))
     ms = c(ms_col).cast("decimal(18,2)")
-    stats = (df.select(fingerprint(c(text_col), width).alias("query"), ms.alias("ms"))
-             .groupBy("query")
+    # counters are kept per whole (normalised) statement; only the label is cut to `width`
+    stats = (df.select(normalize_ws(c(text_col)).alias("_stmt"), ms.alias("ms"))
+             .groupBy("_stmt")
              .agg(F.count(F.lit(1)).alias("calls"),
                   mean_half_up(c("ms"), 2, 2, 18).alias("mean_ms"),
                   F.stddev_pop(c("ms").cast("double")).cast("decimal(18,2)").alias("stddev_ms"),
                   ratio(F.sum("ms"), F.lit(1000), 2, 18, num_scale=2).alias("total_s"),
                   # ranking uses the (practically) unrounded mean, as the counters would
                   mean_half_up(c("ms"), 2, 12, 30, wide=True).alias("_mean")))
-    return top_k(stats, [c("_mean").desc_nulls_last(), c("query")], k).drop("_mean")
+    top = top_k(stats, [c("_mean").desc_nulls_last(), c("_stmt")], k)
+    return top.select(F.left(c("_stmt"), F.lit(width)).alias("query"), "calls", "mean_ms", "stddev_ms",
+                      "total_s")

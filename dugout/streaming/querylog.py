@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dugout.functions.numeric import div_half_up
-from dugout.functions.text import fingerprint
+from dugout.functions.text import normalize_ws
 from dugout.session import shared_dir
 
 c = F.col
@@ -32,26 +32,27 @@ def log_stream(spark: SparkSession, path: str, schema, glob: str | None = None,
 
 
 def running_sums(log: DataFrame, text_col: str = "event_type", ms_col: str = "value",
-                 exclude: str | None = "%pg_stat_statements%", width: int = 90) -> DataFrame:
-    """Per statement: calls, sum(ms) and sum(ms^2) in exact integer hundredths."""
+                 exclude: str | None = "%pg_stat_statements%") -> DataFrame:
+    """Per whole normalised statement: calls, sum(ms) and sum(ms^2) in exact integer hundredths."""
     df = log.where(~c(text_col).ilike(exclude)) if exclude else log
     cents = (c(ms_col).cast("decimal(18,2)") * 100).cast("bigint")
-    return (df.select(fingerprint(c(text_col), width).alias("query"), cents.alias("cents"))
-            .groupBy("query")
+    return (df.select(normalize_ws(c(text_col)).alias("statement"), cents.alias("cents"))
+            .groupBy("statement")
             .agg(F.count(F.lit(1)).alias("calls"), F.sum("cents").alias("sum_cents"),
                  F.sum(c("cents").cast("decimal(38,0)") * c("cents")).alias("sumsq_cents")))
 
 
-def finalize(sums: DataFrame, k: int | None = 15) -> DataFrame:
+def finalize(sums: DataFrame, k: int | None = 15, width: int = 90) -> DataFrame:
     """calls, mean_ms, stddev_ms (population), total_s from the running sums; slowest first."""
     n, s, q = c("calls"), c("sum_cents"), c("sumsq_cents")
     var_num = q * n - s.cast("decimal(38,0)") * s              # n^2 * variance, in cents^2
     out = sums.select(
-        "query", "calls",
+        F.left(c("statement"), F.lit(width)).alias("query"), "calls",
         div_half_up(s, n * 100, 2, 18).alias("mean_ms"),
         (F.sqrt(var_num.cast("double")) / (n * 100)).cast("decimal(18,2)").alias("stddev_ms"),
-        div_half_up(s, F.lit(100000), 2, 18).alias("total_s"))
-    ordered = out.orderBy(c("mean_ms").desc_nulls_last(), "query")
+        div_half_up(s, F.lit(100000), 2, 18).alias("total_s"),
+        div_half_up(s, n * 100, 12, 30, wide=True).alias("_mean"), "statement")
+    ordered = out.orderBy(c("_mean").desc_nulls_last(), "statement").drop("_mean", "statement")
     return ordered.limit(k) if k else ordered
 
 

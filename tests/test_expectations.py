@@ -60,9 +60,11 @@ def test_name_search_escapes_wildcards(spark):
 def test_statement_rollup_normalises_and_excludes(spark):
     log = spark.createDataFrame(
         [("SELECT  1\n FROM t", 10.0), ("SELECT 1 FROM t", 20.0), ("select * from pg_stat_statements", 99.0),
-         ("x" * 200, 1.5)], "q string, ms double")
+         ("x" * 200, 1.5), ("x" * 200 + "y", 2.5)], "q string, ms double")
     rows = {r.query: r for r in statement_stats(log, "q", "ms").collect()}
     assert set(rows) == {"SELECT 1 FROM t", "x" * 90}
+    # two statements sharing their first 90 characters keep separate counters
+    assert statement_stats(log, "q", "ms").where(F.col("query") == "x" * 90).count() == 2
     r = rows["SELECT 1 FROM t"]
     assert (r.calls, str(r.mean_ms), str(r.stddev_ms), str(r.total_s)) == (2, "15.00", "5.00", "0.03")
     assert [x.query for x in statement_stats(log, "q", "ms", k=1).collect()] == ["SELECT 1 FROM t"]
