@@ -1,14 +1,17 @@
 """Layered table sinks: raw / analytics / marts under one root folder.
 
 ``write_layer`` overwrites a table in place (raw loads and marts are rebuilt whole).
-``publish`` is the non-blocking refresh used for the analytical aggregates: the new version is
-written to a fresh folder and only then does the small ``_current`` pointer move, so readers
-never see a half-written table and a failed rebuild leaves the previous version live.
+``publish`` is the non-blocking refresh used for the analytical aggregates: every version is
+written to a fresh ``v<timestamp>`` folder, and readers take the newest version whose
+``_SUCCESS`` marker exists (the marker appears only when the write job commits).  Nothing is
+overwritten in place, so readers never see a half-written table and a failed or interrupted
+rebuild leaves the previous version live.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,24 +42,32 @@ def layer_exists(spark: SparkSession, root: str, layer: str, name: str) -> bool:
 
 
 def publish(df: DataFrame, root: str, layer: str, name: str) -> str:
-    """Write a new version then atomically point ``_current`` at it (refresh without blocking)."""
-    spark = df.sparkSession
-    version = f"v{int(time.time() * 1000)}"
+    """Write a new version folder; it becomes current once its write has committed."""
+    version = f"v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
     target = f"{_path(root, layer, name)}/{version}"
     df.write.mode("errorifexists").parquet(target)
-    spark.createDataFrame([(version,)], "v string").coalesce(1).write.mode("overwrite").text(
-        f"{_path(root, layer, name)}/_current")
     return target
 
 
+def current_version(spark: SparkSession, root: str, layer: str, name: str) -> str | None:
+    """Newest committed version folder of a published table (None if it was never published)."""
+    fs, hp = _jvm_fs(spark, _path(root, layer, name))
+    if not fs.exists(hp):
+        return None
+    versions = sorted((st.getPath().getName() for st in fs.listStatus(hp)
+                       if st.isDirectory() and st.getPath().getName().startswith("v")), reverse=True)
+    for v in versions:
+        marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{_path(root, layer, name)}/{v}/_SUCCESS")
+        if fs.exists(marker):
+            return v
+    return None
+
+
 def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    """Read a table; for published tables follow the ``_current`` pointer."""
+    """Read a table; for published tables, the newest committed version."""
     base = _path(root, layer, name)
-    fs, hp = _jvm_fs(spark, f"{base}/_current")
-    if fs.exists(hp):
-        version = spark.read.text(f"{base}/_current").first()[0]
-        return spark.read.parquet(f"{base}/{version}")
-    return spark.read.parquet(base)
+    version = current_version(spark, root, layer, name)
+    return spark.read.parquet(f"{base}/{version}" if version else base)
 
 
 def refresh_aggregates(wh, root: str, params=None) -> dict[str, str]:

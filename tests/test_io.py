@@ -69,8 +69,12 @@ def test_write_read_publish_and_require(spark, make_wh):
     first = sinks.refresh_aggregates(back, root)
     v1 = sinks.read_layer(spark, root, "analytics", "mv_team_payroll").first().total_payroll_usd
     second = sinks.refresh_aggregates(back, root)
-    assert first["mv_team_payroll"] != second["mv_team_payroll"]      # new version, pointer moved
+    assert first["mv_team_payroll"] != second["mv_team_payroll"]      # new version folder
+    assert sinks.current_version(spark, root, "analytics", "mv_team_payroll") == second["mv_team_payroll"].split("/")[-1]
     assert sinks.read_layer(spark, root, "analytics", "mv_team_payroll").first().total_payroll_usd == v1 == 5
+    # an uncommitted (no _SUCCESS) newer folder is ignored by readers
+    os.makedirs(os.path.join(root, "analytics", "mv_team_payroll", "v999999999999999-zzzz"))
+    assert sinks.current_version(spark, root, "analytics", "mv_team_payroll") == second["mv_team_payroll"].split("/")[-1]
 
 
 def test_load_all_end_to_end(spark):
