@@ -93,3 +93,19 @@ def test_load_all_end_to_end(spark):
     assert {t: df.count() for t, df in tables.items()} == {t: 1 for t in rows}
     back = Warehouse.from_parquet(spark, root)
     assert back.people.select(F.col("full_name")).first()[0] == ""
+
+
+def test_season_year_ignores_session_time_zone(spark):
+    """Zone-aware reading of the wall-clock timestamps must not move New-Year orders."""
+    from dugout.sources.fixtures import raw_tables
+    keys = ("spark.sql.parquet.inferTimestampNTZ.enabled", "spark.sql.session.timeZone")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set(keys[0], "false")
+        spark.conf.set(keys[1], "America/Los_Angeles")
+        t = raw_tables(spark, "/root/testdata/sf0.001")
+        assert sorted(r.year_id for r in t["teams"]().select("year_id").distinct().collect()) == list(range(1995, 2002))
+        assert t["salaries"]().count() == 1069 and t["batting"]().count() == 1058
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
