@@ -23,104 +23,100 @@ c = F.col
 LEDGER_COLS = ["category", "check_name", "status", "observed", "expected", "note"]
 
 
-def _row(category: str, check: str, status: Column, observed: Column, expected: str,
-         note: str | None) -> Column:
-    return F.struct(F.lit(category).alias("category"), F.lit(check).alias("check_name"),
-                    status.alias("status"), observed.cast("string").alias("observed"),
-                    F.lit(expected).alias("expected"), F.lit(note).cast("string").alias("note"))
+def _q(v: str | None) -> str:
+    return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("'", "''") + "'"
 
 
-def _pass_fail(ok: Column, bad: str = "FAIL") -> Column:
-    return F.when(ok, "PASS").otherwise(bad)
+def _ledger_rows(agg: DataFrame, rows: list[tuple[str, str, str, str, str, str | None]]) -> DataFrame:
+    """Unpivot one aggregate row into ledger rows with a single ``stack`` expression.
 
+    Each row is (category, check_name, status SQL, observed SQL, expected, note); the measures it
+    refers to are columns of ``agg``.  One SQL expression keeps plan construction cheap."""
+    body = ", ".join(f"{_q(cat)}, {_q(chk)}, {status}, CAST({obs} AS STRING), {_q(exp)}, {_q(note)}"
+                     for cat, chk, status, obs, exp, note in rows)
+    return agg.selectExpr(f"stack({len(rows)}, {body}) AS ({', '.join(LEDGER_COLS)})")
 
-def _pct(nulls: str) -> Column:
-    """100 * nulls / rows rounded to 2 decimals (NULL on an empty table) — display only."""
-    return div_half_up(c(nulls) * 100, c("c"), 2, 12)
+
+def _pf(cond: str, bad: str = "FAIL") -> str:
+    return f"CASE WHEN {cond} THEN 'PASS' ELSE '{bad}' END"
 
 
-def _rows(agg: DataFrame, rows: list[Column]) -> DataFrame:
-    return agg.select(F.inline(F.array(*rows)))
+def _band(nulls: str, warn_below: int | None) -> str:
+    # the unrounded ratio is compared: 100 * nulls / rows < pct  <=>  100 * nulls < pct * rows
+    if warn_below is None:
+        return f"CASE WHEN {nulls} * 100 < c * 10 THEN 'PASS' ELSE 'WARN' END"
+    return (f"CASE WHEN {nulls} * 100 < c * 5 THEN 'PASS' WHEN {nulls} * 100 < c * {warn_below} "
+            f"THEN 'WARN' ELSE 'FAIL' END")
+
+
+def _pct(nulls: str) -> Column:
+    """'12.34%': 100 * nulls / rows rounded to 2 decimals (NULL on an empty table) — display only."""
+    return percent_text(div_half_up(c(nulls) * 100, c("c"), 2, 12)).alias(f"{nulls}_pct")
 
 
 def dq_ledger(wh: Warehouse, params: Params = Params()) -> DataFrame:
     fl = params.row_floors
-    people = wh.people.agg(
-        F.count(F.lit(1)).alias("c"), F.count_distinct("player_id").alias("nd"),
+    n_all = F.count(F.lit(1))
+    people = (wh.people.agg(
+        n_all.alias("c"), F.count_distinct("player_id").alias("nd"),
         count_if(c("weight").isNull()).alias("nw"), count_if(c("height").isNull()).alias("nh"),
         count_if(~c("weight").between(100, 400)).alias("wr"),
         count_if(~c("height").between(50, 90)).alias("hr"))
-    pitching = wh.pitching.agg(F.count(F.lit(1)).alias("c"), count_if(c("era").isNull()).alias("ne"),
-                               count_if(c("gs") < 0).alias("gs"))
-    salaries = wh.salaries.agg(F.count(F.lit(1)).alias("c"), count_if(c("salary").isNull()).alias("sn"),
+        .select("*", _pct("nw"), _pct("nh")))
+    pitching = (wh.pitching.agg(n_all.alias("c"), count_if(c("era").isNull()).alias("ne"),
+                                count_if(c("gs") < 0).alias("gs"))
+                .select("*", _pct("ne")))
+    salaries = wh.salaries.agg(n_all.alias("c"), count_if(c("salary").isNull()).alias("sn"),
                                count_if(c("salary") <= 0).alias("sl"))
-    batting = wh.batting.agg(F.count(F.lit(1)).alias("c"))
-    teams = wh.teams.agg(F.count(F.lit(1)).alias("c"))
-
-    def rowcount(t: str, note: str | None) -> Column:
-        return _row("rowcount", t, _pass_fail(c("c") > fl[t]), c("c"), f"> {fl[t]}", note)
-
-    def below(nulls: str, pct: int) -> Column:
-        # the unrounded ratio is compared: 100 * nulls / rows < pct  <=>  100 * nulls < pct * rows
-        return c(nulls) * 100 < c("c") * pct
 
-    def band(nulls: str, warn_below: int | None) -> Column:
-        if warn_below is None:
-            return F.when(below(nulls, 10), "PASS").otherwise("WARN")
-        return F.when(below(nulls, 5), "PASS").when(below(nulls, warn_below), "WARN").otherwise("FAIL")
+    def rowcount(t: str, note: str | None):
+        return ("rowcount", t, _pf(f"c > {fl[t]}"), "c", f"> {fl[t]}", note)
 
     parts = [
-        _rows(people, [
+        _ledger_rows(people, [
             rowcount("people", "Lahman 2023 carries ~20k people"),
-            _row("uniqueness", "people.player_id", _pass_fail(c("nd") == c("c")),
-                 F.concat(c("nd").cast("string"), F.lit(" / "), c("c").cast("string")), "equal", None),
-            _row("nullratio", "people.weight", band("nw", 25), percent_text(_pct("nw")), "< 5%",
-                 "Pre-1900 records often missing"),
-            _row("nullratio", "people.height", band("nh", 25), percent_text(_pct("nh")), "< 5%", None),
-            _row("range", "people.weight ∈ [100, 400]", _pass_fail(c("wr") == 0, "WARN"), c("wr"), "0", None),
-            _row("range", "people.height ∈ [50, 90]", _pass_fail(c("hr") == 0, "WARN"), c("hr"), "0", None),
+            ("uniqueness", "people.player_id", _pf("nd = c"), "concat(nd, ' / ', c)", "equal", None),
+            ("nullratio", "people.weight", _band("nw", 25), "nw_pct", "< 5%", "Pre-1900 records often missing"),
+            ("nullratio", "people.height", _band("nh", 25), "nh_pct", "< 5%", None),
+            ("range", "people.weight ∈ [100, 400]", _pf("wr = 0", "WARN"), "wr", "0", None),
+            ("range", "people.height ∈ [50, 90]", _pf("hr = 0", "WARN"), "hr", "0", None),
         ]),
-        _rows(teams, [rowcount("teams", "One row per team-year since 1871")]),
-        _rows(batting, [rowcount("batting", None)]),
-        _rows(pitching, [
+        _ledger_rows(wh.teams.agg(n_all.alias("c")), [rowcount("teams", "One row per team-year since 1871")]),
+        _ledger_rows(wh.batting.agg(n_all.alias("c")), [rowcount("batting", None)]),
+        _ledger_rows(pitching, [
             rowcount("pitching", None),
-            _row("nullratio", "pitching.era", band("ne", None), percent_text(_pct("ne")), "< 10%",
-                 "NULL when no batters faced"),
-            _row("range", "pitching.gs >= 0", _pass_fail(c("gs") == 0), c("gs"), "0", None),
+            ("nullratio", "pitching.era", _band("ne", None), "ne_pct", "< 10%", "NULL when no batters faced"),
+            ("range", "pitching.gs >= 0", _pf("gs = 0"), "gs", "0", None),
         ]),
-        _rows(salaries, [
+        _ledger_rows(salaries, [
             rowcount("salaries", "Salaries only from 1985 onward"),
-            _row("nullratio", "salaries.salary", _pass_fail(c("sn") == 0), c("sn"), "0",
-                 "Salaries must be present"),
-            _row("range", "salaries.salary > 0", _pass_fail(c("sl") == 0), c("sl"), "0", None),
+            ("nullratio", "salaries.salary", _pf("sn = 0"), "sn", "0", "Salaries must be present"),
+            ("range", "salaries.salary > 0", _pf("sl = 0"), "sl", "0", None),
         ]),
     ]
     orphan_counts = [
         (orphans(wh.batting.select("player_id"), wh.people, ["player_id"]),
-         "batting.player_id → people", None, None),
+         "batting.player_id → people", _pf("n = 0"), None),
         (orphans(wh.pitching.select("player_id"), wh.people, ["player_id"]),
-         "pitching.player_id → people", None, None),
+         "pitching.player_id → people", _pf("n = 0"), None),
         (orphans(wh.salaries.select("team_id", "year_id"), wh.teams, ["team_id", "year_id"]),
-         "salaries.(team_id,year_id) → teams", 50,
+         "salaries.(team_id,year_id) → teams",
+         "CASE WHEN n = 0 THEN 'PASS' WHEN n < 50 THEN 'WARN' ELSE 'FAIL' END",
          "Some lg_id mismatches are historical (e.g., 1994 strike year)"),
     ]
-    for df, name, warn_below, note in orphan_counts:
-        n = c("n")
-        status = (_pass_fail(n == 0) if warn_below is None
-                  else F.when(n == 0, "PASS").when(n < warn_below, "WARN").otherwise("FAIL"))
-        parts.append(_rows(df.agg(F.count(F.lit(1)).alias("n")),
-                           [_row("refintegrity", name, status, n, "0", note)]))
+    for df, name, status, note in orphan_counts:
+        parts.append(_ledger_rows(df.agg(n_all.alias("n")), [("refintegrity", name, status, "n", "0", note)]))
     gaps = (wh.batting.groupBy("player_id", "year_id")
-            .agg(F.max("stint").alias("max_s"), F.count(F.lit(1)).alias("n"))
+            .agg(F.max("stint").alias("max_s"), n_all.alias("n"))
             .where(c("max_s") != c("n")))
-    parts.append(_rows(gaps.agg(F.count(F.lit(1)).alias("n")), [
-        _row("logic", "batting stint sequencing", _pass_fail(c("n") == 0, "WARN"), c("n"), "0",
-             "Stints should be dense 1..N per player-year")]))
+    parts.append(_ledger_rows(gaps.agg(n_all.alias("n")), [
+        ("logic", "batting stint sequencing", _pf("n = 0", "WARN"), "n", "0",
+         "Stints should be dense 1..N per player-year")]))
     ledger = parts[0]
     for p in parts[1:]:
         ledger = ledger.unionByName(p)
     severity = F.when(c("status") == "FAIL", 0).when(c("status") == "WARN", 1).otherwise(2)
-    return ledger.select(*LEDGER_COLS).orderBy(severity, "category", "check_name")
+    return ledger.orderBy(severity, "category", "check_name")
 
 
 def dq_summary(ledger: DataFrame) -> DataFrame:
