@@ -73,3 +73,21 @@ def test_entry_smoke(spark):
     assert df.count() == 1
     assert df.columns == ["team_id", "year_id", "team_name", "wins", "total_payroll_usd", "cost_per_win_usd"]
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_headline_plans_have_no_pairwise_or_python_operators(spark):
+    import re
+
+    from dugout.plans import quality as M
+    from dugout.plans import sabermetrics as K
+    wh = _persisted(spark)
+    p = Params.fixture()
+    plans = [J.heaviest_hitters(wh), J.biggest_spenders(wh), J.bang_for_buck(wh, p.season),
+             J.priciest_starter(wh, p), J.team_ace(wh, p), K.fip_leaderboard(wh, p),
+             K.era_plus_leaderboard(wh, p), K.war_leaderboard(wh, p), M.dq_ledger(wh, p),
+             M.mart_models(wh, p)["mart_pitcher_advanced"]]
+    for df in plans:
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython", plan)
+        assert "*(" in plan                                   # whole-stage codegen present
