@@ -1,90 +1,91 @@
-"""Derived rate columns stored at load time (pitching, batting, people)."""
+"""Derived rate columns stored at load time (pitching, batting, people).
+
+Each function takes column *names* and returns one Column built from a single SQL expression
+(``dugout.functions.numeric.div_half_up_sql``), which keeps plan construction cheap.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dugout.functions.numeric import LONG, div_half_up
+from dugout.functions.numeric import div_half_up_sql
 
 
-def _z(c: Column) -> Column:
-    return F.coalesce(c, F.lit(0))
+def _q(name: str) -> str:
+    return f"`{name}`"
 
 
-def innings_pitched(ipouts: Column) -> Column:
-    """ipouts / 3 as numeric(6,1) — decimal thirds (33.3), not the '33.1' box-score notation."""
-    return div_half_up(ipouts, F.lit(3), 1, 6)
+def _z(name: str) -> str:
+    return f"coalesce({_q(name)}, 0)"
 
 
-def per_nine(stat: Column, ipouts: Column) -> Column:
-    """stat * 27 / ipouts as numeric(6,2); NULL unless ipouts > 0 (K/9, BB/9)."""
-    return F.when(ipouts > 0, div_half_up(stat.cast(LONG) * 27, ipouts, 2, 6))
+def innings_pitched(ipouts: str = "ipouts") -> Column:
+    """ipouts / 3 as numeric(6,1) — decimal thirds (33.3), not the '33.1' box-score notation."""
+    return F.expr(div_half_up_sql(_q(ipouts), "3", 1, 6))
 
 
-def plate_appearances(ab: Column, bb: Column, hbp: Column, sh: Column, sf: Column) -> Column:
-    return (_z(ab) + _z(bb) + _z(hbp) + _z(sh) + _z(sf)).cast("int")
+def per_nine(stat: str, ipouts: str = "ipouts") -> Column:
+    """stat * 27 / ipouts as numeric(6,2); NULL unless ipouts > 0 (K/9, BB/9)."""
+    return F.expr(f"CASE WHEN {_q(ipouts)} > 0 THEN "
+                  f"{div_half_up_sql(f'CAST({_q(stat)} AS BIGINT) * 27', _q(ipouts), 2, 6)} END")
 
 
-def _obp_parts(h, bb, hbp, ab, sf):
-    return _z(h) + _z(bb) + _z(hbp), _z(ab) + _z(bb) + _z(hbp) + _z(sf)
+def plate_appearances() -> Column:
+    """AB + BB + HBP + SH + SF, each NULL counted as 0."""
+    return F.expr(f"CAST({_z('ab')} + {_z('bb')} + {_z('hbp')} + {_z('sh')} + {_z('sf')} AS INT)")
 
 
-def _slg_parts(h, b2, b3, hr, ab):
-    singles = _z(h) - _z(b2) - _z(b3) - _z(hr)
-    return singles + 2 * _z(b2) + 3 * _z(b3) + 4 * _z(hr), ab
+OBP_NUM = f"({_z('h')} + {_z('bb')} + {_z('hbp')})"
+OBP_DEN = f"({_z('ab')} + {_z('bb')} + {_z('hbp')} + {_z('sf')})"
+SLG_NUM = (f"({_z('h')} - {_z('2b')} - {_z('3b')} - {_z('hr')} + 2 * {_z('2b')} + 3 * {_z('3b')} "
+           f"+ 4 * {_z('hr')})")
+SLG_DEN = "`ab`"                        # AB itself is not coalesced
 
 
-def on_base_pct(h, bb, hbp, ab, sf) -> Column:
+def on_base_pct() -> Column:
     """(H+BB+HBP) / NULLIF(AB+BB+HBP+SF, 0) as numeric(5,3)."""
-    n, d = _obp_parts(h, bb, hbp, ab, sf)
-    return div_half_up(n, d, 3, 5)
+    return F.expr(div_half_up_sql(OBP_NUM, OBP_DEN, 3, 5))
 
 
-def slugging_pct(h, b2, b3, hr, ab) -> Column:
-    """Total bases / NULLIF(AB, 0) as numeric(5,3); AB itself is not coalesced."""
-    n, d = _slg_parts(h, b2, b3, hr, ab)
-    return div_half_up(n, d, 3, 5)
+def slugging_pct() -> Column:
+    """Total bases / NULLIF(AB, 0) as numeric(5,3)."""
+    return F.expr(div_half_up_sql(SLG_NUM, SLG_DEN, 3, 5))
 
 
-def on_base_plus_slugging(h, b2, b3, hr, bb, hbp, ab, sf) -> Column:
+def on_base_plus_slugging() -> Column:
     """COALESCE(obp,0) + COALESCE(slg,0) rounded once (never NULL).
 
     Summed as one exact fraction n1/d1 + n2/d2 so the single rounding sees the exact value;
     adding the two rounded columns would give e.g. 0.666 instead of 0.667.
     """
-    n1, d1 = _obp_parts(h, bb, hbp, ab, sf)
-    n2, d2 = _slg_parts(h, b2, b3, hr, ab)
-    d1 = F.nullif(d1.cast(LONG), F.lit(0).cast(LONG))
-    d2 = F.nullif(d2.cast(LONG), F.lit(0).cast(LONG))
-    one = F.lit(1).cast(LONG)
-    t1 = F.when(d1.isNotNull(), n1.cast(LONG) * F.coalesce(d2, one)).otherwise(F.lit(0).cast(LONG))
-    t2 = F.when(d2.isNotNull(), n2.cast(LONG) * F.coalesce(d1, one)).otherwise(F.lit(0).cast(LONG))
-    return div_half_up(t1 + t2, F.coalesce(d1, one) * F.coalesce(d2, one), 3, 5)
+    d1 = f"NULLIF(CAST({OBP_DEN} AS BIGINT), 0)"
+    d2 = f"NULLIF(CAST({SLG_DEN} AS BIGINT), 0)"
+    t1 = f"CASE WHEN {d1} IS NOT NULL THEN CAST({OBP_NUM} AS BIGINT) * coalesce({d2}, 1) ELSE 0 END"
+    t2 = f"CASE WHEN {d2} IS NOT NULL THEN CAST({SLG_NUM} AS BIGINT) * coalesce({d1}, 1) ELSE 0 END"
+    return F.expr(div_half_up_sql(f"{t1} + {t2}", f"coalesce({d1}, 1) * coalesce({d2}, 1)", 3, 5))
 
 
-def full_name(first: Column, last: Column) -> Column:
+def full_name(first: str = "name_first", last: str = "name_last") -> Column:
     """TRIM(COALESCE(first,'') || ' ' || COALESCE(last,'')) — never NULL, may be ''."""
-    return F.trim(F.concat(F.coalesce(first, F.lit("")), F.lit(" "), F.coalesce(last, F.lit(""))))
+    return F.expr(f"trim(concat(coalesce({_q(first)}, ''), ' ', coalesce({_q(last)}, '')))")
+
+
+def with_pitching_rates(pitching: DataFrame) -> DataFrame:
+    return pitching.select("*", innings_pitched().alias("innings_pitched"),
+                           per_nine("so").alias("k_per_9"), per_nine("bb").alias("bb_per_9"))
 
 
-def with_pitching_rates(pitching):
-    ip, so, bb = F.col("ipouts"), F.col("so"), F.col("bb")
-    return pitching.select("*", innings_pitched(ip).alias("innings_pitched"),
-                           per_nine(so, ip).alias("k_per_9"), per_nine(bb, ip).alias("bb_per_9"))
+BATTING_INPUTS = ("ab", "h", "2b", "3b", "hr", "bb", "hbp", "sh", "sf")
 
 
-def with_batting_rates(batting):
-    c = {k: (F.col(f"`{k}`") if k in batting.columns else F.lit(None).cast("int"))
-         for k in ("ab", "h", "2b", "3b", "hr", "bb", "hbp", "sh", "sf")}
-    return batting.select(
-        "*",
-        plate_appearances(c["ab"], c["bb"], c["hbp"], c["sh"], c["sf"]).alias("pa"),
-        on_base_pct(c["h"], c["bb"], c["hbp"], c["ab"], c["sf"]).alias("obp"),
-        slugging_pct(c["h"], c["2b"], c["3b"], c["hr"], c["ab"]).alias("slg"),
-        on_base_plus_slugging(c["h"], c["2b"], c["3b"], c["hr"], c["bb"], c["hbp"], c["ab"],
-                              c["sf"]).alias("ops"))
+def with_batting_rates(batting: DataFrame) -> DataFrame:
+    missing = [k for k in BATTING_INPUTS if k not in batting.columns]
+    src = batting.select("*", *[F.lit(None).cast("int").alias(k) for k in missing]) if missing else batting
+    out = src.select("*", plate_appearances().alias("pa"), on_base_pct().alias("obp"),
+                     slugging_pct().alias("slg"), on_base_plus_slugging().alias("ops"))
+    return out.drop(*missing) if missing else out
 
 
-def with_full_name(people):
-    return people.select("*", full_name(F.col("name_first"), F.col("name_last")).alias("full_name"))
+def with_full_name(people: DataFrame) -> DataFrame:
+    return people.select("*", full_name().alias("full_name"))
