@@ -5,20 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dugout.functions.numeric import ratio
+from dugout.functions.numeric import div_half_up_sql, ratio
 
 
 def _only(col: Column, cond: Column | None) -> Column:
     return col if cond is None else F.when(cond, col)
 
 
-def mean_half_up(col: Column, decimals: int, scale: int, precision: int = 18,
-                 cond: Column | None = None, wide: bool = False) -> Column:
+def mean_half_up(col: Column | str, decimals: int, scale: int, precision: int = 18,
+                 cond: Column | str | None = None, wide: bool = False) -> Column:
     """AVG(col) [FILTER (WHERE cond)] cast to numeric(precision, scale), exactly rounded.
 
     ``decimals`` is the scale of ``col`` (0 for integers).  Spark's ``avg(decimal)`` rounds to
     scale+4 before any narrowing, so the mean is formed as an exact SUM / COUNT instead.
+    ``col``/``cond`` may be SQL text, which builds the whole aggregate as one expression.
     """
+    if isinstance(col, str) and (cond is None or isinstance(cond, str)):
+        v = f"CASE WHEN {cond} THEN {col} END" if cond else col
+        t = "DECIMAL(38,0)" if wide else "BIGINT"
+        num = f"CAST(sum({v}) * {10 ** decimals} AS {t})" if decimals else f"sum({v})"
+        den = f"count({v}) * {10 ** decimals}" if decimals else f"count({v})"
+        return F.expr(div_half_up_sql(num, den, scale, precision, wide))
+    col = F.expr(col) if isinstance(col, str) else col
+    cond = F.expr(cond) if isinstance(cond, str) else cond
     v = _only(col, cond)
     return ratio(F.sum(v), F.count(v), scale, precision, num_scale=decimals, wide=wide)
 

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dugout.functions.aggregates import mean_half_up, stddev_decimal
-from dugout.functions.numeric import LONG, div_half_up, ratio, scaled
+from dugout.functions.numeric import div_half_up_sql, ratio
 from dugout.params import Params
 from dugout.plans.aggregates import team_payroll, team_physiques
-from dugout.plans.sabermetrics import fip_raw
 
 c = F.col
 
@@ -41,22 +40,24 @@ def mart_pitcher_advanced(stg_pitching: DataFrame, stg_people: DataFrame,
     rounded numeric(6,3) league values, HBP is not coalesced, and the base excludes era = 0.
     """
     base = stg_pitching.where((c("ipouts") >= params.ip_floor) & c("era").isNotNull() & (c("era") > 0))
-    raw = fip_raw(c("home_runs_allowed"), c("walks"), c("hit_batters"), c("strikeouts")).cast(LONG)
-    ip10 = scaled(c("innings_pitched"), 1)
-    base = base.withColumn("_raw", raw).withColumn("_ip10", ip10)
-    per_ip = div_half_up(c("_raw") * 10, c("_ip10"), 12, 30, wide=True)   # raw / IP, 12 decimals
+    raw = "CAST(13 * home_runs_allowed + 3 * (walks + hit_batters) - 2 * strikeouts AS BIGINT)"
+    base = base.select("*", F.expr(raw).alias("_raw"),
+                       F.expr("CAST(innings_pitched * 10 AS BIGINT)").alias("_ip10"))
+    per_ip = div_half_up_sql("_raw * 10", "_ip10", 12, 30, wide=True)     # raw / IP, 12 decimals
     league = (base.groupBy("year_id", "lg_id")
-              .agg(mean_half_up(c("era"), 2, 3, 6).alias("league_era"),
+              .agg(mean_half_up("era", 2, 3, 6).alias("league_era"),
                    stddev_decimal(c("era"), 3, 6).alias("league_era_stddev"),
                    mean_half_up(per_ip, 12, 3, 6, wide=True).alias("lg_raw_fip"))
-              .withColumn("_c_milli", scaled(c("league_era"), 3) - scaled(c("lg_raw_fip"), 3)))
+              .select("*", F.expr("CAST(league_era * 1000 AS BIGINT) - CAST(lg_raw_fip * 1000 AS BIGINT)")
+                      .alias("_c_milli")))
     names = stg_people.select("player_id", c("full_name").alias("pitcher"))
     j = base.join(league, ["year_id", "lg_id"]).join(names, "player_id")
-    e, m, s = scaled(c("era"), 2), scaled(c("league_era"), 3), scaled(c("league_era_stddev"), 3)
+    e, m, s = "CAST(era * 100 AS BIGINT)", "CAST(league_era * 1000 AS BIGINT)", \
+        "CAST(league_era_stddev * 1000 AS BIGINT)"
     # fip = 10*raw/ip10 + c_milli/1000 = (10000*raw + ip10*c_milli) / (1000*ip10)
-    fip = div_half_up(c("_raw") * 10000 + c("_ip10") * c("_c_milli"), c("_ip10") * 1000, 2, 8)
+    fip = div_half_up_sql("_raw * 10000 + _ip10 * _c_milli", "_ip10 * 1000", 2, 8)
     return j.select("player_id", "year_id", "team_id", "lg_id", "pitcher", "games_started",
-                    "innings_pitched", "era", fip.alias("fip"),
-                    div_half_up(e * 10 - m, s, 3, 10).alias("era_z_score"),
-                    div_half_up(m * 10, e, 0, 10).cast("int").alias("era_plus"),
+                    "innings_pitched", "era", F.expr(fip).alias("fip"),
+                    F.expr(div_half_up_sql(f"{e} * 10 - {m}", s, 3, 10)).alias("era_z_score"),
+                    F.expr(f"CAST({div_half_up_sql(f'{m} * 10', e, 0, 10)} AS INT)").alias("era_plus"),
                     "k_per_9", "bb_per_9", "league_era", "league_era_stddev")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dugout.functions.aggregates import mean_half_up
-from dugout.functions.numeric import LONG, WIDE, div_half_up, scaled
+from dugout.functions.numeric import WIDE, div_half_up, div_half_up_sql, scaled
 from dugout.operators.ntile import ntile
 from dugout.operators.topk import check_k, top_k
 from dugout.params import Params
@@ -104,14 +104,14 @@ def woba(batting: DataFrame, params: Params = Params()) -> DataFrame:
 
     BB, AB and H are deliberately not coalesced: a NULL there makes wOBA NULL (row kept)."""
     w = WOBA_WEIGHTS_MILLI
-    ibb, hbp, b2, b3, hr, sf = (_z(c(x)) for x in ("ibb", "hbp", "2b", "3b", "hr", "sf"))
-    num = (F.lit(w["ubb"]) * (c("bb") - ibb) + F.lit(w["hbp"]) * hbp
-           + F.lit(w["1b"]) * (c("h") - b2 - b3 - hr) + F.lit(w["2b"]) * b2
-           + F.lit(w["3b"]) * b3 + F.lit(w["hr"]) * hr)
-    den = c("ab") + c("bb") - ibb + sf + hbp
+    z = {x: f"coalesce(`{x}`, 0)" for x in ("ibb", "hbp", "2b", "3b", "hr", "sf")}
+    num = (f"{w['ubb']} * (bb - {z['ibb']}) + {w['hbp']} * {z['hbp']}"
+           f" + {w['1b']} * (h - {z['2b']} - {z['3b']} - {z['hr']}) + {w['2b']} * {z['2b']}"
+           f" + {w['3b']} * {z['3b']} + {w['hr']} * {z['hr']}")
+    den = f"CAST(ab + bb - {z['ibb']} + {z['sf']} + {z['hbp']} AS BIGINT) * 1000"
     return (batting.where(c("pa") >= params.pa_floor)
             .select("player_id", "year_id", "team_id", "lg_id", "stint", "pa", "ab", "obp", "slg",
-                    "ops", div_half_up(num, den.cast(LONG) * 1000, 3, 10).alias("woba")))
+                    "ops", F.expr(div_half_up_sql(num, den, 3, 10)).alias("woba")))
 
 
 def woba_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10) -> DataFrame:
@@ -129,12 +129,13 @@ def era_adjusted(pitching: DataFrame, params: Params = Params(),
     b = baseline if baseline is not None else league_pitching_baseline(pitching, params)
     rows = (pitching.where((c("ipouts") >= params.ip_floor) & c("era").isNotNull() & (c("era") > 0))
             .join(b.select(*KEYS, "league_era_mean", "league_era_stddev"), KEYS))
-    e, m, s = scaled(c("era"), 2), scaled(c("league_era_mean"), 3), scaled(c("league_era_stddev"), 3)
+    e, m, s = "CAST(era * 100 AS BIGINT)", "CAST(league_era_mean * 1000 AS BIGINT)", \
+        "CAST(league_era_stddev * 1000 AS BIGINT)"
     scored = rows.select(
         "player_id", "year_id", "team_id", "lg_id", "stint", "innings_pitched", "era",
         "league_era_mean", "league_era_stddev",
-        div_half_up(e * 10 - m, s, 3, 10).alias("era_z_score"),
-        div_half_up(m * 10, e, 0, 10).cast("int").alias("era_plus"))
+        F.expr(div_half_up_sql(f"{e} * 10 - {m}", s, 3, 10)).alias("era_z_score"),
+        F.expr(f"CAST({div_half_up_sql(f'{m} * 10', e, 0, 10)} AS INT)").alias("era_plus"))
     # NTILE(100) per league-season, lowest ERA first; numbered from a value histogram so a hot
     # league-season is not sorted by one task (see dugout.operators.ntile)
     return ntile(scored, 100, KEYS, "era", ["player_id", "stint"], "era_percentile")
@@ -153,24 +154,25 @@ def era_plus_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10,
 def pitching_war(pitching: DataFrame, params: Params = Params()) -> DataFrame:
     """((lg_fip - fip) * IP / 9) / 10, lg_fip = mean FIP of the league-season as numeric(6,3)."""
     f = fip(pitching, params)
-    lg = f.groupBy(*KEYS).agg(mean_half_up(c("fip"), 2, 3, 6).alias("lg_fip"))
+    lg = f.groupBy(*KEYS).agg(mean_half_up("fip", 2, 3, 6).alias("lg_fip"))
     j = f.join(lg, KEYS)
-    num = (scaled(c("lg_fip"), 3) - scaled(c("fip"), 2) * 10) * scaled(c("innings_pitched"), 1)
+    num = ("(CAST(lg_fip * 1000 AS BIGINT) - CAST(fip * 100 AS BIGINT) * 10)"
+           " * CAST(innings_pitched * 10 AS BIGINT)")
     return j.select("player_id", "year_id", "team_id", "lg_id", "stint", "innings_pitched", "era",
-                    "fip", "lg_fip", div_half_up(num, F.lit(9000), 2, 10).alias("war_proxy"))
+                    "fip", "lg_fip", F.expr(div_half_up_sql(num, "9000", 2, 10)).alias("war_proxy"))
 
 
 def batting_war(batting: DataFrame, params: Params = Params()) -> DataFrame:
     """(((woba - lg_woba) / scale) * PA) / 10, lg_woba = league mean wOBA as numeric(5,3)."""
     w = woba(batting, params)
-    lg = w.groupBy(*KEYS).agg(mean_half_up(c("woba"), 3, 3, 5).alias("lg_woba"))
+    lg = w.groupBy(*KEYS).agg(mean_half_up("woba", 3, 3, 5).alias("lg_woba"))
     scale_c = Decimal(params.woba_scale) * 100          # 1.20 -> 120
     if scale_c != scale_c.to_integral_value():
         raise ValueError("woba_scale must have at most 2 decimals")
-    num = (scaled(c("woba"), 3) - scaled(c("lg_woba"), 3)) * c("pa").cast(LONG)
+    num = "(CAST(woba * 1000 AS BIGINT) - CAST(lg_woba * 1000 AS BIGINT)) * CAST(pa AS BIGINT)"
     return (w.join(lg, KEYS)
             .select("player_id", "year_id", "team_id", "lg_id", "stint", "pa", "woba", "lg_woba",
-                    div_half_up(num, F.lit(int(scale_c)), 2, 10).alias("war_proxy")))
+                    F.expr(div_half_up_sql(num, str(int(scale_c)), 2, 10)).alias("war_proxy")))
 
 
 def war_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10) -> DataFrame:
