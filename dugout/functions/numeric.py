@@ -58,13 +58,20 @@ def scaled(col: Column, decimals: int, wide: bool = False) -> Column:
     return (col * (10 ** decimals) if decimals else col).cast(WIDE if wide else LONG)
 
 
-def ratio(num: Column, den: Column, scale: int, precision: int = 18,
+def ratio(num: Column | str, den: Column | str, scale: int, precision: int = 18,
           num_scale: int = 0, den_scale: int = 0, wide: bool = False) -> Column:
     """Guarded ratio ``ROUND(num::numeric / NULLIF(den, 0), scale)`` (the reference's metric shape).
 
     ``num_scale``/``den_scale`` declare how many decimals the operands carry so that they can be
-    turned into exact integers first.
+    turned into exact integers first.  Operands given as SQL text build one expression.
     """
+    if isinstance(num, str) and isinstance(den, str):
+        t = WIDE if wide else LONG
+        n = f"CAST(({num}) * {10 ** num_scale} AS {t})" if num_scale else f"({num})"
+        d = f"CAST(({den}) * {10 ** den_scale} AS {t})" if den_scale else f"({den})"
+        n = f"{n} * {10 ** den_scale}" if den_scale else n
+        d = f"{d} * {10 ** num_scale}" if num_scale else d
+        return F.expr(div_half_up_sql(n, d, scale, precision, wide))
     n = scaled(num, num_scale, wide)
     d = scaled(den, den_scale, wide)
     if den_scale:

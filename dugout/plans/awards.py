@@ -83,7 +83,7 @@ def cost_per_win(wh: Warehouse, year: int, payroll: DataFrame | None = None) ->
     return (p.where(c("year_id") == year)
             .join(t.where(c("wins") > 0), ["team_id", "year_id"])
             .select("team_id", "year_id", "lg_id", "team_name", "wins", "total_payroll_usd",
-                    ratio(c("total_payroll_usd"), c("wins"), 2, 20).alias("cost_per_win_usd")))
+                    ratio("total_payroll_usd", "wins", 2, 20).alias("cost_per_win_usd")))
 
 
 def bang_for_buck(wh: Warehouse, year: int, k: int = 1, payroll: DataFrame | None = None) -> DataFrame:
@@ -111,7 +111,7 @@ def starter_costs(wh: Warehouse, params: Params = Params(), year: int | None = N
         pi = pi.where(c("year_id") == year)
     return (pi.select("player_id", "year_id", "team_id", "stint", "gs", "innings_pitched")
             .join(s, ["player_id", "year_id", "team_id"])
-            .withColumn("cost_per_start_usd", ratio(c("salary"), c("gs"), 2, 20, num_scale=2)))
+            .withColumn("cost_per_start_usd", ratio("salary", "gs", 2, 20, num_scale=2)))
 
 
 def priciest_starter(wh: Warehouse, params: Params = Params(), year: int | None = None,

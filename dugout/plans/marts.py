@@ -22,8 +22,8 @@ def mart_team_payroll(stg_salaries: DataFrame, stg_teams: DataFrame) -> DataFram
     return (payroll.join(record, ["year_id", "team_id"], "left")
             .select("year_id", "team_id", "lg_id", "team_name", "roster_size", "total_payroll_usd",
                     "avg_salary_usd", "median_salary_usd", "wins", "losses", "win_pct",
-                    ratio(c("total_payroll_usd"), c("wins"), 2, 20).alias("cost_per_win_usd"),
-                    ratio(c("total_payroll_usd"), c("wins") + c("losses"), 2, 20).alias("cost_per_game_usd")))
+                    ratio("total_payroll_usd", "wins", 2, 20).alias("cost_per_win_usd"),
+                    ratio("total_payroll_usd", "wins + losses", 2, 20).alias("cost_per_game_usd")))
 
 
 def mart_team_physiques(stg_batting: DataFrame, stg_people: DataFrame) -> DataFrame:

@@ -32,3 +32,13 @@ def test_div_half_up_is_exact(spark, rows, scale, wide):
     for (n, d), r in zip(rows, got):
         want = _expected(n, d, scale)
         assert r.a == want and r.b == want, (n, d, scale, r, want)
+
+
+def test_ratio_sql_and_column_forms_agree(spark):
+    from dugout.functions.numeric import ratio
+    df = spark.createDataFrame([(Decimal("10.50"), 4), (Decimal("-0.05"), 2), (Decimal("7.00"), 0), (None, 3)],
+                               "s decimal(12,2), n int")
+    got = df.select(ratio("s", "n", 2, 20, num_scale=2).alias("a"),
+                    ratio(F.col("s"), F.col("n"), 2, 20, num_scale=2).alias("b")).collect()
+    assert [(r.a, r.b) for r in got] == [(Decimal("2.63"), Decimal("2.63")), (Decimal("-0.03"), Decimal("-0.03")),
+                                         (None, None), (None, None)]
