@@ -69,6 +69,8 @@ def dq_ledger(wh: Warehouse, params: Params = Params()) -> DataFrame:
     salaries = wh.salaries.agg(n_all.alias("c"), count_if(c("salary").isNull()).alias("sn"),
                                count_if(c("salary") <= 0).alias("sl"))
 
+    # The ledger's check names, expected texts, notes and status bands are the
+    # reference ledger's output text and thresholds (row floors come from Params).
     def rowcount(t: str, note: str | None):
         return ("rowcount", t, _pf(f"c > {fl[t]}"), "c", f"> {fl[t]}", note)
 

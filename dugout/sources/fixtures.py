@@ -1,4 +1,5 @@
-"""Lahman-shaped raw tables derived from the TPC-H-style TESTDATA parquet.
+"""The five raw season tables (people, teams, batting, pitching, salaries) derived from the
+TPC-H-style TESTDATA parquet.
 
 customer -> people, orders x lineitem -> batting/pitching seasons, orders -> salaries,
 nation x order years -> teams.  The derivations are fixed values (see FIXTURES.md §2) that the
