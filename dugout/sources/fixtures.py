@@ -176,13 +176,15 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict:
     }
 
 
-def persist_raw(spark: SparkSession, sf_dir: str, root: str) -> None:
+def persist_raw(spark: SparkSession, sf_dir: str, root: str, buckets: int | None = None) -> None:
     """Load job: derive the raw layer from TESTDATA and persist it under ``root/raw``.
 
     The season helper (the only step that reads lineitem) is written once to the shared folder
     and both batting and pitching are derived from that copy, so lineitem is scanned once and a
     lost executor later in the job recomputes from the written table, not from lineitem.
-    Fact tables are laid out by season.
+    Fact tables are laid out by season; with ``buckets`` the player-keyed tables (people,
+    batting, pitching, salaries) are instead hash-bucketed on ``player_id`` so player joins need
+    no shuffle (read back with ``Warehouse.from_bucketed``).
     """
     from dugout.sources.sinks import write_layer
     from dugout.sources.warehouse import Warehouse
@@ -196,6 +198,10 @@ def persist_raw(spark: SparkSession, sf_dir: str, root: str) -> None:
         "pitching": pitching(s),
         "salaries": salaries(t["orders"], t["customer"]),
     })
+    from dugout.sources.sinks import write_bucketed
     for name, df in wh.tables().items():
+        if buckets and name != "teams":
+            write_bucketed(df, root, "raw", name, buckets)
+            continue
         part = ("year_id",) if name in ("batting", "pitching", "salaries") else ()
         write_layer(df, root, "raw", name, partition_by=part)

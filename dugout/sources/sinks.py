@@ -82,3 +82,36 @@ def refresh_aggregates(wh, root: str, params=None) -> dict[str, str]:
         "mv_league_pitching_baseline": publish(A.league_pitching_baseline(wh.pitching, params), root,
                                                "analytics", "mv_league_pitching_baseline"),
     }
+
+
+def _table_name(layer: str, name: str) -> str:
+    return f"dugout_{layer}_{name}"
+
+
+def write_bucketed(df: DataFrame, root: str, layer: str, name: str, buckets: int,
+                   by: tuple[str, ...] = ("player_id",)) -> str:
+    """Write a table hash-bucketed (and sorted) on ``by`` under the shared folder.
+
+    Joins between tables bucketed the same way on their join key (e.g. batting, pitching and
+    people on ``player_id``) then run as sort-merge joins without any shuffle.  The files live in
+    the shared folder; the catalog entry is an external table that ``read_bucketed`` re-creates in
+    any session, so nothing depends on one driver's metastore.
+    """
+    table = _table_name(layer, name)
+    (df.write.mode("overwrite").bucketBy(buckets, *by).sortBy(*by)
+     .option("path", _path(root, layer, name)).saveAsTable(table))
+    return table
+
+
+def read_bucketed(spark: SparkSession, root: str, layer: str, name: str, buckets: int,
+                  by: tuple[str, ...] = ("player_id",)) -> DataFrame:
+    """Attach a bucketed table written by ``write_bucketed`` (idempotent) and return it."""
+    table = _table_name(layer, name)
+    if not spark.catalog.tableExists(table):
+        path = _path(root, layer, name)
+        schema = spark.read.parquet(path).schema                     # footer read only
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        keys = ", ".join(f"`{c}`" for c in by)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({keys}) "
+                  f"SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(table)

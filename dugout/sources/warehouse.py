@@ -54,5 +54,17 @@ class Warehouse:
         from dugout.sources.sinks import read_layer
         return Warehouse({t: (lambda t=t: read_layer(spark, root, "raw", t)) for t in TABLE_NAMES})
 
+    @staticmethod
+    def from_bucketed(spark: SparkSession, root: str, buckets: int) -> "Warehouse":
+        """Tables written by ``fixtures.persist_raw(..., buckets=n)``: player-keyed tables bucketed
+        on ``player_id`` (shuffle-free player joins), teams as plain Parquet."""
+        from dugout.sources.sinks import read_bucketed, read_layer
+
+        def src(t):
+            if t == "teams":
+                return lambda: read_layer(spark, root, "raw", t)
+            return lambda: read_bucketed(spark, root, "raw", t, buckets)
+        return Warehouse({t: src(t) for t in TABLE_NAMES})
+
     def tables(self) -> dict[str, DataFrame]:
         return {n: self._get(n) for n in TABLE_NAMES}
