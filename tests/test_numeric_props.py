@@ -42,3 +42,24 @@ def test_ratio_sql_and_column_forms_agree(spark):
                     ratio(F.col("s"), F.col("n"), 2, 20, num_scale=2).alias("b")).collect()
     assert [(r.a, r.b) for r in got] == [(Decimal("2.63"), Decimal("2.63")), (Decimal("-0.03"), Decimal("-0.03")),
                                          (None, None), (None, None)]
+
+
+groups = st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.one_of(st.none(), st.integers(-50, 50))),
+                  min_size=1, max_size=120)
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows=groups, n=st.integers(1, 12))
+def test_ntile_and_median_match_builtins(spark, rows, n):
+    from pyspark.sql import Window
+
+    from dugout.operators.median import median_by
+    from dugout.operators.ntile import ntile
+    df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(rows)], "id int, g string, v int")
+    want = {r.id: r.b for r in df.select(
+        "id", F.ntile(n).over(Window.partitionBy("g").orderBy(F.col("v").asc_nulls_first(), "id")).alias("b")).collect()}
+    got = {r.id: r.b for r in ntile(df, n, ["g"], "v", ["id"], "b").collect()}
+    assert got == want
+    pct = {r.g: r.m for r in df.groupBy("g").agg(F.percentile("v", F.lit(0.5)).alias("m")).collect()}
+    med = {r.g: r.median for r in median_by(df, ["g"], "v").collect()}
+    assert med == {k: v for k, v in pct.items() if v is not None}
