@@ -18,16 +18,30 @@ WIDE = "decimal(38,0)"
 LONG = "bigint"
 
 
+def _int_type(scale: int, wide: bool) -> str:
+    """Decimal type for the rounded integer before it is scaled by 10^-scale.
+
+    Spark sizes a product as p1 + p2 + 1 digits and, above 38, cuts the *scale* (down to 6).
+    Keeping the integer at 37 - scale digits makes ``int * 10^-scale`` fit exactly."""
+    if not wide:
+        return "DECIMAL(18,0)"
+    return f"DECIMAL({37 - scale if scale else 38},0)"
+
+
 def div_half_up_sql(num: str, den: str, scale: int = 0, precision: int = 18, wide: bool = False) -> str:
     """SQL-text form of :func:`div_half_up` over SQL operand expressions (one parse, no per-node
     driver round trips); identical semantics."""
     t = "DECIMAL(38,0)" if wide else "BIGINT"
     n = f"(CAST(({num}) AS {t}) * {10 ** scale})" if scale else f"CAST(({num}) AS {t})"
     d = f"NULLIF(CAST(({den}) AS {t}), 0)"
-    q = f"((abs({n}) * 2 + abs({d})) div (abs({d}) * 2))"
-    signed = f"CAST(CASE WHEN ({n} < 0) != ({d} < 0) THEN -{q} ELSE {q} END AS {'DECIMAL(38,0)' if wide else 'DECIMAL(18,0)'})"
+    a, b = f"(abs({n}) * 2 + abs({d}))", f"(abs({d}) * 2)"
+    # `div` yields a 64-bit integer (and wraps silently for decimal operands); the wide path
+    # divides exactly instead: (a - a % b) / b is an integer-valued decimal
+    q = f"(({a} - {a} % {b}) / {b})" if wide else f"({a} div {b})"
+    signed = f"CAST(CASE WHEN ({n} < 0) != ({d} < 0) THEN -{q} ELSE {q} END AS {_int_type(scale, wide)})"
     if scale:
-        signed = f"({signed} * {Decimal(1).scaleb(-scale)})"
+        # a plain decimal literal ('0.000001'); exponent notation would parse as DOUBLE
+        signed = f"({signed} * {format(Decimal(1).scaleb(-scale), 'f')})"
     return f"CAST({signed} AS DECIMAL({precision},{scale}))"
 
 
@@ -46,8 +60,11 @@ def div_half_up(num: Column, den: Column, scale: int = 0, precision: int = 18,
         n = n * (10 ** scale)
     d = F.nullif(den.cast(t), F.lit(0))
     ad = F.abs(d)
-    q = F.call_function("div", F.abs(n) * 2 + ad, ad * 2)
-    signed = F.when((n < 0) != (d < 0), -q).otherwise(q).cast(WIDE if wide else "decimal(18,0)")
+    a, b = F.abs(n) * 2 + ad, ad * 2
+    # `div` yields a 64-bit integer (and wraps silently for decimal operands); the wide path
+    # divides exactly instead: (a - a % b) / b is an integer-valued decimal
+    q = (a - a % b) / b if wide else F.call_function("div", a, b)
+    signed = F.when((n < 0) != (d < 0), -q).otherwise(q).cast(_int_type(scale, wide))
     if scale:
         signed = signed * F.lit(Decimal(1).scaleb(-scale))
     return signed.cast(f"decimal({precision},{scale})")

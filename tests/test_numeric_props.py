@@ -24,11 +24,18 @@ pairs = st.lists(st.tuples(st.one_of(st.none(), st.integers(-10**9, 10**9)),
 
 
 @settings(max_examples=8, deadline=None)
-@given(rows=pairs, scale=st.integers(0, 6), wide=st.booleans())
+@given(rows=pairs, scale=st.sampled_from([0, 1, 2, 3, 6, 7, 9, 12]), wide=st.booleans())
 def test_div_half_up_is_exact(spark, rows, scale, wide):
+    if scale > 6 and not wide:          # 10**12 * 1e9 does not fit 64 bits: the wide path's job
+        rows = [(n if n is None else n % 1000, d) for n, d in rows]
     df = spark.createDataFrame(rows, "n long, d long")
     got = df.select(div_half_up(F.col("n"), F.col("d"), scale, 30, wide).alias("a"),
                     F.expr(div_half_up_sql("n", "d", scale, 30, wide)).alias("b")).collect()
+    assert "E-" not in div_half_up_sql("n", "d", scale, 30, wide)
+    out = df.select(div_half_up(F.col("n"), F.col("d"), scale, 30, wide).alias("a"),
+                    F.expr(div_half_up_sql("n", "d", scale, 30, wide)).alias("b"))
+    # no intermediate may have lost scale: both results are DECIMAL(30, scale)
+    assert [f.dataType.simpleString() for f in out.schema.fields] == [f"decimal(30,{scale})"] * 2
     for (n, d), r in zip(rows, got):
         want = _expected(n, d, scale)
         assert r.a == want and r.b == want, (n, d, scale, r, want)
@@ -63,3 +70,12 @@ def test_ntile_and_median_match_builtins(spark, rows, n):
     pct = {r.g: r.m for r in df.groupBy("g").agg(F.percentile("v", F.lit(0.5)).alias("m")).collect()}
     med = {r.g: r.median for r in median_by(df, ["g"], "v").collect()}
     assert med == {k: v for k, v in pct.items() if v is not None}
+
+
+
+def test_wide_path_handles_quotients_beyond_64_bits(spark):
+    df = spark.createDataFrame([(10**13 + 7, 3), (-(10**13 + 7), 3)], "n long, d long")
+    r = df.select(div_half_up(F.col("n"), F.col("d"), 12, 30, wide=True).alias("a"),
+                  F.expr(div_half_up_sql("n", "d", 12, 30, True)).alias("b")).collect()
+    want = Decimal("3333333333335.666666666667")
+    assert [(x.a, x.b) for x in r] == [(want, want), (-want, -want)]
