@@ -79,3 +79,20 @@ def test_wide_path_handles_quotients_beyond_64_bits(spark):
                   F.expr(div_half_up_sql("n", "d", 12, 30, True)).alias("b")).collect()
     want = Decimal("3333333333335.666666666667")
     assert [(x.a, x.b) for x in r] == [(want, want), (-want, -want)]
+
+
+@settings(max_examples=5, deadline=None)
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(-10**8, 10**8)),
+                               st.one_of(st.none(), st.integers(-10**4, 10**4))), min_size=1, max_size=100),
+       scale=st.integers(0, 4), num_scale=st.integers(0, 3), den_scale=st.integers(0, 2))
+def test_ratio_forms_match_rationals(spark, rows, scale, num_scale, den_scale):
+    from dugout.functions.numeric import ratio
+    df = spark.createDataFrame(
+        [(None if a is None else Decimal(a).scaleb(-num_scale), None if b is None else Decimal(b).scaleb(-den_scale))
+         for a, b in rows], f"a decimal(20,{num_scale}), b decimal(12,{den_scale})")
+    got = df.select(ratio("a", "b", scale, 30, num_scale=num_scale, den_scale=den_scale).alias("x"),
+                    ratio(F.col("a"), F.col("b"), scale, 30, num_scale=num_scale, den_scale=den_scale).alias("y")
+                    ).collect()
+    for (a, b), r in zip(rows, got):
+        want = None if a is None or b is None or b == 0 else _expected(a * 10 ** den_scale, b * 10 ** num_scale, scale)
+        assert r.x == want and r.y == want, (a, b, r, want)
