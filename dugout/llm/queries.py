@@ -4,18 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dugout.llm import decontaminate, license_scan, mixing
+from dugout.llm import decontaminate, jaccard_join, license_scan, mixing, token_pack
 from dugout.llm.common import read
 
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item: one row per (document, item)."""
     return (decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
             .select("doc_id", "item_id", "start_word", "n_words", "hamming", "similarity"))
 
 
+def op4_token_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_pack.pack_documents(read(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mixing.mix(read(spark, sf_dir, "documents"))
             .select("doc_id", "size", "source_size", "target", "taken", "source"))
@@ -25,10 +33,18 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its class of linked documents, its copy class, its number of links."""
+    return (jaccard_join.similar_documents(read(spark, sf_dir, "documents"))
+            .select("doc_id", "class_id", "copy_id", "n_links"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
+    "op4_token_pack": op4_token_pack,
     "op7_mixing": op7_mixing,
     "op9_license_scan": op9_license_scan,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {}
