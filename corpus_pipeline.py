@@ -6,25 +6,46 @@ again as the next stage's ``docs``. All but the last return the columns of ``doc
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dugout.llm import decontaminate, mixing
+from dugout.llm import decontaminate, jaccard_join, mixing, token_pack, toxicity
 from dugout.llm.common import read, staged
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
-def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain calls toxic go; it is fitted on the labelled documents."""
+    return toxicity.clean_documents(docs, toxicity.with_categories(read(spark, sf_dir, "labels")))
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by shingle similarity, that of the smallest doc_id stays."""
+    return jaccard_join.one_of_each(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return decontaminate.remove_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated or left out so that sources come near their target weights."""
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are repeated or left out so that sources come near their target weights."""
     return mixing.mixed_documents(docs)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole texts as token shards; a row per document of what the files hold."""
+    return token_pack.pack_documents(docs, TOKENIZER)
+
+
 STAGES = [
-    ("decontamination", decontamination),
-    ("mixing", mix),
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard_join", keep_one_of_each),
+    ("benchmark_decontamination", decontaminated),
+    ("mixing", mixed),
+    ("token_pack", packed),
 ]
 
 

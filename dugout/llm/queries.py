@@ -7,13 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dugout.llm import decontaminate, jaccard_join, license_scan, mixing, token_pack
+from dugout.llm import decontaminate, jaccard_join, license_scan, mixing, token_pack, toxicity
 from dugout.llm.common import read
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the chain's probabilities and its verdict."""
+    docs = read(spark, sf_dir, "documents")
+    chain = toxicity.fit(docs, toxicity.with_categories(read(spark, sf_dir, "labels")))
+    return toxicity.score(docs, chain).drop("text_id")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item: one row per (document, item)."""
     return (decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -40,6 +47,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
     "op4_token_pack": op4_token_pack,
     "op7_mixing": op7_mixing,

@@ -43,6 +43,13 @@ class _Powers:
 _POWERS = _Powers()
 
 
+def prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Polynomial prefix sums over bytes and the inverse powers: (sums[e - 1] - sums[s - 1]) * inverse[s]
+    is the same for equal bytes s..e wherever they stand."""
+    fwd, inv = _POWERS.upto(len(data))
+    return np.cumsum(_BYTE[data] * fwd[:len(data)], dtype=np.uint64), inv
+
+
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, number of words of every text)."""
     raw = [(t or "").lower().encode("utf-8", "surrogatepass") for t in texts]
@@ -51,8 +58,7 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     inside = ~_SPACE[data]
     edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     start, end = edge[0::2], edge[1::2]
-    fwd, inv = _POWERS.upto(len(data))
-    prefix = np.cumsum(_BYTE[data] * fwd[:len(data)], dtype=np.uint64)
+    prefix, inv = prefix_sums(data)
     words = mix64((prefix[end - 1] - prefix[start - 1]) * inv[start] + (end - start).astype(np.uint64))
     ends = np.cumsum([len(r) + 1 for r in raw])              # the place of each text's closing newline
     return words, np.diff(np.searchsorted(start, np.concatenate(([0], ends))))
