@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dugout.llm import decontaminate, jaccard_join, license_scan, mixing, token_pack, toxicity
+from dugout.llm import decontaminate, jaccard_join, license_scan, mixing, token_counts, token_pack, toxicity, winnow
 from dugout.llm.common import read
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +28,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "item_id", "start_word", "n_words", "hamming", "similarity"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    return token_counts.section_tokens(read(spark, sf_dir, "documents"), RANKS)
+
+
 def op4_token_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_pack.pack_documents(read(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -36,6 +42,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken", "source"))
 
 
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.edited_pairs(read(spark, sf_dir, "documents"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents"))
 
@@ -49,8 +59,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
+    "op3_token_counts": op3_token_counts,
     "op4_token_pack": op4_token_pack,
     "op7_mixing": op7_mixing,
+    "op8_winnowing": op8_winnowing,
     "op9_license_scan": op9_license_scan,
     "op10_jaccard_join": op10_jaccard_join,
 }

@@ -43,6 +43,11 @@ class _Powers:
 _POWERS = _Powers()
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and their inverses, at least ``n`` of each."""
+    return _POWERS.upto(n)
+
+
 def prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Polynomial prefix sums over bytes and the inverse powers: (sums[e - 1] - sums[s - 1]) * inverse[s]
     is the same for equal bytes s..e wherever they stand."""
