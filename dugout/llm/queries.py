@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dugout.llm import decontaminate, jaccard_join, license_scan, mixing, token_counts, token_pack, toxicity, winnow
+from dugout.llm import decontaminate, jaccard_join, license_scan, line_dedup, mixing, token_counts, token_pack, toxicity, warc, winnow
 from dugout.llm.common import read
 
 
@@ -37,6 +38,19 @@ def op4_token_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_pack.pack_documents(read(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions read back from the archives that hold all pages."""
+    archives = warc.write_archives(read(spark, sf_dir, "pages"))
+    rows = warc.captures(warc.read_records(spark, archives, with_payload=False))
+    return rows.select(warc.field("page-id").cast("long").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
+                       F.col("type").alias("record_type"), warc.field("revisits-page-id").cast("long").alias("refers_to"), "url")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page without its host's boilerplate lines."""
+    return line_dedup.drop_boilerplate(read(spark, sf_dir, "pages"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mixing.mix(read(spark, sf_dir, "documents"))
             .select("doc_id", "size", "source_size", "target", "taken", "source"))
@@ -61,6 +75,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_token_counts": op3_token_counts,
     "op4_token_pack": op4_token_pack,
+    "op5_warc": op5_warc,
+    "op6_line_dedup": op6_line_dedup,
     "op7_mixing": op7_mixing,
     "op8_winnowing": op8_winnowing,
     "op9_license_scan": op9_license_scan,
