@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from dugout.llm.common import small, staged
 
-RATIO = 0.3
+RATIO = 0.1
 LEAST_PAGES = 3
 SALTS = 32
 
@@ -33,22 +33,23 @@ SALTS = 32
 BLOCKS = ("address article aside blockquote body br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head "
           "header hr html li main nav ol option p pre section table tbody td tfoot th thead title tr ul").split()
 HIDDEN = "script style noscript template".split()
+HIDDEN_PART = r"(?is)<!--.*?-->|" + "|".join(rf"<{t}\b[^>]*>.*?</{t}\s*>" for t in HIDDEN)
+BLOCK_TAG = r"(?i)</?(?:" + "|".join(BLOCKS) + r")\b[^>]*>"
+HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
 
 def host_of(url: str | Column = "url") -> Column:
     """Lower-case host without user and port; null where there is none."""
     c = F.col(url) if isinstance(url, str) else url
-    host = F.regexp_extract(c, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
+    host = F.regexp_extract(c, HOST, 1)
     return F.when(F.length(host) > 0, F.lower(host))
 
 
 def html_lines(html: str | Column = "html") -> Column:
     """Text lines of an HTML page."""
     c = F.coalesce(F.col(html) if isinstance(html, str) else html, F.lit(""))
-    hidden = r"(?is)<!--.*?-->|<(" + "|".join(HIDDEN) + r")\b[^>]*>.*?</\1\s*>"
-    blocks = r"(?i)</?(?:" + "|".join(BLOCKS) + r")\b[^>]*>"
-    text = F.regexp_replace(F.regexp_replace(c, hidden, " "), r"[\n\r]+", " ")
-    text = F.regexp_replace(F.regexp_replace(text, blocks, "\n"), r"<[^>]*>", "")
+    text = F.regexp_replace(F.regexp_replace(c, HIDDEN_PART, " "), r"[\n\r]+", " ")
+    text = F.regexp_replace(F.regexp_replace(text, BLOCK_TAG, "\n"), r"<[^>]*>", "")
     return squeezed(F.split(text, "\n"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from dugout.llm import decontaminate, jaccard_join, license_scan, line_dedup, mixing, token_counts, token_pack, toxicity, warc, winnow
 from dugout.llm.common import read
+from dugout.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -82,5 +83,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": op9_license_scan,
     "op10_jaccard_join": op10_jaccard_join,
 }
-
-ORACLE: dict[str, str] = {}
