@@ -18,7 +18,7 @@ are fingerprinted and verified once. Everything is DataFrame code; no Python run
 
 Cases: null or empty documents and items never match; items and documents of fewer than five words
 match as whole shingles; an item at a document's end or start opens only windows that fit; repeated
-item rows give a row per item_id; null doc_ids are reported as null; repeated documents are each
+item rows count once, a null item_id is reported as null; null doc_ids are reported as null; repeated documents are each
 reported once per (doc_id, text); extra columns are ignored (kept by ``remove_contaminated``); empty
 tables give an empty result.
 """
@@ -153,6 +153,10 @@ def contaminated(docs: DataFrame, items: DataFrame, k: int = SHINGLE, t: float =
                  radius: int = RADIUS) -> DataFrame:
     """(doc_id, text_id, item_id, start_word, n_words, hamming, similarity): a row for each document and
     item of which it holds a window of similarity >= t; the best window, the first of equals."""
+    # inside, an item is its row's hash: item_ids may be null or stand for several texts; repeated rows count once
+    names = staged(items.select("item_id", text_or_empty().alias("text")).distinct()
+                   .withColumn("item", F.xxhash64(F.coalesce(F.col("item_id").cast("string"), F.lit("null")), "text")), "decon-names")
+    items = names.select(F.col("item").alias("item_id"), "text")
     shingles = staged(item_shingles(items, k), "decon-items")
     sizes = sorted(r["k"] for r in shingles.select("k").distinct().collect())   # at most k values
     weights = staged(_weights(shingles), "decon-weights")
@@ -194,7 +198,9 @@ def contaminated(docs: DataFrame, items: DataFrame, k: int = SHINGLE, t: float =
     exact = (shared.groupBy("content", "item_id")
              .agg((F.sum(F.col("weight") * F.least("a", "b")) / F.sum(F.col("weight") * F.greatest("a", "b"))).alias("similarity"))
              .where(F.col("similarity") >= t - 1e-9))
-    verified = small(staged(near.join(exact, ["content", "item_id"]).drop("n_words"), "decon-verified"))
+    verified = (near.join(exact, ["content", "item_id"]).withColumnRenamed("item_id", "item").drop("n_words")
+                .join(names.select("item", "item_id"), "item").drop("item"))
+    verified = small(staged(verified, "decon-verified"))
     best = F.max_by(F.struct("start", "n_words", "hamming", "similarity"), F.struct("similarity", -F.col("start"))).alias("best")
     return (windows.drop("window").join(verified, "content")
             .groupBy("doc_id", "text_id", "item_id").agg(best)
