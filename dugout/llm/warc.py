@@ -46,8 +46,8 @@ SOFTWARE = "dugout"
 _SPACE = uuid.UUID("6d7f4a52-52c1-4b0e-9d61-3f0f6e8b7a10")     # name space of record ids
 
 
-def record_id(page_id: int | None, copy: int, kind: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(_SPACE, f'{page_id}/{copy}/{kind}')}>"
+def record_id(page_id: int | None, digest: str, copy: int, kind: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(_SPACE, f'{page_id}/{digest}/{copy}/{kind}')}>"
 
 
 def payload_digest(payload: bytes) -> str:
@@ -68,10 +68,10 @@ def capture_records(page_id: int | None, copy: int, url: str, payload: bytes | N
                     refers: tuple[int | None] | None) -> Iterator[bytes]:
     """The three records of a capture; ``refers`` holds the page_id of the response that it revisits."""
     url = url.replace("\r", " ").replace("\n", " ")
-    me = record_id(page_id, copy, "response")
+    me = record_id(page_id, digest, copy, "response")
     common = [("WARC-Date", DATE), ("WARC-Target-URI", url)]
     path = url.partition("://")[2].partition("/")[2]
-    yield record("request", [("WARC-Record-ID", record_id(page_id, copy, "request")), *common, ("WARC-Concurrent-To", me),
+    yield record("request", [("WARC-Record-ID", record_id(page_id, digest, copy, "request")), *common, ("WARC-Concurrent-To", me),
                              ("Content-Type", "application/http; msgtype=request")],
                  f"GET /{path} HTTP/1.1\r\nUser-Agent: {SOFTWARE}\r\n\r\n".encode("utf-8", "surrogatepass"))
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
@@ -80,11 +80,11 @@ def capture_records(page_id: int | None, copy: int, url: str, payload: bytes | N
         yield record("response", main, http + (payload or b""))
     else:
         yield record("revisit", [*main, ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-                                 ("WARC-Refers-To", record_id(refers[0], 0, "response"))], http)
+                                 ("WARC-Refers-To", record_id(refers[0], digest, 0, "response"))], http)
     fields = f"page-id: {'' if page_id is None else page_id}\r\n"
     if refers is not None:
         fields += f"revisits-page-id: {'' if refers[0] is None else refers[0]}\r\n"
-    yield record("metadata", [("WARC-Record-ID", record_id(page_id, copy, "metadata")), *common, ("WARC-Concurrent-To", me),
+    yield record("metadata", [("WARC-Record-ID", record_id(page_id, digest, copy, "metadata")), *common, ("WARC-Concurrent-To", me),
                               ("Content-Type", "application/warc-fields")], fields.encode())
 
 
