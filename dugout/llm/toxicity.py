@@ -34,11 +34,11 @@ from pyspark.sql import functions as F
 from dugout.llm.common import ship_package, staged, text_or_empty
 from dugout.llm.shingles import mix64, prefix_sums
 
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 16_000
 FOLDS = 5
-FEATURES = 3_000
-LEAST_DOCS = 4
-L2 = 1.0
+FEATURES = 400
+LEAST_DOCS = 3
+L2 = 0.05
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.5
 CATEGORIES = ("low_quality", "toxic")
@@ -48,7 +48,7 @@ _WORD_BYTE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]]
 _DENSE = 5
 
 
-def _runs(texts: list[str], batch_bytes: int = 1 << 22) -> Iterator[tuple[int, int]]:
+def _runs(texts: list[str], batch_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
     at = 0
     while at < len(texts):
         stop, held = at, 0
