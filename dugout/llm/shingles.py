@@ -69,7 +69,7 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return words, np.diff(np.searchsorted(start, np.concatenate(([0], ends))))
 
 
-def shingle_hashes(texts: list[str | None], k: int = K, batch_bytes: int = 1 << 22):
+def shingle_hashes(texts: list[str | None], k: int = K, batch_bytes: int = 1 << 20):
     """Yield (index of first text, hashes, shingles per text) for runs of texts of bounded size."""
     at = 0
     while at < len(texts):
