@@ -8,7 +8,6 @@ Layers (mirroring a raw -> analytics -> marts warehouse):
                        z-scores, calibrated constants, expectations, award envelopes)
 * ``dugout.plans``     the domain instance: staging, aggregates, awards, sabermetrics,
                        marts, data-quality ledger, query-log rollup
-* ``dugout.streaming`` incremental (Structured Streaming) form of the query-log rollup
 
 Every public function takes DataFrames and returns a lazy DataFrame; actions happen only
 in sinks, gates and tests.

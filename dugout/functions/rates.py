@@ -81,10 +81,10 @@ BATTING_INPUTS = ("ab", "h", "2b", "3b", "hr", "bb", "hbp", "sh", "sf")
 
 def with_batting_rates(batting: DataFrame) -> DataFrame:
     missing = [k for k in BATTING_INPUTS if k not in batting.columns]
-    src = batting.select("*", *[F.lit(None).cast("int").alias(k) for k in missing]) if missing else batting
-    out = src.select("*", plate_appearances().alias("pa"), on_base_pct().alias("obp"),
-                     slugging_pct().alias("slg"), on_base_plus_slugging().alias("ops"))
-    return out.drop(*missing) if missing else out
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    return batting.select("*", plate_appearances().alias("pa"), on_base_pct().alias("obp"),
+                          slugging_pct().alias("slg"), on_base_plus_slugging().alias("ops"))
 
 
 def with_full_name(people: DataFrame) -> DataFrame:

@@ -1,12 +1,15 @@
-"""Exact interpolated median per group (PERCENTILE_CONT(0.5)) without a per-group value map.
+"""Exact interpolated median per group (PERCENTILE_CONT(0.5)) that no single task gathers.
 
-Spark's ``percentile`` aggregate merges each group's value -> count map in one task's memory; a
-group holding a third of all rows with many distinct values would have to fit there.  Here:
+Spark's ``percentile`` merges each group's value -> count map in one task's memory, and a sort of the
+group's distinct values puts a hot group (a team-season with a third of all salaries, nearly all
+distinct) into one task as well.  Here a group is cut into *value ranges* first:
 
-1. a (group, value) histogram is built with partial aggregation,
-2. a running count over the group's *distinct* values (a sorted, spillable window) places each
-   value's row range, and the group's size comes with it,
-3. only the one or two histogram rows covering the middle positions are kept and averaged.
+1. a (group, range, value) histogram is built with partial aggregation; the range of a value is the value
+   with all but its ``RANGE_BITS`` leading bits cleared, so a group has at most some thousands of ranges
+   whatever its size, and ranges are in the order of their values,
+2. a running count over the group's ranges (a small window) picks the one or two ranges that hold the
+   middle positions,
+3. only inside those ranges a running count over exact values finds the middle ones.
 
 Values are exact integer units (``decimals`` places), so the midpoint is exact before the single
 division back to the column's unit; the result is DOUBLE like the reference's median.
@@ -16,28 +19,39 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dugout.functions.numeric import scaled
 
+RANGE_BITS = 10
+
+
+def value_range(col: str) -> Column:
+    """The first value of the range of an integer: monotone in it, 2^RANGE_BITS ranges per doubling."""
+    drop = f"greatest(length(bin(abs({col}))) - {RANGE_BITS}, 0)"
+    return F.expr(f"sign({col}) * shiftleft(shiftright(abs({col}), {drop}), {drop})").cast("bigint")
+
 
 def median_by(df: DataFrame, keys: Sequence[str], value: str, decimals: int = 0,
               out_col: str = "median") -> DataFrame:
     keys = list(keys)
     units = df.select(*keys, scaled(F.col(value), decimals).alias("_u")).where(F.col("_u").isNotNull())
-    hist = units.groupBy(*keys, "_u").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys).orderBy("_u")
-    ranged = hist.select(*keys, "_u", "_c",
-                         (F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-                          - F.col("_c")).alias("_before"),
-                         F.sum("_c").over(Window.partitionBy(*keys)).alias("_n"))
+    hist = units.withColumn("_range", value_range("_u")).groupBy(*keys, "_range", "_u").agg(F.count(F.lit(1)).alias("_c"))
+    along = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (hist.groupBy(*keys, "_range").agg(F.sum("_c").alias("_c"))
+              .withColumn("_before", F.coalesce(F.sum("_c").over(along), F.lit(0)))
+              .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys))))
     lo = F.floor((F.col("_n") - 1) / 2)            # 0-based middle positions
     hi = F.ceil((F.col("_n") - 1) / 2)
     covers = lambda p: (F.col("_before") <= p) & (p < F.col("_before") + F.col("_c"))
-    mid = ranged.where(covers(lo) | covers(hi)).select(
-        *keys,
-        F.when(covers(lo), F.col("_u")).alias("_lo"), F.when(covers(hi), F.col("_u")).alias("_hi"))
-    out = mid.groupBy(*keys).agg(((F.max("_lo") + F.max("_hi")).cast("double") / 2).alias("_m"))
+    held = ranges.where(covers(lo) | covers(hi)).select(
+        *[F.col(k).alias(f"_h_{k}") for k in keys], F.col("_range").alias("_held_range"), F.col("_before").alias("_start"), "_n")
+    same = [hist[k].eqNullSafe(held[f"_h_{k}"]) for k in keys] + [hist["_range"] == held["_held_range"]]
+    inside = hist.join(held, same)
+    order = Window.partitionBy(*keys, "_range").orderBy("_u").rowsBetween(Window.unboundedPreceding, -1)
+    placed = inside.withColumn("_before", F.col("_start") + F.coalesce(F.sum("_c").over(order), F.lit(0)))
+    out = placed.where(covers(lo) | covers(hi)).groupBy(*keys).agg(
+        ((F.max(F.when(covers(lo), F.col("_u"))) + F.max(F.when(covers(hi), F.col("_u")))).cast("double") / 2).alias("_m"))
     m = F.col("_m") / F.lit(float(10 ** decimals)) if decimals else F.col("_m")
     return out.select(*keys, m.alias(out_col))

@@ -6,7 +6,9 @@ whole job.  Here the global row number inside a group is assembled from two smal
 
 * a histogram (group, v) -> count, built with partial aggregation, whose running sum over v
   (a window over *distinct values*, not rows) gives the number of rows ranked before each value;
-* the position among rows that share the same (group, v), ordered by the tie-break key.
+* among rows that share (group, v), a second histogram over the first characters of the (text)
+  tie-break key gives the rows before each prefix, and only rows of one (group, v, prefix) are
+  numbered together, so a value that very many rows share is split as well.
 
 The bucket then follows arithmetically from the row number and the group size, exactly as NTILE
 assigns it: the first ``size % n`` buckets get one extra row.  Everything is deterministic (no
@@ -19,10 +21,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def ntile(df: DataFrame, n: int, partition_by: Sequence[str], value: str,
-          tiebreak: Sequence[str], out_col: str = "ntile") -> DataFrame:
+          tiebreak: Sequence[str], out_col: str = "ntile", tie_chars: int = 4) -> DataFrame:
     """NTILE(n) OVER (PARTITION BY partition_by ORDER BY value ASC, *tiebreak ASC).
 
     ``(partition_by, value, tiebreak)`` must identify rows uniquely for a deterministic order.
@@ -30,20 +33,28 @@ def ntile(df: DataFrame, n: int, partition_by: Sequence[str], value: str,
     if n < 1:
         raise ValueError("n must be >= 1")
     keys = list(partition_by)
-    hist = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    text = bool(tiebreak) and isinstance(df.schema[tiebreak[0]].dataType, StringType)
+    df = df.withColumn("_tie", F.substring(tiebreak[0], 1, tie_chars) if text else F.lit(""))
+    ties = df.groupBy(*keys, value, "_tie").agg(F.count(F.lit(1)).alias("_c"))
+    up_to = Window.partitionBy(*keys, value).orderBy(F.col("_tie").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    ties = ties.withColumn("_tied", F.coalesce(F.sum("_c").over(up_to), F.lit(0)))
+    hist = ties.groupBy(*keys, value).agg(F.sum("_c").alias("_c"))
     before = Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, -1)
     cum = hist.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.col(value).alias("_h_v"),
                       F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"),
                       F.sum("_c").over(Window.partitionBy(*keys)).alias("_size"))
     order = [F.col(t).asc_nulls_first() for t in tiebreak] or [F.col(value)]
-    within = df.withColumn("_r2", F.row_number().over(Window.partitionBy(*keys, value).orderBy(*order)))
-    cond = [within[k].eqNullSafe(cum[f"_h_{k}"]) for k in keys] + [within[value].eqNullSafe(cum["_h_v"])]
+    cum = ties.alias("t").join(cum, [F.col(f"t.{k}").eqNullSafe(cum[f"_h_{k}"]) for k in keys]
+                               + [F.col(f"t.{value}").eqNullSafe(cum["_h_v"])]).select(
+        *[f"_h_{k}" for k in keys], "_h_v", F.col("_tie").alias("_h_tie"), "_tied", "_before", "_size")
+    within = df.withColumn("_r2", F.row_number().over(Window.partitionBy(*keys, value, "_tie").orderBy(*order)))
+    cond = [within[k].eqNullSafe(cum[f"_h_{k}"]) for k in keys] + [within[value].eqNullSafe(cum["_h_v"]), within["_tie"].eqNullSafe(cum["_h_tie"])]
     j = within.join(cum, cond)
-    r = F.col("_before") + F.col("_r2")            # 1-based row number within the group
+    r = F.col("_before") + F.col("_tied") + F.col("_r2")            # 1-based row number within the group
     q = F.floor(F.col("_size") / n).cast("long")
     rem = (F.col("_size") % n).cast("long")
     big = rem * (q + 1)                            # rows held by the (q+1)-sized buckets
     bucket = F.when(r <= big, F.floor((r - 1) / (q + 1)) + 1).otherwise(
         rem + F.floor((r - big - 1) / q) + 1)
-    return j.select(*[within[f"`{x}`"] for x in df.columns], bucket.cast("int").alias(out_col))
+    return j.select(*[within[f"`{x}`"] for x in df.columns if x != "_tie"], bucket.cast("int").alias(out_col))

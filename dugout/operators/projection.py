@@ -11,14 +11,10 @@ from pyspark.sql import functions as F
 def rename_select(df: DataFrame, mapping: Iterable[tuple[str | Column, str]]) -> DataFrame:
     """Project ``(source, alias)`` pairs in order.
 
-    A string source names an input column; sources absent from ``df`` are skipped so the same
-    staging model serves a full load and a narrower extract.  Column sources are always kept.
+    A string source names an input column; a source that ``df`` lacks is an error.
     """
-    cols = []
-    for src, alias in mapping:
-        if isinstance(src, str):
-            if src in df.columns:
-                cols.append(F.col(f"`{src}`").alias(alias))
-        else:
-            cols.append(src.alias(alias))
-    return df.select(*cols)
+    pairs = list(mapping)
+    missing = [src for src, _ in pairs if isinstance(src, str) and src not in df.columns]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    return df.select(*[(F.col(f"`{src}`") if isinstance(src, str) else src).alias(alias) for src, alias in pairs])

@@ -22,7 +22,7 @@ def team_payroll(salaries: DataFrame, salary_col: str = "salary", with_max: bool
     s = F.col(salary_col)
     aggs = [F.count(F.lit(1)).alias("roster_size"),
             round_to_bigint(F.sum(s)).alias("total_payroll_usd"),
-            mean_half_up(f"`{salary_col}`", 2, 2, 12).alias("avg_salary_usd")]
+            mean_half_up(f"`{salary_col}`", 2, 2, 12, wide=True).alias("avg_salary_usd")]
     if with_max:
         aggs.append(F.max(s).alias("max_salary_usd"))
     base = salaries.groupBy(*keys).agg(*aggs)
@@ -42,8 +42,8 @@ def team_physiques(batting: DataFrame, people: DataFrame, weight: str = "weight"
     rows = batting.select("team_id", "year_id", "player_id").join(bodies, "player_id")
     out = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("batter_appearances"),
-        mean_half_up("w", 0, 2, 6).alias("avg_weight_lbs"),
-        mean_half_up("h", 0, 2, 6).alias("avg_height_in"),
+        mean_half_up("w", 0, 2, 6, wide=True).alias("avg_weight_lbs"),
+        mean_half_up("h", 0, 2, 6, wide=True).alias("avg_height_in"),
         stddev_decimal(w, 2, 6).alias("stddev_weight_lbs"),
         stddev_decimal(h, 2, 6).alias("stddev_height_in"))
     if with_median:
@@ -59,5 +59,5 @@ def league_pitching_baseline(pitching: DataFrame, params: Params = Params()) ->
     return (pitching.where(F.col("era").isNotNull() & (F.col("era") > 0))
             .groupBy("year_id", "lg_id")
             .agg(F.count(F.lit(1)).alias("qualified_pitchers"),
-                 mean_half_up("era", 2, 3, 6, cond=f"ipouts >= {params.ip_floor}").alias("league_era_mean"),
+                 mean_half_up("era", 2, 3, 6, cond=f"ipouts >= {params.ip_floor}", wide=True).alias("league_era_mean"),
                  stddev_decimal(F.col("era"), 3, 6, cond=qualified).alias("league_era_stddev")))

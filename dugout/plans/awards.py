@@ -143,15 +143,16 @@ def _ace_pool(wh: Warehouse, params: Params, min_ipouts: int | None) -> DataFram
                              & (c("era") > 0) & (c("ipouts") >= floor))
 
 
-def team_ace(wh: Warehouse, params: Params = Params(), min_ipouts: int | None = None) -> DataFrame:
+def team_ace(wh: Warehouse, params: Params = Params(), min_ipouts: int | None = None, with_id: bool = False) -> DataFrame:
     """Lowest qualified ERA among the listed teams: RANK() by (era ASC, ipouts DESC) = 1."""
     ranked = first_rank(_ace_pool(wh, params, min_ipouts), [("era", True), ("ipouts", False)],
                         rank_col="canadian_era_rank")
     # rank over all qualifiers, then the inner people join, then one row of rank 1
     top = top_k(ranked.join(_names(wh, "pitcher"), "player_id"),
                 [c("player_id"), c("year_id"), c("stint")], 1)
+    ids = ["player_id"] if with_id else []
     return (top
-            .select("pitcher", c("team_id").alias("canadian_team"), c("year_id").alias("season"),
+            .select(*ids, "pitcher", c("team_id").alias("canadian_team"), c("year_id").alias("season"),
                     "innings_pitched", c("era").alias("earned_run_average"), "k_per_9", "bb_per_9",
                     "canadian_era_rank"))
 

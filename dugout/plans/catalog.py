@@ -19,9 +19,11 @@ from dugout.plans import awards as J
 from dugout.plans import quality as M
 from dugout.plans import querylog as N
 from dugout.plans import sabermetrics as K
+from dugout.plans import service as V
 from dugout.plans import staging as S
+from dugout.plans.constants import LeagueConstants
 from dugout.sources.fixtures import read
-from dugout.sources.loader import row_counts
+from dugout.sources.loader import key_report, row_counts
 from dugout.sources.warehouse import Warehouse
 
 P = Params.fixture()
@@ -39,6 +41,11 @@ def _drop_stint(df: DataFrame) -> DataFrame:
     return df.drop("stint")
 
 
+def _league(fn) -> Query:
+    """A query over league-season constants, which are written to the shared folder first (their size is then known)."""
+    return lambda s, d: fn(LeagueConstants(_wh(s, d), P))
+
+
 def _stg(fn) -> Query:
     return lambda s, d: fn(_wh(s, d))
 
@@ -84,19 +91,19 @@ QUERIES_EXACT: dict[str, Query] = {
         ["team_id", "team_name", "year_id"], ["wins", "total_payroll_usd", "cost_per_win_usd"]))),
     # K sabermetrics
     "fip_constants": _stg(lambda w: K.fip_constants(w.pitching, P)),
-    "fip": _stg(lambda w: _drop_stint(K.fip(w.pitching, P))),
-    "fip_top10": _stg(lambda w: K.fip_leaderboard(w, P, 10)),
+    "fip": _league(lambda x: _drop_stint(x.fip())),
+    "fip_top10": _league(lambda x: x.fip_leaderboard(10)),
     "woba": _stg(lambda w: _drop_stint(K.woba(w.batting, P))),
     "woba_top10": _stg(lambda w: K.woba_leaderboard(w, P, 10)),
-    "era_adjusted": _stg(lambda w: _drop_stint(K.era_adjusted(w.pitching, P))),
-    "era_plus_top10": _stg(lambda w: K.era_plus_leaderboard(w, P, 10)),
-    "pitching_war": _stg(lambda w: _drop_stint(K.pitching_war(w.pitching, P))),
-    "batting_war": _stg(lambda w: _drop_stint(K.batting_war(w.batting, P))),
-    "war_top10": _stg(lambda w: K.war_leaderboard(w, P, 10)),
+    "era_adjusted": _league(lambda x: _drop_stint(x.era_adjusted())),
+    "era_plus_top10": _league(lambda x: x.era_plus_leaderboard(10)),
+    "pitching_war": _league(lambda x: _drop_stint(x.pitching_war())),
+    "batting_war": _league(lambda x: _drop_stint(x.batting_war())),
+    "war_top10": _league(lambda x: x.war_leaderboard(10)),
     # L4-L6 marts
     "mart_payroll": _stg(lambda w: M.mart_models(w, P)["mart_team_payroll"]),
     "mart_physiques": _stg(lambda w: M.mart_models(w, P)["mart_team_physiques"]),
-    "mart_pitcher": _stg(lambda w: M.mart_models(w, P)["mart_pitcher_advanced"]),
+    "mart_pitcher": _league(lambda x: x.mart_pitcher()),
     # M data quality
     "dq_ledger": _stg(lambda w: M.dq_ledger(w, P)),
     "dq_summary": _stg(lambda w: M.dq_summary(M.dq_ledger(w, P))),
@@ -104,9 +111,23 @@ QUERIES_EXACT: dict[str, Query] = {
     "expect_staging": _stg(lambda w: M.expect_staging(w, P)),
     "expect_marts": _stg(lambda w: M.expect_marts(w, P)),
     "award_checks": _stg(lambda w: M.award_checks(w, P)),
+    "structure_checks": _stg(lambda w: M.structure_checks(w, P)),
+    # J7 answer surface
+    "envelope_heaviest": _stg(lambda w: flatten(V.heaviest_hitters(w))),
+    "envelope_shortest": _stg(lambda w: flatten(V.shortest_sluggers(w))),
+    "envelope_spender": _stg(lambda w: flatten(V.biggest_spenders(w))),
+    "envelope_spender_year": _stg(lambda w: flatten(V.biggest_spenders(w, year=P.season))),
+    "envelope_starter": _stg(lambda w: flatten(V.priciest_starter(w, params=P))),
+    "envelope_ace": _stg(lambda w: flatten(V.team_ace(w, params=P))),
+    "envelope_ace_min_ipouts": _stg(lambda w: flatten(V.team_ace(w, 300, P))),
+    "service_fip": _stg(lambda w: V.fip_leaderboard(w, 25, P)),
+    "service_woba": _stg(lambda w: V.woba_leaderboard(w, 25, P)),
+    "service_era_plus": _stg(lambda w: V.era_plus_leaderboard(w, 25, P)),
     # A / N
     "row_counts": _stg(lambda w: row_counts(w.tables())),
-    "querylog_stats": lambda s, d: N.statement_stats(read(s, d, "events")),
+    "key_violations": _stg(lambda w: key_report(w.tables())),
+    "querylog_stats": lambda s, d: N.statement_stats(
+        read(s, d, "events").withColumn("blks_read", c("event_id") % 7), hit_col="user_id", read_col="blks_read"),
 }
 
 

@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from dugout.params import Params
+from dugout.operators.expectations import gate as exp_gate
 from dugout.plans import quality as M
-from dugout.sources.sinks import refresh_aggregates, write_layer
+from dugout.sources.sinks import make_current, materialize, read_layer, refresh_aggregates, stage
 from dugout.sources.warehouse import Warehouse
 
 
@@ -21,10 +22,23 @@ class RunReport:
     expectations: DataFrame
 
 
-def build_marts(wh: Warehouse, root: str, params: Params = Params()) -> dict[str, str]:
-    """Materialise the three marts under ``root/marts`` (rebuilt whole, like tables)."""
-    models = M.mart_models(wh, params)
-    return {name: write_layer(models[name], root, "marts", name) for name in models.keys()}
+def stage_marts(wh: Warehouse, root: str, params: Params = Params(), league=None) -> dict[str, str]:
+    """Write a new version of the three marts under ``root/marts``; readers do not see it yet."""
+    models = M.mart_models(wh, params, league)
+    return {name: stage(models[name], root, "marts", name) for name in models.keys()}
+
+
+def build_marts(wh: Warehouse, root: str, params: Params = Params(), gate: bool = True, league=None) -> tuple[dict[str, str], DataFrame]:
+    """Write the marts, evaluate their expectations on what was written, and only then show them.
+
+    With ``gate`` a failing expectation raises and the previous marts stay current."""
+    spark = wh.people.sparkSession
+    staged = stage_marts(wh, root, params, league)
+    written = {name: spark.read.parquet(path) for name, path in staged.items()}
+    results = materialize(M.expect_written_marts(written), "expect-marts")
+    if gate:
+        exp_gate(results)
+    return {name: make_current(spark, path) for name, path in staged.items()}, results
 
 
 def run_all(spark: SparkSession, root: str, params: Params = Params(), csv_paths: dict | None = None,
@@ -40,12 +54,10 @@ def run_all(spark: SparkSession, root: str, params: Params = Params(), csv_paths
     loader.require_tables(spark, root)
     wh = Warehouse.from_parquet(spark, root)
     aggs = refresh_aggregates(wh, root, params)
-    marts = build_marts(wh, root, params)
     ledger = M.dq_ledger(wh, params)
-    exp = (M.expect_sources(wh).unionByName(M.expect_staging(wh, params))
-           .unionByName(M.expect_marts(wh, params)))
+    exp = M.expect_sources(wh).unionByName(M.expect_staging(wh, params))
     if gate:
         M.dq_gate(ledger)
-        from dugout.operators.expectations import gate as exp_gate
         exp_gate(exp)
-    return RunReport(root, aggs, marts, ledger, exp)
+    marts, mart_exp = build_marts(wh, root, params, gate, read_layer(spark, root, "analytics", "mart_league"))
+    return RunReport(root, aggs, marts, ledger, exp.unionByName(mart_exp))

@@ -31,25 +31,37 @@ def mart_team_physiques(stg_batting: DataFrame, stg_people: DataFrame) -> DataFr
                           with_median=True)
 
 
-def mart_pitcher_advanced(stg_pitching: DataFrame, stg_people: DataFrame,
-                          params: Params = Params()) -> DataFrame:
+def _pitcher_base(stg_pitching: DataFrame, params: Params) -> DataFrame:
+    """Qualified rows with the FIP numerator, innings in tenths and their ratio (12 decimals), each computed once."""
+    base = stg_pitching.where((c("ipouts") >= params.ip_floor) & c("era").isNotNull() & (c("era") > 0))
+    raw = "CAST(13 * home_runs_allowed + 3 * (walks + hit_batters) - 2 * strikeouts AS BIGINT)"
+    base = base.select("*", F.expr(raw).alias("_raw"), F.expr("CAST(innings_pitched * 10 AS BIGINT)").alias("_ip10"))
+    return base.select("*", F.expr(div_half_up_sql("_raw * 10", "_ip10", 12, 30, wide=True)).alias("_per_ip"))
+
+
+def pitcher_league(stg_pitching: DataFrame, params: Params = Params()) -> DataFrame:
+    """(year_id, lg_id, league_era, league_era_stddev, lg_raw_fip): the mart's league values.
+
+    The per-pitcher ratios are averaged at 12 decimals; each is off by at most 5e-13, and so is their
+    mean, which is rounded to 3: it can differ from the mean of unrounded ratios only where
+    that lies within 5e-13 of a rounding tie."""
+    return (_pitcher_base(stg_pitching, params).groupBy("year_id", "lg_id")
+            .agg(mean_half_up("era", 2, 3, 6, wide=True).alias("league_era"),
+                 stddev_decimal(c("era"), 3, 6).alias("league_era_stddev"),
+                 mean_half_up("_per_ip", 12, 3, 6, wide=True).alias("lg_raw_fip")))
+
+
+def mart_pitcher_advanced(stg_pitching: DataFrame, stg_people: DataFrame, params: Params = Params(),
+                          league: DataFrame | None = None) -> DataFrame:
     """Qualified pitchers with FIP, ERA z-score, ERA+, K/9, BB/9 and their league ERA stats.
 
     This FIP differs from ``sabermetrics.fip`` on purpose: its constant uses the *mean of
     per-pitcher ratios* over 1-decimal innings (each ratio kept to 12 decimals), the inputs are
     rounded numeric(6,3) league values, HBP is not coalesced, and the base excludes era = 0.
     """
-    base = stg_pitching.where((c("ipouts") >= params.ip_floor) & c("era").isNotNull() & (c("era") > 0))
-    raw = "CAST(13 * home_runs_allowed + 3 * (walks + hit_batters) - 2 * strikeouts AS BIGINT)"
-    base = base.select("*", F.expr(raw).alias("_raw"),
-                       F.expr("CAST(innings_pitched * 10 AS BIGINT)").alias("_ip10"))
-    per_ip = div_half_up_sql("_raw * 10", "_ip10", 12, 30, wide=True)     # raw / IP, 12 decimals
-    league = (base.groupBy("year_id", "lg_id")
-              .agg(mean_half_up("era", 2, 3, 6).alias("league_era"),
-                   stddev_decimal(c("era"), 3, 6).alias("league_era_stddev"),
-                   mean_half_up(per_ip, 12, 3, 6, wide=True).alias("lg_raw_fip"))
-              .select("*", F.expr("CAST(league_era * 1000 AS BIGINT) - CAST(lg_raw_fip * 1000 AS BIGINT)")
-                      .alias("_c_milli")))
+    base = _pitcher_base(stg_pitching, params)
+    league = (pitcher_league(stg_pitching, params) if league is None else league).select(
+        "*", F.expr("CAST(league_era * 1000 AS BIGINT) - CAST(lg_raw_fip * 1000 AS BIGINT)").alias("_c_milli"))
     names = stg_people.select("player_id", c("full_name").alias("pitcher"))
     j = base.join(league, ["year_id", "lg_id"]).join(names, "player_id")
     e, m, s = "CAST(era * 100 AS BIGINT)", "CAST(league_era * 1000 AS BIGINT)", \

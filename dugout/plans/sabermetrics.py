@@ -69,9 +69,11 @@ def fip_constants(pitching: DataFrame, params: Params = Params()) -> DataFrame:
                        div_half_up(num, F.when(i_nz.isNotNull(), den), 6, 12, wide=True).alias("c_fip"))
 
 
-def fip(pitching: DataFrame, params: Params = Params()) -> DataFrame:
-    """Qualified rows (ipouts >= floor) with FIP = raw/IP + c_fip rounded to 2 decimals."""
-    sums = fip_league_sums(pitching, params)
+def fip(pitching: DataFrame, params: Params = Params(), sums: DataFrame | None = None) -> DataFrame:
+    """Qualified rows (ipouts >= floor) with FIP = raw/IP + c_fip rounded to 2 decimals.
+
+    ``sums``: a written table of :func:`fip_league_sums` (see ``plans.constants``)."""
+    sums = fip_league_sums(pitching, params) if sums is None else sums
     cnum, cden = _cfip_num_den(c("_n"), c("_se"), c("_s"), c("_i"))
     rows = pitching.where(c("ipouts") >= params.ip_floor).join(sums, KEYS)
     r = fip_raw(c("hr"), c("bb"), _z(c("hbp")), c("so")).cast(WIDE)
@@ -86,13 +88,13 @@ def fip(pitching: DataFrame, params: Params = Params()) -> DataFrame:
 
 
 def _leaderboard(df: DataFrame, people: DataFrame, name_col: str, order, k: int, cols) -> DataFrame:
-    check_k(k)
+    check_k(k, 1, None)
     named = df.join(people.select("player_id", c("full_name").alias(name_col)), "player_id")
     return top_k(named, order, k).select(name_col, *cols)
 
 
-def fip_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10) -> DataFrame:
-    return _leaderboard(fip(wh.pitching, params), wh.people, "pitcher",
+def fip_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10, sums: DataFrame | None = None) -> DataFrame:
+    return _leaderboard(fip(wh.pitching, params, sums), wh.people, "pitcher",
                         [c("fip").asc_nulls_last(), c("player_id"), c("year_id"), c("stint")], k,
                         ["year_id", "team_id", "innings_pitched", "era", "fip"])
 
@@ -151,21 +153,31 @@ def era_plus_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10,
 
 # ---- WAR proxies ---------------------------------------------------------------------------
 
-def pitching_war(pitching: DataFrame, params: Params = Params()) -> DataFrame:
+def league_fip(rows: DataFrame) -> DataFrame:
+    """Mean FIP of each league-season as numeric(6,3)."""
+    return rows.groupBy(*KEYS).agg(mean_half_up("fip", 2, 3, 6, wide=True).alias("lg_fip"))
+
+
+def league_woba(rows: DataFrame) -> DataFrame:
+    """Mean wOBA of each league-season as numeric(5,3)."""
+    return rows.groupBy(*KEYS).agg(mean_half_up("woba", 3, 3, 5, wide=True).alias("lg_woba"))
+
+
+def pitching_war(pitching: DataFrame, params: Params = Params(), sums: DataFrame | None = None,
+                 league: DataFrame | None = None) -> DataFrame:
     """((lg_fip - fip) * IP / 9) / 10, lg_fip = mean FIP of the league-season as numeric(6,3)."""
-    f = fip(pitching, params)
-    lg = f.groupBy(*KEYS).agg(mean_half_up("fip", 2, 3, 6).alias("lg_fip"))
-    j = f.join(lg, KEYS)
+    f = fip(pitching, params, sums)
+    j = f.join(league_fip(f) if league is None else league, KEYS)
     num = ("(CAST(lg_fip * 1000 AS BIGINT) - CAST(fip * 100 AS BIGINT) * 10)"
            " * CAST(innings_pitched * 10 AS BIGINT)")
     return j.select("player_id", "year_id", "team_id", "lg_id", "stint", "innings_pitched", "era",
                     "fip", "lg_fip", F.expr(div_half_up_sql(num, "9000", 2, 10)).alias("war_proxy"))
 
 
-def batting_war(batting: DataFrame, params: Params = Params()) -> DataFrame:
+def batting_war(batting: DataFrame, params: Params = Params(), league: DataFrame | None = None) -> DataFrame:
     """(((woba - lg_woba) / scale) * PA) / 10, lg_woba = league mean wOBA as numeric(5,3)."""
     w = woba(batting, params)
-    lg = w.groupBy(*KEYS).agg(mean_half_up("woba", 3, 3, 5).alias("lg_woba"))
+    lg = league_woba(w) if league is None else league
     scale_c = Decimal(params.woba_scale) * 100          # 1.20 -> 120
     if scale_c != scale_c.to_integral_value():
         raise ValueError("woba_scale must have at most 2 decimals")
@@ -175,16 +187,17 @@ def batting_war(batting: DataFrame, params: Params = Params()) -> DataFrame:
                     F.expr(div_half_up_sql(num, str(int(scale_c)), 2, 10)).alias("war_proxy")))
 
 
-def war_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10) -> DataFrame:
+def war_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10, sums: DataFrame | None = None,
+                    fip_mean: DataFrame | None = None, woba_mean: DataFrame | None = None) -> DataFrame:
     """Batters and pitchers in one list (role B/P; IP NULL for batters), best WAR first.
 
     The two WAR sets are unioned first so the name lookup is a single join."""
-    check_k(k)
+    check_k(k, 1, None)
     names = wh.people.select("player_id", c("full_name").alias("player"))
-    bat = (batting_war(wh.batting, params)
+    bat = (batting_war(wh.batting, params, woba_mean)
            .select("player_id", "year_id", "team_id", "stint", F.lit("B").alias("role"),
                    F.lit(None).cast("decimal(6,1)").alias("ip"), "war_proxy"))
-    pit = (pitching_war(wh.pitching, params)
+    pit = (pitching_war(wh.pitching, params, sums, fip_mean)
            .select("player_id", "year_id", "team_id", "stint", F.lit("P").alias("role"),
                    c("innings_pitched").cast("decimal(6,1)").alias("ip"), "war_proxy"))
     both = bat.unionByName(pit).join(names, "player_id")

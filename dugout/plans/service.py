@@ -53,10 +53,10 @@ def priciest_starter(wh: Warehouse, year: int | None = None, params: Params = Pa
 
 
 def team_ace(wh: Warehouse, min_ipouts: int | None = None, params: Params = Params()) -> DataFrame:
-    ace = J.team_ace(wh, params, min_ipouts).select(
-        "pitcher", c("canadian_team").alias("team_id"), c("season").alias("year_id"),
+    ace = J.team_ace(wh, params, min_ipouts, with_id=True).select(
+        "player_id", "pitcher", c("canadian_team").alias("team_id"), c("season").alias("year_id"),
         c("earned_run_average").alias("era"), "innings_pitched", "k_per_9", "bb_per_9")
-    return award_envelope(ace, "Canadian Ace", ["pitcher", "team_id", "year_id"],
+    return award_envelope(ace, "Canadian Ace", ["player_id", "pitcher", "team_id", "year_id"],
                           ["era", "innings_pitched", "k_per_9", "bb_per_9"])
 
 

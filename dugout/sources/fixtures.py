@@ -39,6 +39,10 @@ def order_year(orders: DataFrame):
     return F.year(col).cast("int")
 
 
+# Fixed value: lines (or orders, for a salary) of one player-season above which its counts are scaled down.
+SEASON_LINES = 2000
+
+
 def _pid(col):
     return F.concat(F.lit("p"), col.cast("string"))
 
@@ -53,7 +57,13 @@ def people(customer: DataFrame, nation: DataFrame) -> DataFrame:
                 F.when(ck % 29 == 0, F.lit(None)).otherwise((150 + (ck * 7) % 100).cast("int")).alias("weight"),
                 F.when(ck % 31 == 0, F.lit(None)).otherwise((62 + (ck * 13) % 18).cast("int")).alias("height"),
                 F.when(ck % 3 == 0, F.lit(None)).otherwise((1900 + ck % 100).cast("int")).alias("death_year"),
-                F.col("n_name").alias("birth_country")))
+                F.col("n_name").alias("birth_country"),
+                F.concat_ws(" ", "c_mktsegment", "c_name").alias("name_given"),
+                F.when(ck % 5 != 0, F.when(ck % 3 == 0, "L").otherwise("R")).alias("bats"),
+                F.when(ck % 4 == 0, "L").otherwise("R").alias("throws"),
+                F.date_add(F.lit("1990-01-01").cast("date"), (ck % 3000).cast("int")).alias("debut"),
+                F.when(ck % 41 != 0, F.date_add(F.lit("1999-01-01").cast("date"), (ck % 3000).cast("int"))).alias("final_game"),
+                (1930 + ck % 60).cast("int").alias("birth_year")))
 
 
 def _order_keys(orders: DataFrame) -> DataFrame:
@@ -88,8 +98,12 @@ def season(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) -> DataF
                        F.sum("ln").cast("bigint").alias("ln"), F.sum("nr").alias("nr"),
                        F.sum("lnr").cast("bigint").alias("lnr"), F.sum("na").alias("na"),
                        F.sum("nf").alias("nf")))
+    # a season of very many lines is brought down to about SEASON_LINES by one divisor, so the ratios stay
+    # and the stored types hold the values whatever share of all orders one customer has
+    by = F.expr(f"1 + n div {SEASON_LINES}")
+    per_season = per_season.withColumn("_by", by)
     return _with_team(per_season, customer).select(
-        "ck", "year_id", "tk", "stint", "n", "q", "ln", "nr", "lnr", "na", "nf")
+        "ck", "year_id", "tk", "stint", *[F.expr(f"{x} div _by").alias(x) for x in ("n", "q", "ln", "nr", "lnr", "na", "nf")])
 
 
 def _ids(s: DataFrame):
@@ -106,31 +120,39 @@ def batting(s: DataFrame) -> DataFrame:
                     (c("n") * 2).cast("int").alias("hr"), (c("ln") * 3).cast("int").alias("bb"),
                     F.when(c("ck") % 19 == 0, F.lit(None)).otherwise(c("na").cast("int")).alias("ibb"),
                     F.when(c("ck") % 17 == 0, F.lit(None)).otherwise(c("nf").cast("int")).alias("hbp"),
-                    c("nr").cast("int").alias("sh"), c("na").cast("int").alias("sf"))
+                    c("nr").cast("int").alias("sh"), c("na").cast("int").alias("sf"),
+                    c("n").cast("int").alias("g"), (c("nr") * 2).cast("int").alias("r"), c("ln").cast("int").alias("rbi"),
+                    c("na").cast("int").alias("sb"), c("nf").cast("int").alias("cs"), (c("n") * 3).cast("int").alias("so"),
+                    F.when(c("ck") % 23 != 0, c("nr").cast("int")).alias("gidp"))
 
 
 def pitching(s: DataFrame) -> DataFrame:
     c = F.col
     era = (F.floor((c("lnr") * 5400 + c("q")).cast("double") / (c("q") * 2)).cast("decimal(10,0)")
            * F.lit(Decimal("0.01"))).cast("decimal(6,2)")
-    return (s.where(c("ck") % 2 == 0)
-            .select(*_ids(s),
+    return (s.select(*_ids(s),
                     c("n").cast("int").alias("gs"), c("q").cast("int").alias("ipouts"),
                     c("lnr").cast("int").alias("er"), c("na").cast("int").alias("hr"),
                     c("ln").cast("int").alias("bb"), (c("nf") * 5 + c("n") * 3).cast("int").alias("so"),
                     F.when(c("ck") % 17 == 0, F.lit(None)).otherwise(c("nf").cast("int")).alias("hbp"),
-                    F.when(c("ck") % 97 == 0, F.lit(None).cast("decimal(6,2)")).otherwise(era).alias("era")))
+                    F.when(c("ck") % 97 == 0, F.lit(None).cast("decimal(6,2)")).otherwise(era).alias("era"),
+                    c("nr").cast("int").alias("w"), c("na").cast("int").alias("l"), (c("n") * 2).cast("int").alias("g"),
+                    c("nf").cast("int").alias("cg"), (c("nr") % 3).cast("int").alias("sho"), (c("ln") % 7).cast("int").alias("sv"),
+                    c("q").cast("int").alias("h"),
+                    (((c("ck") * 37 + c("year_id") * 11) % 1000).cast("decimal(10,0)") * F.lit(Decimal("0.001")))
+                    .cast("decimal(5,3)").alias("baopp")))
 
 
 def salaries(orders: DataFrame, customer: DataFrame) -> DataFrame:
     per_season = (_order_keys(orders).groupBy("ck", "year_id", "parity")
-                  .agg(F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("salary")))
+                  .agg(F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("paid"), F.count(F.lit(1)).alias("n"))
+                  .withColumn("cents", F.expr(f"CAST(paid * 100 AS BIGINT) div (1 + n div {SEASON_LINES})")))
     return _with_team(per_season, customer).select(
         "year_id",
         F.concat(F.lit("T"), F.col("tk").cast("string")).alias("team_id"),
         F.concat(F.lit("L"), (F.col("tk") % 5).cast("string")).alias("lg_id"),
         _pid(F.col("ck")).alias("player_id"),
-        F.col("salary").cast("decimal(12,2)").alias("salary"))
+        (F.col("cents").cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(12,2)").alias("salary"))
 
 
 def teams(nation: DataFrame, orders: DataFrame) -> DataFrame:
@@ -150,7 +172,13 @@ def teams(nation: DataFrame, orders: DataFrame) -> DataFrame:
                     F.concat(F.lit("T"), nk.cast("string")).alias("team_id"),
                     F.concat(F.col("n_name"), F.lit(" Club")).alias("name"),
                     F.lit(162).cast("int").alias("g"), wins.alias("w"),
-                    (F.lit(162) - wins).cast("int").alias("l")))
+                    (F.lit(162) - wins).cast("int").alias("l"),
+                    F.concat(F.lit("F"), nk.cast("string")).alias("franch_id"),
+                    F.when(nk % 5 != 0, F.when(nk % 2 == 0, "E").otherwise("W")).alias("div_id"),
+                    F.concat(F.col("n_name"), F.lit(" Park")).alias("park"),
+                    (500 + (nk * 31 + y * 7) % 400).cast("int").alias("r"), (500 + (nk * 17 + y * 13) % 400).cast("int").alias("ra"),
+                    ((200 + (nk * 53 + y * 29) % 400).cast("decimal(10,0)") * F.lit(Decimal("0.01"))).cast("decimal(5,2)").alias("era"),
+                    F.when(nk % 23 != 0, (1000000 + (nk * 7919 + y * 104729) % 2000000).cast("int")).alias("attendance")))
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict:

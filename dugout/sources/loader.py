@@ -1,4 +1,4 @@
-"""Typed CSV load of the five raw tables (header row, positional columns, empty = NULL,
+"""Typed CSV load of the five raw tables (header row, positional columns, bare empty = NULL,
 whole load fails on a malformed row), key enforcement, derived columns, Parquet sink."""
 
 from __future__ import annotations
@@ -10,18 +10,24 @@ from pyspark.sql import functions as F
 
 from dugout.sources.schemas import PRIMARY_KEYS, SCHEMAS, TABLES
 
+NO_TEXT = "\u0000"                          # stands for a bare empty field while parsing; no CSV text holds it
+SEASON_TABLES = ("batting", "pitching", "salaries")
+
 
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Read one table's CSV against its declared schema.
 
-    Columns are matched by position (``enforceSchema``), an empty field is NULL, the text 'NA'
-    stays text, and FAILFAST makes a bad integer, a short row or an extra column abort the load.
-    Column pruning of the CSV parser is switched off by the caller (``load_csv``) so an extra
-    column is detected even when later plans read only a few columns.
+    Columns are matched by position (``enforceSchema``), an empty field is NULL, a quoted empty field is
+    an empty text, the text 'NA' stays text, quotes inside quotes are doubled and a quoted field may hold
+    line breaks.  FAILFAST makes a bad integer, a short row or an extra column abort the load, and the
+    parser reads all columns, so an extra one is found even when later plans read only a few.
+
+    Quoted line breaks mean that one file is read by one task (``multiLine``): load many files at scale.
     """
     return (spark.read.schema(SCHEMAS[table])
-            .option("header", True).option("enforceSchema", True)
-            .option("nullValue", "").option("mode", "FAILFAST")
+            .option("header", True).option("enforceSchema", True).option("columnPruning", False)
+            .option("escape", '"').option("multiLine", True)
+            .option("emptyValue", "").option("nullValue", NO_TEXT).option("mode", "FAILFAST")
             .csv(path))
 
 
@@ -34,28 +40,47 @@ def key_violations(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
             .unionByName(dups.withColumn("problem", F.lit("duplicate key"))))
 
 
+def key_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, null_keys, duplicate_keys): rows with a NULL key part, and keys held by several rows."""
+    out = None
+    for name, df in sorted(tables.items()):
+        bad = key_violations(df, PRIMARY_KEYS[name])
+        row = bad.agg(F.count(F.when(F.col("problem") == "null key", 1)).alias("null_keys"),
+                      F.count(F.when(F.col("problem") == "duplicate key", 1)).alias("duplicate_keys")).select(
+            F.lit(name).alias("table_name"), "null_keys", "duplicate_keys")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def enforce_key(df: DataFrame, table: str) -> DataFrame:
-    """Abort (like a PRIMARY KEY constraint) if the key is NULL or duplicated anywhere."""
-    bad = key_violations(df, PRIMARY_KEYS[table]).limit(5).collect()
-    if bad:
-        raise ValueError(f"{table}: primary key {PRIMARY_KEYS[table]} violated: {bad}")
+    """Abort (like a PRIMARY KEY constraint) if the key is NULL or duplicated anywhere.
+
+    The error says how many violations there are and shows a few."""
+    bad = key_violations(df, PRIMARY_KEYS[table])
+    some = bad.limit(5).collect()
+    if some:
+        raise ValueError(f"{table}: primary key {PRIMARY_KEYS[table]} violated {bad.count()} times, such as {some}")
     return df
 
 
 def load_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     return enforce_key(read_csv(spark, path, table), table)
 
 
 def load_all(spark: SparkSession, csv_paths: dict[str, str], root: str) -> dict[str, DataFrame]:
-    """Load, key-check, derive and persist all five tables into ``root/raw`` (overwrite; rerunnable)."""
-    from dugout.sources.sinks import write_layer
+    """Load, derive, write, key-check and show all five tables under ``root/raw`` (rerunnable).
+
+    Every CSV is read once: keys are checked on the written tables, and only when all five pass do they become
+    current; otherwise the previous load stays.  Seasons are folders of the fact tables."""
+    from dugout.sources.sinks import make_current, read_layer, stage
     from dugout.sources.warehouse import Warehouse
-    raw = {t: load_csv(spark, csv_paths[t], t) for t in TABLES}
-    wh = Warehouse.derive(raw)
-    for t, df in wh.tables().items():
-        write_layer(df, root, "raw", t)
-    return wh.tables()
+    wh = Warehouse.derive({t: read_csv(spark, csv_paths[t], t) for t in TABLES})
+    staged = {t: stage(df, root, "raw", t, ("year_id",) if t in SEASON_TABLES else ()) for t, df in wh.tables().items()}
+    for t, path in staged.items():
+        enforce_key(spark.read.parquet(path), t)
+    for path in staged.values():
+        make_current(spark, path)
+    return {t: read_layer(spark, root, "raw", t) for t in TABLES}
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -1,33 +1,46 @@
 """Layered table sinks: raw / analytics / marts under one root folder.
 
-``write_layer`` overwrites a table in place (raw loads and marts are rebuilt whole).
-``publish`` is the non-blocking refresh used for the analytical aggregates: every version is
-written to a fresh ``v<timestamp>`` folder, and readers take the newest version whose
-``_SUCCESS`` marker exists (the marker appears only when the write job commits).  Nothing is
-overwritten in place, so readers never see a half-written table and a failed or interrupted
-rebuild leaves the previous version live.
+``publish`` writes every version of a table to a fresh ``v<timestamp>`` folder, and readers take the
+newest version whose ``_SUCCESS`` marker exists (the marker appears only when the write job
+commits).  Nothing is overwritten in place, so readers never see a half-written table and a failed
+or interrupted rebuild leaves the previous version live.  ``stage`` writes a version that readers
+do not see yet; ``make_current`` shows it, after it was checked.  Versions older than the ``KEEP`` newest
+are removed when a new one becomes current (readers of those have had that long to finish).
+``write_layer`` publishes too: raw tables and marts are versioned like the aggregates.
 """
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dugout.session import shared_dir
+
+STAGED = "staged-"                  # readers list folders that start with v only
 
 def _path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
+KEEP = 3
+
+
 def write_layer(df: DataFrame, root: str, layer: str, name: str,
                 partition_by: tuple[str, ...] = ()) -> str:
-    p = _path(root, layer, name)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(p)
-    return p
+    """Write a table and make it current. Partitioned tables are rebalanced first, so a partition is a few
+    files of the advisory size and not one from every task."""
+    return publish(df, root, layer, name, partition_by)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a run folder in the shared folder and read it back (its size is then known)."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/dugout-run/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _jvm_fs(spark: SparkSession, path: str):
@@ -37,45 +50,80 @@ def _jvm_fs(spark: SparkSession, path: str):
 
 
 def layer_exists(spark: SparkSession, root: str, layer: str, name: str) -> bool:
-    fs, hp = _jvm_fs(spark, _path(root, layer, name))
-    return fs.exists(hp)
+    """Whether a table has a committed version (or is a committed bucketed table)."""
+    fs, hp = _jvm_fs(spark, f"{_path(root, layer, name)}/_SUCCESS")
+    return fs.exists(hp) or current_version(spark, root, layer, name) is not None
 
 
-def publish(df: DataFrame, root: str, layer: str, name: str) -> str:
-    """Write a new version folder; it becomes current once its write has committed."""
-    version = f"v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
+def stage(df: DataFrame, root: str, layer: str, name: str, partition_by: tuple[str, ...] = ()) -> str:
+    """Write a version that is not current yet; returns its folder."""
+    version = f"{STAGED}v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
     target = f"{_path(root, layer, name)}/{version}"
-    df.write.mode("errorifexists").parquet(target)
+    w = df.hint("rebalance", *partition_by).write if partition_by else df.write
+    w = w.partitionBy(*partition_by) if partition_by else w
+    w.mode("errorifexists").parquet(target)
+    return target
+
+
+def make_current(spark: SparkSession, staged_path: str, keep: int = KEEP) -> str:
+    """Show a staged version to readers (one rename) and remove versions older than the ``keep`` newest."""
+    base, _, folder = staged_path.rpartition("/")
+    target = f"{base}/{folder.removeprefix(STAGED)}"
+    fs, hp = _jvm_fs(spark, staged_path)
+    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    if not fs.rename(hp, new):
+        raise OSError(f"{staged_path} could not be renamed")
+    for old in _versions(spark, base)[keep:]:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/{old}"), True)
     return target
 
 
+def publish(df: DataFrame, root: str, layer: str, name: str, partition_by: tuple[str, ...] = ()) -> str:
+    """Write a new version folder; it becomes current once its write has committed."""
+    return make_current(df.sparkSession, stage(df, root, layer, name, partition_by))
+
+
+def _versions(spark: SparkSession, base: str) -> list[str]:
+    """Committed version folders of a table, newest first."""
+    fs, hp = _jvm_fs(spark, base)
+    if not fs.exists(hp):
+        return []
+    names = sorted((st.getPath().getName() for st in fs.listStatus(hp)
+                    if st.isDirectory() and st.getPath().getName().startswith("v")), reverse=True)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return [v for v in names if fs.exists(path(f"{base}/{v}/_SUCCESS"))]
+
+
 def current_version(spark: SparkSession, root: str, layer: str, name: str) -> str | None:
     """Newest committed version folder of a published table (None if it was never published)."""
-    fs, hp = _jvm_fs(spark, _path(root, layer, name))
-    if not fs.exists(hp):
-        return None
-    versions = sorted((st.getPath().getName() for st in fs.listStatus(hp)
-                       if st.isDirectory() and st.getPath().getName().startswith("v")), reverse=True)
-    for v in versions:
-        marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{_path(root, layer, name)}/{v}/_SUCCESS")
-        if fs.exists(marker):
-            return v
-    return None
+    return next(iter(_versions(spark, _path(root, layer, name))), None)
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    """Read a table; for published tables, the newest committed version."""
+    """Read the newest committed version of a table."""
     base = _path(root, layer, name)
     version = current_version(spark, root, layer, name)
-    return spark.read.parquet(f"{base}/{version}" if version else base)
+    if version is None:
+        raise FileNotFoundError(f"{base} has no committed version")
+    return spark.read.parquet(f"{base}/{version}")
 
 
 def refresh_aggregates(wh, root: str, params=None) -> dict[str, str]:
-    """Rebuild the three analytical aggregates from the raw layer and publish each."""
+    """Rebuild the three analytical aggregates and the league constants from the raw layer and publish each."""
     from dugout.params import Params
     from dugout.plans import aggregates as A
+    from dugout.plans.constants import LeagueConstants
     params = params or Params()
-    return {
+    places: dict[str, str] = {}
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        places[name] = publish(df, root, "analytics", name)
+        return df.sparkSession.read.schema(df.schema).parquet(places[name])
+
+    constants = LeagueConstants(wh, params, keep)
+    for name in ("fip_sums", "fip_mean", "woba_mean", "mart_league"):
+        getattr(constants, name)
+    return places | {
         "mv_team_payroll": publish(A.team_payroll(wh.salaries), root, "analytics", "mv_team_payroll"),
         "mv_team_physiques": publish(A.team_physiques(wh.batting, wh.people), root, "analytics",
                                      "mv_team_physiques"),
@@ -84,8 +132,9 @@ def refresh_aggregates(wh, root: str, params=None) -> dict[str, str]:
     }
 
 
-def _table_name(layer: str, name: str) -> str:
-    return f"dugout_{layer}_{name}"
+def _table_name(root: str, layer: str, name: str) -> str:
+    """Catalog name of a bucketed table; the root is part of it, so two warehouses never meet."""
+    return f"dugout_{hashlib.sha1(root.rstrip('/').encode()).hexdigest()[:12]}_{layer}_{name}"
 
 
 def write_bucketed(df: DataFrame, root: str, layer: str, name: str, buckets: int,
@@ -97,7 +146,7 @@ def write_bucketed(df: DataFrame, root: str, layer: str, name: str, buckets: int
     the shared folder; the catalog entry is an external table that ``read_bucketed`` re-creates in
     any session, so nothing depends on one driver's metastore.
     """
-    table = _table_name(layer, name)
+    table = _table_name(root, layer, name)
     (df.write.mode("overwrite").bucketBy(buckets, *by).sortBy(*by)
      .option("path", _path(root, layer, name)).saveAsTable(table))
     return table
@@ -105,10 +154,17 @@ def write_bucketed(df: DataFrame, root: str, layer: str, name: str, buckets: int
 
 def read_bucketed(spark: SparkSession, root: str, layer: str, name: str, buckets: int,
                   by: tuple[str, ...] = ("player_id",)) -> DataFrame:
-    """Attach a bucketed table written by ``write_bucketed`` (idempotent) and return it."""
-    table = _table_name(layer, name)
-    if not spark.catalog.tableExists(table):
-        path = _path(root, layer, name)
+    """Attach a bucketed table written by ``write_bucketed`` (idempotent) and return it.
+
+    An entry of that name that has another place or number of buckets is an error."""
+    table = _table_name(root, layer, name)
+    path = _path(root, layer, name)
+    if spark.catalog.tableExists(table):
+        rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        place = lambda p: p.removeprefix("file:").replace("//", "/").rstrip("/")
+        if place(rows["Location"]) != place(path) or int(rows["Num Buckets"]) != buckets:
+            raise ValueError(f"{table} is at {rows['Location']} with {rows['Num Buckets']} buckets, not at {path} with {buckets}")
+    else:
         schema = spark.read.parquet(path).schema                     # footer read only
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         keys = ", ".join(f"`{c}`" for c in by)

@@ -30,8 +30,15 @@ SAL_COLS = "year_id int, team_id string, lg_id string, player_id string, salary
 
 @pytest.fixture
 def make_wh(spark):
+    from pyspark.sql import functions as F
+
+    from dugout.sources.schemas import SCHEMAS
     from dugout.sources.warehouse import Warehouse
 
+    def whole(name, df):
+        """The rows a test gives, with the table's other columns as nulls."""
+        return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields if f.name not in df.columns])
+
     def build(people=(), teams=(), batting=(), pitching=(), salaries=()):
         raw = {
             "people": spark.createDataFrame(list(people), PEOPLE_COLS),
@@ -40,5 +47,5 @@ def make_wh(spark):
             "pitching": spark.createDataFrame(list(pitching), PITCH_COLS),
             "salaries": spark.createDataFrame(list(salaries), SAL_COLS),
         }
-        return Warehouse.derive(raw)
+        return Warehouse.derive({n: whole(n, df) for n, df in raw.items()})
     return build
