@@ -28,6 +28,7 @@ from dugout.plans import aggregates as A  # noqa: E402
 from dugout.plans import awards as J  # noqa: E402
 from dugout.plans import quality as M  # noqa: E402
 from dugout.plans import sabermetrics as K  # noqa: E402
+from dugout.plans.constants import LeagueConstants  # noqa: E402
 from dugout.session import build_session, shared_dir  # noqa: E402
 from dugout.sources.fixtures import persist_raw  # noqa: E402
 from dugout.sources.sinks import read_layer, refresh_aggregates  # noqa: E402
@@ -52,9 +53,15 @@ def main() -> None:
     mvs = {n: read_layer(spark, root, "analytics", n).cache()
            for n in ("mv_team_payroll", "mv_team_physiques", "mv_league_pitching_baseline")}
 
+    plain = {n: read_layer(spark, root, "analytics", n) for n in mvs}
+
     def mv(name):
         return mvs[name]
 
+    # the league constants as refresh_aggregates published them
+    league = LeagueConstants(wh, p, lambda df, name: read_layer(spark, root, "analytics", name))
+    league.baseline = plain["mv_league_pitching_baseline"]
+
     headline = {
         "award_heaviest": lambda: J.heaviest_hitters(wh, physiques=mv("mv_team_physiques")),
         "award_shortest": lambda: J.shortest_sluggers(wh, physiques=mv("mv_team_physiques")),
@@ -62,14 +69,19 @@ def main() -> None:
         "award_bang": lambda: J.bang_for_buck(wh, p.season, payroll=mv("mv_team_payroll")),
         "award_starter": lambda: J.priciest_starter(wh, p),
         "award_ace": lambda: J.team_ace(wh, p),
-        "fip_top10": lambda: K.fip_leaderboard(wh, p),
+        "fip_top10": lambda: league.fip_leaderboard(),
         "woba_top10": lambda: K.woba_leaderboard(wh, p),
         "era_plus_top10": lambda: K.era_plus_leaderboard(
             wh, p, baseline=mv("mv_league_pitching_baseline")),
-        "war_top10": lambda: K.war_leaderboard(wh, p),
-        "mart_pitcher": lambda: M.mart_models(wh, p)["mart_pitcher_advanced"],
+        "war_top10": lambda: league.war_leaderboard(),
+        "mart_pitcher": lambda: league.mart_pitcher(),
         "dq_ledger": lambda: M.dq_ledger(wh, p),
         "team_payroll_rebuild": lambda: A.team_payroll(wh.salaries),
+        # the same awards over the aggregates as files, without the cache
+        "uncached_heaviest": lambda: J.heaviest_hitters(wh, physiques=plain["mv_team_physiques"]),
+        "uncached_shortest": lambda: J.shortest_sluggers(wh, physiques=plain["mv_team_physiques"]),
+        "uncached_spender": lambda: J.biggest_spenders(wh, payroll=plain["mv_team_payroll"]),
+        "uncached_bang": lambda: J.bang_for_buck(wh, p.season, payroll=plain["mv_team_payroll"]),
     }
     first, warm = {}, {}
     for name, q in headline.items():
