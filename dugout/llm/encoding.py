@@ -14,7 +14,7 @@ import os
 import unicodedata
 from array import array
 
-WORDS_HELD = 1_200_000          # about 200 bytes each
+WORDS_HELD = 500_000            # about 200 bytes each, for as long as the worker lives
 FOLDING = ["NFC", "Replace", "Lowercase"]
 ENDS = ".,;:!?"
 
