@@ -46,8 +46,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+# Rows that pass between the JVM and Python at once. Documents are long, so Spark's 10,000 would be tens of
+# MB in each of several buffers per task; the results do not depend on it.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Give Python workers this package (once per context), for clusters where it isn't installed."""
+    """Prepare a session for operators that run Python in tasks: bounded batches, and this package on the
+    workers (once per context), for clusters where it isn't installed."""
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     sc = spark.sparkContext
     if getattr(sc, "_dugout_shipped", False):
         return
