@@ -216,7 +216,10 @@ def read_records(spark: SparkSession, archives: DataFrame, with_payload: bool =
 def captures(records: DataFrame) -> DataFrame:
     """One nested row per response or revisit: its own fields, its request and its metadata records.
 
-    A record belongs to the capture that it names in concurrent-to, or that names it."""
+    A record belongs to the capture that it names in concurrent-to, or that names it. The records are written to
+    the shared folder first: archives are parsed once, and Spark joins on the records' real size instead of
+    taking them for as small as the list of archives."""
+    records = staged(records, "warc-records")
     main = records.where(F.col("type").isin("response", "revisit"))
     other = records.where(~F.col("type").isin("response", "revisit", "warcinfo"))
     part = F.struct("record_id", "type", "date", "text")
