@@ -2,9 +2,11 @@
 
 1. *Screen (lossless).* Items and documents are cut into word shingles (five words; an item of fewer
    words is one shingle). Shingles weigh by their rarity among items. A window of similarity >= t
-   shares more than (1 - t) of the item's weight, so it must hold one of the item's *anchors*: its
-   rarest shingles up to just over (1 - t) of its weight. Where a document holds an anchor, the
-   item-sized window that puts both at the same place is opened. No other window can pass.
+   shares at least t of the item's weight, so it must hold one of the item's *anchors*: its rarest
+   shingles up to just over (1 - t) of its weight. Where a text holds an anchor of an item, all its
+   shingles of that item are found, and every item-sized window in which they sum to t of the item's
+   weight is opened, whatever their order and place. A text shorter than the item is one window.
+   No other window can pass.
 2. *Fingerprint.* Every distinct window content and every item gets a 64-bit SimHash of its weighted
    words.
 3. *Multi-index blocks.* Fingerprints are cut into ``RADIUS + 1`` blocks; within Hamming distance
@@ -17,7 +19,8 @@ only against the item that opened it. Windows of equal content (a passage that m
 are fingerprinted and verified once. Everything is DataFrame code; no Python runs on executors.
 
 Cases: null or empty documents and items never match; items and documents of fewer than five words
-match as whole shingles; an item at a document's end or start opens only windows that fit; repeated
+match as whole shingles; an item cut off at a document's start or end is met by the first or last
+window that fits, and one that is longer than the document by the whole document; repeated
 item rows count once, a null item_id is reported as null; null doc_ids are reported as null; repeated documents are each
 reported once per (doc_id, text); extra columns are ignored (kept by ``remove_contaminated``); empty
 tables give an empty result.
@@ -82,26 +85,64 @@ def _anchors(shingles: DataFrame, weights: DataFrame, t: float) -> DataFrame:
     return s.where(F.coalesce(F.col("above"), F.lit(0.0)) <= (1 - t) * F.col("total") + 1e-9)
 
 
-def _windows(docs: DataFrame, anchors: DataFrame, k_sizes: list[int]) -> DataFrame:
-    """(doc_id, text_id, start, n_words, window): the item-sized windows that anchors open."""
+def _candidates(docs: DataFrame, anchors: DataFrame, k_sizes: list[int]) -> DataFrame:
+    """(doc_id, text_id, item_id): the documents that hold an anchor of an item."""
     docs = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_id"), words_of().alias("words"))
     found = []
     for k in k_sizes:
-        side = small(staged(anchors.where(F.col("k") == k)
-                            .groupBy("gram", "n_words", "pos").agg(F.lit(1).alias("one")).drop("one")
-                            .withColumnRenamed("pos", "anchor"), f"decon-anchors-{k}"))
+        side = small(staged(anchors.where(F.col("k") == k).select("gram", "item_id").distinct(), f"decon-anchors-{k}"))
         grams = (docs.withColumn("pos", F.explode(_starts(F.size("words") - (k - 1))))
                  .withColumn("gram", _gram("words", F.col("pos"), k)))
-        found.append(grams.join(side, "gram")
-                     .withColumn("start", F.col("pos") - F.col("anchor"))
-                     .where((F.col("start") >= 0) & (F.col("start") + F.col("n_words") <= F.size("words")))
-                     .select("doc_id", "text_id", "start", "n_words",
-                             F.expr("slice(words, start + 1, n_words)").alias("window")))
+        found.append(grams.join(side, "gram").select("doc_id", "text_id", "item_id"))
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
-    out = out.groupBy("doc_id", "text_id", "start", "n_words").agg(F.first("window").alias("window"))
-    return out.withColumn("content", F.md5(F.concat_ws(" ", "window").cast("binary")))
+    return out.distinct()
+
+
+def _windows(docs: DataFrame, candidates: DataFrame, shingles: DataFrame, weights: DataFrame, k_sizes: list[int],
+             t: float) -> DataFrame:
+    """(text_id, item_id, start, n_words, length, window, content): the windows that hold t of a candidate item's weight.
+
+    n_words is the item's length, length the window's (smaller where the text is shorter than the item).
+    Each shingle of the item at pos of a text counts for the windows that start from pos - (n_words - k) to pos;
+    these ranges are summed as steps up and down, so the work grows with the shingles met, not with the windows.
+    """
+    pairs = staged(candidates.select("text_id", "item_id").distinct(), "decon-pairs")
+    wanted = small(staged(pairs.select(F.col("text_id").alias("_text")).distinct(), "decon-wanted"))
+    texts = (docs.select(F.xxhash64(text_or_empty()).alias("text_id"), "text")
+             .join(wanted, F.col("text_id") == F.col("_text"), "left_semi")
+             .groupBy("text_id").agg(F.first("text").alias("text")).select("text_id", words_of().alias("words")))
+    texts = staged(texts, "decon-texts")
+    weighed = shingles.join(weights, ["k", "gram"])
+    totals = weighed.groupBy("item_id").agg(F.sum("weight").alias("total"))
+    of_items = staged(weighed.select("item_id", "n_words", "k", "gram", "weight").distinct().join(totals, "item_id"), "decon-grams")
+    sought = pairs.join(small(of_items), "item_id")
+    found = []
+    for k in k_sizes:
+        found.append(texts.select("text_id", "words", F.size("words").alias("size"), F.lit(k).alias("k"),
+                                  F.explode(_starts(F.size("words") - (k - 1))).alias("pos"))
+                     .select("text_id", "size", "k", "pos", _gram("words", F.col("pos"), k).alias("gram")))
+    grams = found[0]
+    for f in found[1:]:
+        grams = grams.unionByName(f)
+    last = F.greatest(F.col("size") - F.col("n_words"), F.lit(0))
+    held = grams.join(sought, ["text_id", "k", "gram"]).select(
+        "text_id", "item_id", "n_words", "total", "weight",
+        F.greatest(F.col("pos") - (F.col("n_words") - F.col("k")), F.lit(0)).alias("lo"), F.least(F.col("pos"), last).alias("hi"))
+    steps = (held.select("text_id", "item_id", "n_words", "total", F.explode(F.array(
+                F.struct(F.col("lo").alias("at"), F.col("weight").alias("step")),
+                F.struct((F.col("hi") + 1).alias("at"), (-F.col("weight")).alias("step")))).alias("s"))
+             .groupBy("text_id", "item_id", "n_words", "total", F.col("s.at").alias("at")).agg(F.sum("s.step").alias("step")))
+    order = W.partitionBy("text_id", "item_id").orderBy("at")
+    opened = (steps.withColumn("shared", F.sum("step").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
+              .withColumn("next", F.lead("at").over(order))
+              .where(F.col("next").isNotNull() & (F.col("shared") >= (t - 1e-6) * F.col("total")))
+              .select("text_id", "item_id", "n_words", F.explode(F.sequence("at", F.col("next") - 1)).alias("start")))
+    out = (opened.join(texts, "text_id")
+           .select("text_id", "item_id", "start", "n_words", F.expr("slice(words, start + 1, n_words)").alias("window")))
+    return (out.withColumn("length", F.size("window"))
+            .withColumn("content", F.md5(F.concat_ws(" ", "window").cast("binary"))))
 
 
 def simhash(words: DataFrame, key: list[str]) -> DataFrame:
@@ -164,7 +205,8 @@ def contaminated(docs: DataFrame, items: DataFrame, k: int = SHINGLE, t: float =
     if not sizes:
         sizes = [k]
     anchors = _anchors(shingles, weights, t)
-    windows = staged(_windows(docs, anchors, sizes), "decon-windows")
+    candidates = staged(_candidates(docs, anchors, sizes), "decon-candidates")
+    windows = staged(_windows(docs, candidates, shingles, weights, sizes, t), "decon-windows")
     contents = windows.groupBy("content", "n_words").agg(F.first("window").alias("window"))
     contents = staged(contents, "decon-contents")
 
@@ -184,27 +226,30 @@ def contaminated(docs: DataFrame, items: DataFrame, k: int = SHINGLE, t: float =
     # exact weighted-shingle similarity of the candidate pairs
     size = F.least(F.col("n_words"), F.lit(k))
     grams = contents.select("content", "n_words", "window", size.alias("k"),
-                            F.explode(_starts(F.col("n_words") - size + 1)).alias("pos"))
+                            F.explode(_starts(F.size("window") - size + 1)).alias("pos"))
     gram = F.lit(None).cast("long")
     for s in range(k, 0, -1):
         gram = F.when(F.col("k") == s, _gram("window", F.col("pos"), s)).otherwise(gram)
-    w_counts = grams.select("content", "k", gram.alias("gram")).groupBy("content", "k", "gram").agg(F.count("*").alias("n"))
+    window = ["content", "n_words"]
+    w_counts = grams.select(*window, "k", gram.alias("gram")).groupBy(*window, "k", "gram").agg(F.count("*").alias("n"))
     i_counts = shingles.groupBy("item_id", "k", "gram").agg(F.count("*").alias("n"))
-    pairs = near.select("content", "item_id")
-    both = (pairs.join(w_counts, "content").select("content", "item_id", "k", "gram", F.col("n").alias("a"), F.lit(0).cast("long").alias("b"))
-            .unionByName(pairs.join(i_counts, "item_id").select("content", "item_id", "k", "gram", F.lit(0).cast("long").alias("a"), F.col("n").alias("b"))))
-    shared = (both.groupBy("content", "item_id", "k", "gram").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    pairs = near.select(*window, "item_id")
+    both = (pairs.join(w_counts, window).select(*window, "item_id", "k", "gram", F.col("n").alias("a"), F.lit(0).cast("long").alias("b"))
+            .unionByName(pairs.join(i_counts, "item_id").select(*window, "item_id", "k", "gram", F.lit(0).cast("long").alias("a"), F.col("n").alias("b"))))
+    shared = (both.groupBy(*window, "item_id", "k", "gram").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
               .join(small(weights), ["k", "gram"], "left").withColumn("weight", F.coalesce("weight", unknown)))
-    exact = (shared.groupBy("content", "item_id")
+    exact = (shared.groupBy(*window, "item_id")
              .agg((F.sum(F.col("weight") * F.least("a", "b")) / F.sum(F.col("weight") * F.greatest("a", "b"))).alias("similarity"))
              .where(F.col("similarity") >= t - 1e-9))
-    verified = (near.join(exact, ["content", "item_id"]).withColumnRenamed("item_id", "item").drop("n_words")
+    verified = (near.join(exact, [*window, "item_id"]).withColumnRenamed("item_id", "item")
                 .join(names.select("item", "item_id"), "item").drop("item"))
     verified = small(staged(verified, "decon-verified"))
-    best = F.max_by(F.struct("start", "n_words", "hamming", "similarity"), F.struct("similarity", -F.col("start"))).alias("best")
-    return (windows.drop("window").join(verified, "content")
-            .groupBy("doc_id", "text_id", "item_id").agg(best)
-            .select("doc_id", "text_id", "item_id", F.col("best.start").alias("start_word"), F.col("best.n_words").alias("n_words"),
+    best = F.max_by(F.struct("start", "length", "hamming", "similarity"), F.struct("similarity", -F.col("start"))).alias("best")
+    found = (windows.select("text_id", "start", "length", *window).distinct().join(verified, window)
+             .groupBy("text_id", "item_id").agg(best))
+    found = small(staged(found, "decon-found"))
+    return (candidates.select("doc_id", "text_id").distinct().join(found, "text_id")
+            .select("doc_id", "text_id", "item_id", F.col("best.start").alias("start_word"), F.col("best.length").alias("n_words"),
                     F.col("best.hamming").alias("hamming"), F.col("best.similarity").alias("similarity")))
 
 

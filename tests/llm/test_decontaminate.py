@@ -54,6 +54,25 @@ def test_against_every_window(spark, small_dir):
     assert {9001, 9002, 9004, 9005, 9006} <= {r["doc_id"] for r in got} and not {9003, 9007} & {r["doc_id"] for r in got}
 
 
+def test_clipped_shortened_and_swapped_items(spark):
+    w = [f"w{i}" for i in range(55)]
+    pad = [f"p{i}" for i in range(70)]
+    items = [(1, " ".join(w)), (2, " ".join(f"v{i}" for i in range(55))), (3, "tiny item")]
+    docs = [(1, w[2:] + pad), (2, pad + w[:-2]), (3, w[:-1]), (4, w[1:]), (5, pad + w[28:] + w[:28] + pad), (6, w[28:] + w[:28]),
+            (7, pad + w[:20] + ["more"] + w[20:] + pad), (8, w[:30]), (9, w[20:] + pad), (10, w[:3]), (11, w), (12, ["tiny"]), (None, w[2:] + pad)]
+    docs = [(d, " ".join(x)) for d, x in docs]
+    shorter = [(d, t) for d, t in docs if len(t.split()) < 55]
+    want = brute(docs, items)
+    for d, t in shorter:                                  # the whole document is the window
+        x, c = [Counter(tuple(v[p:p + 5]) for p in range(len(v) - 4)) for v in (t.split(), w)]
+        if (s := sum((x & c).values()) / sum((x | c).values())) >= 0.8:   # all shingles weigh the same here
+            want[d, 1] = s
+    got = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == set(want) == {(d, 1) for d in (1, 2, 3, 4, 5, 6, 7, 11, None)}
+    assert all(abs(r["similarity"] - want[r["doc_id"], r["item_id"]]) < 1e-9 for r in got)
+    assert {r["doc_id"]: r["n_words"] for r in got}[3] == 54
+
+
 def test_blocks_find_all_within_radius(spark):
     import random
     rng = random.Random(5)
