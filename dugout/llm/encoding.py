@@ -58,7 +58,7 @@ class WordEncoder:
 
     def _pieces(self, word: str) -> bytes:
         got = array("I")
-        if word.isascii() and word.isalpha() and self._folds:
+        if word.isascii() and word.isalpha() and word.islower() and self._folds:   # a text with a capital sigma is not folded
             got.extend([t.id for t in self._merge(word)])      # one piece, its bytes are their own characters
         else:
             for piece, _ in self._split(self._normalize(word)):

@@ -37,6 +37,12 @@ def test_words_encode_like_whole_texts(docs_list):
             assert np.frombuffer(enc.encode(t), "<u4").tolist() == plain.encode(t or "", add_special_tokens=False).ids
 
 
+def test_capitals_beside_a_capital_sigma():
+    plain, enc = Tokenizer.from_file(WORDS), WordEncoder(WORDS)
+    for t in ("The sum Σ over All World", "ΣΑΣ, The END. aB Ab", "the sum over all world", "The World"):
+        assert np.frombuffer(enc.encode(t), "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
 def expected(rows):
     plain, at, out = Tokenizer.from_file(WORDS), 0, []
     for doc_id, text in rows:
