@@ -317,6 +317,11 @@ def similar_documents(docs: DataFrame, t: float = SIMILARITY) -> DataFrame:
     copy_id: smallest doc_id of the documents of equal shingle sets. n_links: documents, copies
     included, of similarity t or more to it.
     """
+    return _rooted(docs, t).drop("root")
+
+
+def _rooted(docs: DataFrame, t: float) -> DataFrame:
+    """similar_documents and the key of each linked document's class (root), which is never null or shared."""
     ship_package(docs.sparkSession)
     light = staged(signatures(docs), "jaccard-signatures")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id")).alias("first")
@@ -332,21 +337,21 @@ def similar_documents(docs: DataFrame, t: float = SIMILARITY) -> DataFrame:
               .withColumn("root", F.coalesce("root", "key")))
     ids = marked.groupBy("root").agg(F.min("copy_id").alias("class_id"))
     marked = staged(marked.join(ids, "root").select(
-        "key", "class_id", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+        "key", "root", "class_id", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
         .where((F.col("n_links") > 0)), "jaccard-marked")
     return (light.select("doc_id", "text_id", "key").join(small(marked), "key", "left")
             .select("doc_id", "text_id", F.when(F.col("n_links").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                     F.when(F.col("n_links").isNull(), F.col("doc_id")).otherwise(F.col("copy_id")).alias("copy_id"),
-                    F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")))
+                    F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "root"))
 
 
 def one_of_each(docs: DataFrame, t: float = SIMILARITY) -> DataFrame:
     """The documents, one of each class of linked documents: that of the smallest doc_id."""
-    found = staged(similar_documents(docs, t), "jaccard-documents")
+    found = staged(_rooted(docs, t), "jaccard-documents")
     linked = found.where("n_links > 0")
-    kept = linked.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id")).alias("w"))
-    linked_ids = linked.groupBy("class_id", "doc_id", "text_id").agg(F.count("*").alias("times"))
-    judged = (linked_ids.alias("l").join(kept.alias("k"), F.col("l.class_id").eqNullSafe(F.col("k.class_id")))
+    kept = linked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id")).alias("w"))
+    linked_ids = linked.groupBy("root", "doc_id", "text_id").agg(F.count("*").alias("times"))
+    judged = (linked_ids.alias("l").join(kept.alias("k"), F.col("l.root") == F.col("k.root"))
               .select(F.col("l.doc_id").alias("_doc"), F.col("l.text_id").alias("_text"), "times",
                       (F.col("l.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("l.text_id") == F.col("w.text_id"))).alias("_wins")))
     # those that go, and those that stay but come as repeated rows

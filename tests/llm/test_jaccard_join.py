@@ -93,3 +93,10 @@ def test_odd_rows(weird, nothing):
 def test_repeated_winner_stays_once(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g")] * 3 + [(2, "a b c d e f g"), (3, "other words are here today friends")], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in J.one_of_each(docs).collect()) == [1, 3]
+
+
+def test_classes_without_or_with_shared_ids_each_keep_one(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(9)) for x in "abcd")
+    docs = spark.createDataFrame([(None, a), (None, a), (None, b), (None, b), (1, c), (1, c), (2, c), (1, d), (3, d)], "doc_id long, text string")
+    got = sorted(tuple(r) for r in J.one_of_each(docs).select("text", "doc_id").collect())
+    assert got == [(a, None), (b, None), (c, 1), (d, 1)]
