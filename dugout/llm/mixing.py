@@ -10,8 +10,8 @@ whole corpus size by weight; a source stops at ``max_epochs`` times its own size
 to the others by weight until none is above (a water level found with integer sums).
 
 Cases: null text has size 0; size-0 documents are never taken (taken 0); a null source is a source of
-its own; null or repeated doc_ids are ordinary rows (ties broken by size, equal rows are
-interchangeable); an empty table gives an empty result; extra columns are ignored by ``mix`` and kept
+its own; null or repeated doc_ids are ordinary rows (``mix`` breaks ties by size, ``mixed_documents`` orders
+by doc_id and text; equal rows are interchangeable); an empty table gives an empty result; extra columns are ignored by ``mix`` and kept
 by ``mixed_documents``.
 """
 
@@ -40,6 +40,13 @@ def random_key(doc_id: str | Column = "doc_id") -> Column:
     return F.md5(F.concat(F.lit("mix:"), F.coalesce(c.cast("string"), F.lit("null"))).cast("binary"))
 
 
+def text_key(doc_id: str | Column = "doc_id", text: str | Column = "text") -> Column:
+    """Hash-random order of documents that also tells texts of one or no doc_id apart."""
+    c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    return F.md5(F.concat_ws(":", F.lit("mix"), F.coalesce(c.cast("string"), F.lit("null")),
+                             F.xxhash64(text_or_empty(text)).cast("string")).cast("binary"))
+
+
 def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """(source, source_size) -> + target: one row per source, so these windows stay small."""
     by_name = W.orderBy(F.col("source").asc_nulls_last())
@@ -88,6 +95,13 @@ def _placed(rows: DataFrame, weights, max_epochs: int, range_rows: int) -> DataF
     return placed.withColumn("before", F.col("offset") + F.coalesce(F.sum("size").over(in_range), F.lit(0)))
 
 
+def _taken(placed: DataFrame) -> DataFrame:
+    """+ full and rest: how often a source is taken whole, and the words of its budget that then remain."""
+    budget, size = F.floor("target").cast("long"), F.col("source_size")
+    full = F.when(size > 0, F.floor(budget / size).cast("long")).otherwise(F.lit(0).cast("long"))
+    return placed.withColumn("full", full).withColumn("rest", budget - F.col("full") * size)
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, range_rows: int = RANGE_ROWS) -> DataFrame:
     """(doc_id, text, source) -> doc_id, source, key, size, source_size, target, full, before, rest, taken.
 
@@ -95,10 +109,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, range_ro
     of the budget (floor of the target) at its place in the source's random order; the words taken
     from a source therefore sum to exactly its budget.
     """
-    placed = _placed(_sized(docs), weights, max_epochs, range_rows)
-    budget, size = F.floor("target").cast("long"), F.col("source_size")
-    full = F.when(size > 0, F.floor(budget / size).cast("long")).otherwise(F.lit(0).cast("long"))
-    placed = placed.withColumn("full", full).withColumn("rest", budget - F.col("full") * size)
+    placed = _taken(_placed(_sized(docs), weights, max_epochs, range_rows))
     part = F.least(F.greatest(F.col("rest") - F.col("before"), F.lit(0).cast("long")), F.col("size"))
     return placed.select("doc_id", "source", "key", "size", "source_size", "target", "full", "before", "rest",
                          (F.col("full") * F.col("size") + part).alias("taken"))
@@ -110,20 +121,35 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
 
     Every document comes ``full`` times, and once more if it lies before its source's cut: the first
     document in random order of which less than half is within the budget. So each source's total is
-    within half a document of its budget and no text is truncated. Only one row per source (the cut)
+    within half a document of its budget and no text is truncated. Equal rows (doc_id and text) are placed
+    as one row with a count, and the cut may lie between them. Only one row per source (the cut)
     is joined to the texts; its size is checked before it is broadcast.
     """
-    placed = mix(docs, weights, max_epochs, range_rows)
-    out = F.col("before") + F.col("size") / 2 > F.col("rest")
-    cuts = placed.groupBy("source").agg(F.max("full").alias("_full"),
-                                        F.min(F.when(out & (F.col("size") > 0), F.struct("key", "doc_id"))).alias("_cut"),
+    rows = docs.select("source", text_key().alias("key"), text_size("text").alias("one"))
+    rows = rows.groupBy("source", "key", "one").agg(F.count("*").alias("n"))
+    rows = staged(rows.withColumn("size", F.col("one") * F.col("n")).withColumn("doc_id", F.lit(None).cast("long")), "mix-sizes")
+    placed = _taken(_placed(rows, weights, max_epochs, range_rows))
+    # copies of which at least half is within the budget
+    within = 2 * (F.col("rest") - F.col("before")) - F.col("one")
+    inside = F.when(within >= 0, F.least(F.floor(within / (2 * F.greatest("one", F.lit(1)))).cast("long") + 1, F.col("n"))).otherwise(0)
+    placed = placed.withColumn("inside", inside.cast("long"))
+    out = (F.col("inside") < F.col("n")) & (F.col("size") > 0)
+    cuts = placed.groupBy("source").agg(F.max("full").alias("_full"), F.min(F.when(out, F.struct("key", "inside"))).alias("_cut"),
                                         F.max("source_size").alias("_source_size"))
-    cuts = cuts.select(F.col("source").alias("_source"), "_full", F.col("_cut.key").alias("_cut_key"), "_source_size")
-    cuts = small(staged(cuts, "mix-cuts"))
-    extra = F.when((F.col("_source_size") > 0) & (F.col("_cut_key").isNull() | (random_key(F.col("r.doc_id")) < F.col("_cut_key"))), 1).otherwise(0)
-    return (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"))
-            .join(cuts, F.col("r.source").eqNullSafe(F.col("_source")))
-            .withColumn("_copies", F.col("_full") + extra)
-            .where("_copies > 0")
+    cuts = staged(cuts.select(F.col("source").alias("_source"), "_full", F.col("_cut.key").alias("_cut_key"),
+                              F.coalesce("_cut.inside", F.lit(0)).alias("_inside"), "_source_size"), "mix-cuts")
+    divided = not cuts.where("_inside > 0").isEmpty()
+    key = text_key(F.col("r.doc_id"), F.col("r.text"))
+    found = (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r")).withColumn("_key", key)
+             .join(small(cuts), F.col("r.source").eqNullSafe(F.col("_source"))))
+    extra = F.when((F.col("_source_size") > 0) & (F.col("_cut_key").isNull() | (F.col("_key") < F.col("_cut_key"))), 1).otherwise(0)
+    copied = found.withColumn("_copies", F.col("_full") + extra)
+    if divided:
+        at_cut = F.coalesce((F.col("_key") == F.col("_cut_key")) & (F.col("_inside") > 0), F.lit(False))
+        nth = F.row_number().over(W.partitionBy("_source").orderBy("_row"))
+        equal = (found.where(at_cut).withColumn("_row", F.monotonically_increasing_id())
+                 .withColumn("_copies", F.col("_full") + F.when(nth <= F.col("_inside"), 1).otherwise(0)).drop("_row"))
+        copied = copied.where(~at_cut).unionByName(equal)
+    return (copied.where("_copies > 0")
             .select("r", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy"))
             .select("r.*"))

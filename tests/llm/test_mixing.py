@@ -65,3 +65,14 @@ def test_documents_come_near_targets(spark, small_dir):
     want = {r["source"]: r["target"] for r in mixing.mix(docs).select("source", "target").distinct().collect()}
     longest = {r["source"]: r["m"] for r in docs.groupBy("source").agg(mixing.F.max(mixing.text_size()).alias("m")).collect()}
     assert got and all(abs(r["n"] - want[r["source"]]) <= longest[r["source"]] / 2 + 1 for r in size)
+
+
+def test_null_and_repeated_ids_are_cut_like_others(spark):
+    rows = [(None, f"n{i} " * 10, "z") for i in range(300)] + [(7, f"r{i} " * 10, "y") for i in range(300)]
+    rows += [(None, "same " * 10, "x")] * 300 + [(i, "a " * 10, "a") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r["source"]: r["n"] for r in mixing.mixed_documents(docs, weights=(5, 2, 1, 1), range_rows=50).groupBy("source").agg(mixing.F.sum(mixing.text_size()).alias("n")).collect()}
+    want = targets({s: 3000 for s in "axyz"}, weights=(5, 2, 1, 1))
+    assert want["z"] < 3000 and all(abs(out[s] - want[s]) <= 6 for s in want)
+    spread = mixing._placed(docs.select("doc_id", "source", mixing.text_size().alias("size"), mixing.text_key().alias("key")), (5, 2, 1, 1), 3, 50)
+    assert spread.where("source = 'z'").select("range").distinct().count() > 1
