@@ -14,8 +14,9 @@
    finds every pair within the radius. A pair counts at its first equal block only.
 4. *Exact check.* Weighted multiset similarity of shingles, sum w*min / sum w*max >= t.
 
-A screened window is verified against every item of its length that its fingerprint comes near, not
-only against the item that opened it. Windows of equal content (a passage that many documents share)
+A screened window is verified against the item that opened it, however far apart their fingerprints are
+(edits at an item's edges can exceed the radius), and against every item of its length that its
+fingerprint comes near. So the radius loses no window. Windows of equal content (a passage that many documents share)
 are fingerprinted and verified once. Everything is DataFrame code; no Python runs on executors.
 
 Cases: null or empty documents and items never match; items and documents of fewer than five words
@@ -221,7 +222,13 @@ def contaminated(docs: DataFrame, items: DataFrame, k: int = SHINGLE, t: float =
 
     item_prints = simhash(weighed(exploded), ["item_id", "n_words"]).withColumnRenamed("fingerprint", "item_fingerprint")
     prints = simhash(weighed(contents.select("content", "n_words", F.explode("window").alias("word"))), ["content", "n_words"])
-    near = staged(hamming_join(prints, item_prints, radius).select("content", "n_words", "item_id", "hamming"), "decon-near")
+    prints, item_prints = staged(prints, "decon-prints"), staged(item_prints, "decon-item-prints")
+    opened = (windows.select("content", "n_words", "item_id").distinct().join(prints, ["content", "n_words"])
+              .join(small(item_prints), ["item_id", "n_words"])
+              .select("content", "n_words", "item_id",
+                      F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint"))).cast("int").alias("hamming")))
+    near = hamming_join(prints, item_prints, radius).select("content", "n_words", "item_id", "hamming")
+    near = staged(near.unionByName(opened).distinct(), "decon-near")
 
     # exact weighted-shingle similarity of the candidate pairs
     size = F.least(F.col("n_words"), F.lit(k))

@@ -73,6 +73,23 @@ def test_clipped_shortened_and_swapped_items(spark):
     assert {r["doc_id"]: r["n_words"] for r in got}[3] == 54
 
 
+def test_radius_loses_no_edge_edited_item(spark, small_dir):
+    items = [tuple(r) for r in spark.read.parquet(f"{small_dir}/benchmark.parquet").select("item_id", "text").collect()]
+    docs, n = [], 0
+    for _, text in items:
+        w = words(text)
+        for first, last in ((0, 3), (0, 4), (0, 5), (1, 1), (2, 2), (3, 0)):
+            edited = [f"x{n}y{i}" for i in range(first)] + w[first:len(w) - last] + [f"z{n}q{i}" for i in range(last)]
+            docs.append((n, " ".join(edited)))
+            n += 1
+    want = brute(docs, items, 0.8 - 1e-9)              # as contaminated does, for equality up to rounding
+    got = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    beyond = sum(r["hamming"] > D.RADIUS for r in got)
+    print(f"pairs {len(want)}, found {len(got)}, beyond the radius {beyond}, items {len(items)}")
+    assert want and {(r["doc_id"], r["item_id"]) for r in got} == set(want)
+    assert beyond                                         # these a join within the radius alone would lose
+
+
 def test_blocks_find_all_within_radius(spark):
     import random
     rng = random.Random(5)
