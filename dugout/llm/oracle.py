@@ -5,6 +5,7 @@ from __future__ import annotations
 from dugout.llm.license_scan import BASE, GAP, K, SHARE, SPLIT, STATEMENTS
 from dugout.llm.line_dedup import BLOCK_TAG, HIDDEN_PART, HOST, LEAST_PAGES, RATIO
 from dugout.llm.mixing import MAX_EPOCHS, WEIGHTS, WORD
+from dugout.llm.prefix_trie import FAMILY, PREFIXES
 
 
 def _q(pattern: str) -> str:
@@ -108,4 +109,38 @@ SELECT d.doc_id, len(d.words)::BIGINT AS n_words, count(*) FILTER (is_base)::BIG
 FROM d LEFT JOIN spans USING (row_no) GROUP BY d.row_no, d.doc_id, d.words
 """
 
-ORACLE: dict[str, str] = {"op6_line_dedup": LINE_DEDUP, "op7_mixing": MIXING, "op9_license_scan": LICENSE_SCAN}
+CRC32 = """xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT),
+  lambda a, b: list_reduce([xor(a, b)] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)), 4294967295)"""
+
+PREFIX_TRIE = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn ASC NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS nth
+  FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT conv_id, conv_id - conv_id % {FAMILY} AS base, {CRC32} % {PREFIXES} AS h, n FROM (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id)),
+c AS (SELECT s.*, least(s.h, coalesce(b.n, 0)) AS k FROM s LEFT JOIN s b ON b.conv_id = s.base),
+r AS (
+  SELECT conv_id, k + nth - h AS depth, role, text FROM c JOIN t USING (conv_id) WHERE nth > h
+  UNION ALL
+  SELECT c.conv_id, nth, role, text FROM c JOIN t ON t.conv_id = c.base WHERE nth <= k),
+p AS (
+  SELECT conv_id, depth, len(text) AS chars, string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM r
+  UNION ALL
+  SELECT conv_id, 0, 0, '' FROM c),
+e AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM p),
+n AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(chars) AS chars,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends) AS ids
+  FROM e GROUP BY path, depth),
+k AS (SELECT left(path, 64 * (depth - 1)) AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+w AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (path)),
+sub AS (
+  SELECT left(path, 64 * d) AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * chars) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM w) GROUP BY 1)
+SELECT w.conv_id, w.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, w.n_convs::BIGINT AS n_convs, w.n_children::BIGINT AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(w.ids, '')) AS ends_sha256
+FROM w JOIN sub USING (path) LEFT JOIN n up ON w.depth > 0 AND up.path = left(w.path, 64 * (w.depth - 1))
+"""
+
+ORACLE: dict[str, str] = {"op6_line_dedup": LINE_DEDUP, "op7_mixing": MIXING, "op9_license_scan": LICENSE_SCAN,
+                          "op12_prefix_trie": PREFIX_TRIE}

@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.llm import decontaminate, jaccard_join, license_scan, line_dedup, mixing, token_counts, token_pack, toxicity, warc, winnow
+from dugout.llm import (
+    decontaminate, jaccard_join, language_id, license_scan, line_dedup, mixing, prefix_trie, token_counts, token_pack, toxicity, warc, whitening,
+    winnow,
+)
 from dugout.llm.common import read
 from dugout.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
 
@@ -71,6 +74,21 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "class_id", "copy_id", "n_links"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document."""
+    return language_id.identify(read(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each node of the trie of all rebuilt conversations."""
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole, finite embedding on each of the 16 leading components."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -82,4 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_winnowing": op8_winnowing,
     "op9_license_scan": op9_license_scan,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_language_id": op11_language_id,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_whitening": op13_whitening,
 }
