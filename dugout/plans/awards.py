@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from dugout.functions.numeric import ratio
 from dugout.functions.text import millions, season_label
 from dugout.operators.joins import lookup
-from dugout.operators.topk import first_rank, top_k
+from dugout.operators.topk import top_k, top_k_inner
 from dugout.params import Params
 from dugout.plans.aggregates import team_payroll, team_physiques
 from dugout.sources.warehouse import Warehouse
@@ -116,10 +116,10 @@ def starter_costs(wh: Warehouse, params: Params = Params(), year: int | None = N
 
 def priciest_starter(wh: Warehouse, params: Params = Params(), year: int | None = None,
                      k: int = 1) -> DataFrame:
-    # inner join to people happens before the limit: a stint without a person row is not a candidate
-    sc = starter_costs(wh, params, year).join(_names(wh, "pitcher"), "player_id")
-    top = top_k(sc, [c("cost_per_start_usd").desc_nulls_last(), c("player_id"), c("year_id"),
-                     c("team_id"), c("stint")], k)
+    # a stint without a person row is not a candidate
+    top = top_k_inner(starter_costs(wh, params, year), _names(wh, "pitcher"), "player_id",
+                      [("cost_per_start_usd", False, False), ("player_id", True, True), ("year_id", True, True),
+                       ("team_id", True, True), ("stint", True, True)], k)
     return (top
             .select("pitcher", "player_id", "year_id", "team_id", c("gs").alias("games_started"),
                     "innings_pitched", c("salary").alias("salary_usd"), "cost_per_start_usd"))
@@ -143,24 +143,25 @@ def _ace_pool(wh: Warehouse, params: Params, min_ipouts: int | None) -> DataFram
                              & (c("era") > 0) & (c("ipouts") >= floor))
 
 
+def _ace_top(wh: Warehouse, params: Params, min_ipouts: int | None, k: int, tied=()) -> DataFrame:
+    pool = _ace_pool(wh, params, min_ipouts).select("player_id", "team_id", "year_id", "stint", "era", "ipouts", "innings_pitched", "k_per_9", "bb_per_9")
+    return top_k_inner(pool, _names(wh, "pitcher"), "player_id",
+                       [("era", True, True), ("ipouts", False, False), ("player_id", True, True), ("year_id", True, True), ("stint", True, True)], k, tied)
+
+
 def team_ace(wh: Warehouse, params: Params = Params(), min_ipouts: int | None = None, with_id: bool = False) -> DataFrame:
     """Lowest qualified ERA among the listed teams: RANK() by (era ASC, ipouts DESC) = 1."""
-    ranked = first_rank(_ace_pool(wh, params, min_ipouts), [("era", True), ("ipouts", False)],
-                        rank_col="canadian_era_rank")
     # rank over all qualifiers, then the inner people join, then one row of rank 1
-    top = top_k(ranked.join(_names(wh, "pitcher"), "player_id"),
-                [c("player_id"), c("year_id"), c("stint")], 1)
+    top = _ace_top(wh, params, min_ipouts, 1, ("era", "ipouts"))
     ids = ["player_id"] if with_id else []
-    return (top
+    return (top.withColumn("canadian_era_rank", F.lit(1))
             .select(*ids, "pitcher", c("team_id").alias("canadian_team"), c("year_id").alias("season"),
                     "innings_pitched", c("era").alias("earned_run_average"), "k_per_9", "bb_per_9",
                     "canadian_era_rank"))
 
 
 def ace_list(wh: Warehouse, params: Params = Params(), k: int = 15) -> DataFrame:
-    pool = _ace_pool(wh, params, None).join(_names(wh, "pitcher"), "player_id")
-    top = top_k(pool, [c("era").asc(), c("ipouts").desc(), c("player_id"), c("year_id"), c("stint")], k)
-    return (top
+    return (_ace_top(wh, params, None, k)
             .select("pitcher", "year_id", "team_id", "era", "innings_pitched",
                     F.concat(c("pitcher"), F.lit(" ("), c("team_id"), F.lit(" "),
                              c("year_id").cast("string"), F.lit(")")).alias("label")))

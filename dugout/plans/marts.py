@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dugout.functions.aggregates import mean_half_up, stddev_decimal
+from dugout.functions.aggregates import mean_half_up, moments, with_stddev
 from dugout.functions.numeric import div_half_up_sql, ratio
 from dugout.params import Params
 from dugout.plans.aggregates import team_payroll, team_physiques
@@ -45,10 +45,11 @@ def pitcher_league(stg_pitching: DataFrame, params: Params = Params()) -> DataFr
     The per-pitcher ratios are averaged at 12 decimals; each is off by at most 5e-13, and so is their
     mean, which is rounded to 3: it can differ from the mean of unrounded ratios only where
     that lies within 5e-13 of a rounding tie."""
-    return (_pitcher_base(stg_pitching, params).groupBy("year_id", "lg_id")
+    out = (_pitcher_base(stg_pitching, params).groupBy("year_id", "lg_id")
             .agg(mean_half_up("era", 2, 3, 6, wide=True).alias("league_era"),
-                 stddev_decimal(c("era"), 3, 6).alias("league_era_stddev"),
+                 *moments(c("era"), 2, "league_era_stddev"),
                  mean_half_up("_per_ip", 12, 3, 6, wide=True).alias("lg_raw_fip")))
+    return with_stddev(out, "league_era_stddev", 2, 3, 6).select("year_id", "lg_id", "league_era", "league_era_stddev", "lg_raw_fip")
 
 
 def mart_pitcher_advanced(stg_pitching: DataFrame, stg_people: DataFrame, params: Params = Params(),

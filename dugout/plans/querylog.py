@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dugout.functions.aggregates import mean_half_up
+from dugout.functions.aggregates import mean_half_up, moments, with_stddev
 from dugout.functions.numeric import ratio
 from dugout.functions.text import normalize_ws
 from dugout.operators.topk import top_k
@@ -38,12 +38,13 @@ def statement_stats(log: DataFrame, text_col: str = "event_type", ms_col: str =
              .groupBy("_stmt")
              .agg(F.count(F.lit(1)).alias("calls"),
                   mean_half_up(c("ms"), MS_SCALE, 2, 18, wide=True).alias("mean_ms"),
-                  F.stddev_pop(c("ms").cast("double")).cast("decimal(18,2)").alias("stddev_ms"),
+                  *moments(c("ms"), MS_SCALE, "stddev_ms"),
                   ratio(F.sum("ms"), F.lit(1000), 2, 18, num_scale=MS_SCALE, wide=True).alias("total_s"),
                   F.sum("_hit").alias("blk_hit"), F.sum("_read").alias("blk_read"),
                   # ranking uses the unrounded mean, a double as in the counters
                   (F.sum("ms").cast("double") / F.count("ms")).alias("_mean"))
              .withColumn("cache_hit_pct", ratio(c("blk_hit") * 100, c("blk_hit") + c("blk_read"), 1, 6, wide=True)))
+    stats = with_stddev(stats, "stddev_ms", MS_SCALE, 2, 18, population=True)
     top = top_k(stats, [c("_mean").desc_nulls_last(), c("_stmt")], k)
     return top.select(F.left(c("_stmt"), F.lit(width)).alias("query"), "calls", "mean_ms", "stddev_ms",
                       "total_s", "blk_hit", "blk_read", "cache_hit_pct")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from dugout.functions.aggregates import mean_half_up
 from dugout.functions.numeric import WIDE, div_half_up, div_half_up_sql, scaled
 from dugout.operators.ntile import ntile
-from dugout.operators.topk import check_k, top_k
+from dugout.operators.topk import Order, top_k_inner
 from dugout.params import Params
 from dugout.plans.aggregates import league_pitching_baseline
 from dugout.sources.warehouse import Warehouse
@@ -87,15 +87,19 @@ def fip(pitching: DataFrame, params: Params = Params(), sums: DataFrame | None =
         div_half_up(cnum, F.when(i_nz.isNotNull(), cden), 6, 12, wide=True).alias("c_fip"))
 
 
-def _leaderboard(df: DataFrame, people: DataFrame, name_col: str, order, k: int, cols) -> DataFrame:
-    check_k(k, 1, None)
-    named = df.join(people.select("player_id", c("full_name").alias(name_col)), "player_id")
-    return top_k(named, order, k).select(name_col, *cols)
+NATURAL_KEY: Order = [("player_id", True, True), ("year_id", True, True), ("stint", True, True)]
+
+
+def _leaderboard(df: DataFrame, people: DataFrame, name_col: str, order: Order, k: int, cols) -> DataFrame:
+    """The first k rows that have a person: only the best few are looked up (see ``top_k_inner``)."""
+    names = people.select("player_id", c("full_name").alias(name_col))
+    rows = df.select("player_id", "stint", *[x for x in dict.fromkeys([*(o[0] for o in order), *cols]) if x not in ("player_id", "stint")])
+    return top_k_inner(rows, names, "player_id", order, k).select(name_col, *cols)
 
 
 def fip_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10, sums: DataFrame | None = None) -> DataFrame:
     return _leaderboard(fip(wh.pitching, params, sums), wh.people, "pitcher",
-                        [c("fip").asc_nulls_last(), c("player_id"), c("year_id"), c("stint")], k,
+                        [("fip", True, False), *NATURAL_KEY], k,
                         ["year_id", "team_id", "innings_pitched", "era", "fip"])
 
 
@@ -118,35 +122,36 @@ def woba(batting: DataFrame, params: Params = Params()) -> DataFrame:
 
 def woba_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10) -> DataFrame:
     return _leaderboard(woba(wh.batting, params), wh.people, "batter",
-                        [c("woba").desc_nulls_last(), c("player_id"), c("year_id"), c("stint")], k,
+                        [("woba", False, False), *NATURAL_KEY], k,
                         ["year_id", "team_id", "pa", "obp", "slg", "ops", "woba"])
 
 
 # ---- era-adjusted ERA ------------------------------------------------------------------------
 
-def era_adjusted(pitching: DataFrame, params: Params = Params(),
-                 baseline: DataFrame | None = None) -> DataFrame:
-    """Qualified rows vs their league baseline: z-score (negative = better), ERA+ and the
-    in-league percentile bucket NTILE(100) (1 = best)."""
+def era_scored(pitching: DataFrame, params: Params = Params(), baseline: DataFrame | None = None) -> DataFrame:
+    """Qualified rows vs their league baseline: z-score (negative = better) and ERA+."""
     b = baseline if baseline is not None else league_pitching_baseline(pitching, params)
     rows = (pitching.where((c("ipouts") >= params.ip_floor) & c("era").isNotNull() & (c("era") > 0))
             .join(b.select(*KEYS, "league_era_mean", "league_era_stddev"), KEYS))
     e, m, s = "CAST(era * 100 AS BIGINT)", "CAST(league_era_mean * 1000 AS BIGINT)", \
         "CAST(league_era_stddev * 1000 AS BIGINT)"
-    scored = rows.select(
+    return rows.select(
         "player_id", "year_id", "team_id", "lg_id", "stint", "innings_pitched", "era",
         "league_era_mean", "league_era_stddev",
         F.expr(div_half_up_sql(f"{e} * 10 - {m}", s, 3, 10)).alias("era_z_score"),
         F.expr(f"CAST({div_half_up_sql(f'{m} * 10', e, 0, 10)} AS INT)").alias("era_plus"))
-    # NTILE(100) per league-season, lowest ERA first; numbered from a value histogram so a hot
-    # league-season is not sorted by one task (see dugout.operators.ntile)
-    return ntile(scored, 100, KEYS, "era", ["player_id", "stint"], "era_percentile")
+
+
+def era_adjusted(pitching: DataFrame, params: Params = Params(),
+                 baseline: DataFrame | None = None) -> DataFrame:
+    """``era_scored`` with the in-league percentile bucket: NTILE(100) per league-season, lowest ERA first (1 = best)."""
+    return ntile(era_scored(pitching, params, baseline), 100, KEYS, "era", ["player_id", "stint"], "era_percentile")
 
 
 def era_plus_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10,
                          baseline: DataFrame | None = None) -> DataFrame:
-    return _leaderboard(era_adjusted(wh.pitching, params, baseline), wh.people, "pitcher",
-                        [c("era_plus").desc_nulls_last(), c("player_id"), c("year_id"), c("stint")], k,
+    return _leaderboard(era_scored(wh.pitching, params, baseline), wh.people, "pitcher",
+                        [("era_plus", False, False), *NATURAL_KEY], k,
                         ["year_id", "team_id", "innings_pitched", "era", "league_era_mean",
                          "era_z_score", "era_plus"])
 
@@ -189,10 +194,7 @@ def batting_war(batting: DataFrame, params: Params = Params(), league: DataFrame
 
 def war_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10, sums: DataFrame | None = None,
                     fip_mean: DataFrame | None = None, woba_mean: DataFrame | None = None) -> DataFrame:
-    """Batters and pitchers in one list (role B/P; IP NULL for batters), best WAR first.
-
-    The two WAR sets are unioned first so the name lookup is a single join."""
-    check_k(k, 1, None)
+    """Batters and pitchers in one list (role B/P; IP NULL for batters), best WAR first."""
     names = wh.people.select("player_id", c("full_name").alias("player"))
     bat = (batting_war(wh.batting, params, woba_mean)
            .select("player_id", "year_id", "team_id", "stint", F.lit("B").alias("role"),
@@ -200,7 +202,6 @@ def war_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10, sums:
     pit = (pitching_war(wh.pitching, params, sums, fip_mean)
            .select("player_id", "year_id", "team_id", "stint", F.lit("P").alias("role"),
                    c("innings_pitched").cast("decimal(6,1)").alias("ip"), "war_proxy"))
-    both = bat.unionByName(pit).join(names, "player_id")
-    return (top_k(both, [c("war_proxy").desc_nulls_last(), c("role"), c("player_id"), c("year_id"),
-                         c("stint")], k)
+    order = [("war_proxy", False, False), ("role", True, True), *NATURAL_KEY]
+    return (top_k_inner(bat.unionByName(pit), names, "player_id", order, k)
             .select("player", "year_id", "team_id", "role", "ip", "war_proxy"))

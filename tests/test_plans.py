@@ -83,8 +83,8 @@ def test_headline_plans_have_no_pairwise_or_python_operators(spark):
     wh = _persisted(spark)
     p = Params.fixture()
     plans = [J.heaviest_hitters(wh), J.biggest_spenders(wh), J.bang_for_buck(wh, p.season),
-             J.priciest_starter(wh, p), J.team_ace(wh, p), K.fip_leaderboard(wh, p),
-             K.era_plus_leaderboard(wh, p), K.war_leaderboard(wh, p), M.dq_ledger(wh, p),
+             J.starter_costs(wh, p), J._ace_pool(wh, p, None), K.fip(wh.pitching, p), K.era_scored(wh.pitching, p),
+             K.pitching_war(wh.pitching, p), K.batting_war(wh.batting, p), M.dq_ledger(wh, p),
              M.mart_models(wh, p)["mart_pitcher_advanced"]]
     for df in plans:
         df.collect()
