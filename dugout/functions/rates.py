@@ -21,8 +21,8 @@ def _z(name: str) -> str:
 
 
 def innings_pitched(ipouts: str = "ipouts") -> Column:
-    """ipouts / 3 as numeric(6,1) — decimal thirds (33.3), not the '33.1' box-score notation."""
-    return F.expr(div_half_up_sql(_q(ipouts), "3", 1, 6))
+    """ipouts / 3 as numeric(12,1) — decimal thirds (33.3), not the '33.1' box-score notation."""
+    return F.expr(div_half_up_sql(_q(ipouts), "3", 1, 12))
 
 
 def per_nine(stat: str, ipouts: str = "ipouts") -> Column:
@@ -33,7 +33,7 @@ def per_nine(stat: str, ipouts: str = "ipouts") -> Column:
 
 def plate_appearances() -> Column:
     """AB + BB + HBP + SH + SF, each NULL counted as 0."""
-    return F.expr(f"CAST({_z('ab')} + {_z('bb')} + {_z('hbp')} + {_z('sh')} + {_z('sf')} AS INT)")
+    return F.expr(f"CAST({_z('ab')} + {_z('bb')} + {_z('hbp')} + {_z('sh')} + {_z('sf')} AS BIGINT)")
 
 
 OBP_NUM = f"({_z('h')} + {_z('bb')} + {_z('hbp')})"
@@ -59,11 +59,16 @@ def on_base_plus_slugging() -> Column:
     Summed as one exact fraction n1/d1 + n2/d2 so the single rounding sees the exact value;
     adding the two rounded columns would give e.g. 0.666 instead of 0.667.
     """
-    d1 = f"NULLIF(CAST({OBP_DEN} AS BIGINT), 0)"
-    d2 = f"NULLIF(CAST({SLG_DEN} AS BIGINT), 0)"
-    t1 = f"CASE WHEN {d1} IS NOT NULL THEN CAST({OBP_NUM} AS BIGINT) * coalesce({d2}, 1) ELSE 0 END"
-    t2 = f"CASE WHEN {d2} IS NOT NULL THEN CAST({SLG_NUM} AS BIGINT) * coalesce({d1}, 1) ELSE 0 END"
-    return F.expr(div_half_up_sql(f"{t1} + {t2}", f"coalesce({d1}, 1) * coalesce({d2}, 1)", 3, 5))
+    def exact(wide: bool) -> str:
+        t = "DECIMAL(38,0)" if wide else "BIGINT"
+        d1, d2 = f"NULLIF(CAST({OBP_DEN} AS {t}), 0)", f"NULLIF(CAST({SLG_DEN} AS {t}), 0)"
+        t1 = f"CASE WHEN {d1} IS NOT NULL THEN CAST({OBP_NUM} AS {t}) * coalesce({d2}, 1) ELSE 0 END"
+        t2 = f"CASE WHEN {d2} IS NOT NULL THEN CAST({SLG_NUM} AS {t}) * coalesce({d1}, 1) ELSE 0 END"
+        return div_half_up_sql(f"{t1} + {t2}", f"coalesce({d1}, 1) * coalesce({d2}, 1)", 3, 5, wide)
+
+    # products of counts up to this size fit 64-bit integers; larger ones take 38 digits, with the same result
+    fits = f"greatest({OBP_NUM}, {OBP_DEN}, {SLG_NUM}, coalesce({SLG_DEN}, 0)) < 20000000"
+    return F.expr(f"CASE WHEN {fits} THEN {exact(False)} ELSE {exact(True)} END")
 
 
 def full_name(first: str = "name_first", last: str = "name_last") -> Column:

@@ -23,7 +23,7 @@ def team_payroll(salaries: DataFrame, salary_col: str = "salary", with_max: bool
     s = summaries(salaries, keys, {"pay": (salary_col, 2)}, {"median_salary_usd": "pay"})
     cols = [F.col("_rows").alias("roster_size"),
             F.expr(f"CAST({div_half_up_sql('_s_pay', '100', 0, 38, wide=True)} AS BIGINT)").alias("total_payroll_usd"),
-            F.expr(div_half_up_sql("_s_pay", "_n_pay * 100", 2, 12, wide=True)).alias("avg_salary_usd"), "median_salary_usd"]
+            F.expr(div_half_up_sql("_s_pay", "_n_pay * 100", 2, 18, wide=True)).alias("avg_salary_usd"), "median_salary_usd"]
     top = (F.col("_max_pay").cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast(salaries.schema[salary_col].dataType)
     return s.select(*keys, *cols, *([top.alias("max_salary_usd")] if with_max else []))
 

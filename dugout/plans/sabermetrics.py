@@ -198,10 +198,10 @@ def war_leaderboard(wh: Warehouse, params: Params = Params(), k: int = 10, sums:
     names = wh.people.select("player_id", c("full_name").alias("player"))
     bat = (batting_war(wh.batting, params, woba_mean)
            .select("player_id", "year_id", "team_id", "stint", F.lit("B").alias("role"),
-                   F.lit(None).cast("decimal(6,1)").alias("ip"), "war_proxy"))
+                   F.lit(None).cast("decimal(12,1)").alias("ip"), "war_proxy"))
     pit = (pitching_war(wh.pitching, params, sums, fip_mean)
            .select("player_id", "year_id", "team_id", "stint", F.lit("P").alias("role"),
-                   c("innings_pitched").cast("decimal(6,1)").alias("ip"), "war_proxy"))
+                   c("innings_pitched").cast("decimal(12,1)").alias("ip"), "war_proxy"))
     order = [("war_proxy", False, False), ("role", True, True), *NATURAL_KEY]
     return (top_k_inner(bat.unionByName(pit), names, "player_id", order, k)
             .select("player", "year_id", "team_id", "role", "ip", "war_proxy"))

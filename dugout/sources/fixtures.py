@@ -39,10 +39,6 @@ def order_year(orders: DataFrame):
     return F.year(col).cast("int")
 
 
-# Fixed value: lines (or orders, for a salary) of one player-season above which its counts are scaled down.
-SEASON_LINES = 2000
-
-
 def _pid(col):
     return F.concat(F.lit("p"), col.cast("string"))
 
@@ -98,12 +94,7 @@ def season(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) -> DataF
                        F.sum("ln").cast("bigint").alias("ln"), F.sum("nr").alias("nr"),
                        F.sum("lnr").cast("bigint").alias("lnr"), F.sum("na").alias("na"),
                        F.sum("nf").alias("nf")))
-    # a season of very many lines is brought down to about SEASON_LINES by one divisor, so the ratios stay
-    # and the stored types hold the values whatever share of all orders one customer has
-    by = F.expr(f"1 + n div {SEASON_LINES}")
-    per_season = per_season.withColumn("_by", by)
-    return _with_team(per_season, customer).select(
-        "ck", "year_id", "tk", "stint", *[F.expr(f"{x} div _by").alias(x) for x in ("n", "q", "ln", "nr", "lnr", "na", "nf")])
+    return _with_team(per_season, customer).select("ck", "year_id", "tk", "stint", "n", "q", "ln", "nr", "lnr", "na", "nf")
 
 
 def _ids(s: DataFrame):
@@ -115,15 +106,15 @@ def _ids(s: DataFrame):
 def batting(s: DataFrame) -> DataFrame:
     c = F.col
     return s.select(*_ids(s),
-                    (c("q") * 4).cast("int").alias("ab"), c("q").cast("int").alias("h"),
-                    c("ln").cast("int").alias("2b"), c("nr").cast("int").alias("3b"),
-                    (c("n") * 2).cast("int").alias("hr"), (c("ln") * 3).cast("int").alias("bb"),
-                    F.when(c("ck") % 19 == 0, F.lit(None)).otherwise(c("na").cast("int")).alias("ibb"),
-                    F.when(c("ck") % 17 == 0, F.lit(None)).otherwise(c("nf").cast("int")).alias("hbp"),
-                    c("nr").cast("int").alias("sh"), c("na").cast("int").alias("sf"),
-                    c("n").cast("int").alias("g"), (c("nr") * 2).cast("int").alias("r"), c("ln").cast("int").alias("rbi"),
-                    c("na").cast("int").alias("sb"), c("nf").cast("int").alias("cs"), (c("n") * 3).cast("int").alias("so"),
-                    F.when(c("ck") % 23 != 0, c("nr").cast("int")).alias("gidp"))
+                    (c("q") * 4).cast("long").alias("ab"), c("q").cast("long").alias("h"),
+                    c("ln").cast("long").alias("2b"), c("nr").cast("long").alias("3b"),
+                    (c("n") * 2).cast("long").alias("hr"), (c("ln") * 3).cast("long").alias("bb"),
+                    F.when(c("ck") % 19 == 0, F.lit(None)).otherwise(c("na").cast("long")).alias("ibb"),
+                    F.when(c("ck") % 17 == 0, F.lit(None)).otherwise(c("nf").cast("long")).alias("hbp"),
+                    c("nr").cast("long").alias("sh"), c("na").cast("long").alias("sf"),
+                    c("n").cast("long").alias("g"), (c("nr") * 2).cast("long").alias("r"), c("ln").cast("long").alias("rbi"),
+                    c("na").cast("long").alias("sb"), c("nf").cast("long").alias("cs"), (c("n") * 3).cast("long").alias("so"),
+                    F.when(c("ck") % 23 != 0, c("nr").cast("long")).alias("gidp"))
 
 
 def pitching(s: DataFrame) -> DataFrame:
@@ -131,28 +122,27 @@ def pitching(s: DataFrame) -> DataFrame:
     era = (F.floor((c("lnr") * 5400 + c("q")).cast("double") / (c("q") * 2)).cast("decimal(10,0)")
            * F.lit(Decimal("0.01"))).cast("decimal(6,2)")
     return (s.select(*_ids(s),
-                    c("n").cast("int").alias("gs"), c("q").cast("int").alias("ipouts"),
-                    c("lnr").cast("int").alias("er"), c("na").cast("int").alias("hr"),
-                    c("ln").cast("int").alias("bb"), (c("nf") * 5 + c("n") * 3).cast("int").alias("so"),
-                    F.when(c("ck") % 17 == 0, F.lit(None)).otherwise(c("nf").cast("int")).alias("hbp"),
+                    c("n").cast("long").alias("gs"), c("q").cast("long").alias("ipouts"),
+                    c("lnr").cast("long").alias("er"), c("na").cast("long").alias("hr"),
+                    c("ln").cast("long").alias("bb"), (c("nf") * 5 + c("n") * 3).cast("long").alias("so"),
+                    F.when(c("ck") % 17 == 0, F.lit(None)).otherwise(c("nf").cast("long")).alias("hbp"),
                     F.when(c("ck") % 97 == 0, F.lit(None).cast("decimal(6,2)")).otherwise(era).alias("era"),
-                    c("nr").cast("int").alias("w"), c("na").cast("int").alias("l"), (c("n") * 2).cast("int").alias("g"),
-                    c("nf").cast("int").alias("cg"), (c("nr") % 3).cast("int").alias("sho"), (c("ln") % 7).cast("int").alias("sv"),
-                    c("q").cast("int").alias("h"),
+                    c("nr").cast("long").alias("w"), c("na").cast("long").alias("l"), (c("n") * 2).cast("long").alias("g"),
+                    c("nf").cast("long").alias("cg"), (c("nr") % 3).cast("long").alias("sho"), (c("ln") % 7).cast("long").alias("sv"),
+                    c("q").cast("long").alias("h"),
                     (((c("ck") * 37 + c("year_id") * 11) % 1000).cast("decimal(10,0)") * F.lit(Decimal("0.001")))
                     .cast("decimal(5,3)").alias("baopp")))
 
 
 def salaries(orders: DataFrame, customer: DataFrame) -> DataFrame:
     per_season = (_order_keys(orders).groupBy("ck", "year_id", "parity")
-                  .agg(F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("paid"), F.count(F.lit(1)).alias("n"))
-                  .withColumn("cents", F.expr(f"CAST(paid * 100 AS BIGINT) div (1 + n div {SEASON_LINES})")))
+                  .agg(F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("paid")))
     return _with_team(per_season, customer).select(
         "year_id",
         F.concat(F.lit("T"), F.col("tk").cast("string")).alias("team_id"),
         F.concat(F.lit("L"), (F.col("tk") % 5).cast("string")).alias("lg_id"),
         _pid(F.col("ck")).alias("player_id"),
-        (F.col("cents").cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(12,2)").alias("salary"))
+        F.col("paid").cast("decimal(18,2)").alias("salary"))
 
 
 def teams(nation: DataFrame, orders: DataFrame) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import (DateType, DecimalType, IntegerType, StringType, StructField,
+from pyspark.sql.types import (DateType, DecimalType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
-S, I, D = StringType(), IntegerType(), DateType()
+S, I, L, D = StringType(), IntegerType(), LongType(), DateType()    # L: counts, so a season of any number of games fits
 
 
 def _struct(cols):
@@ -35,21 +35,21 @@ TEAMS = _struct([
 
 BATTING = _struct([
     ("player_id", S), ("year_id", I), ("stint", I), ("team_id", S), ("lg_id", S),
-    ("g", I), ("ab", I), ("r", I), ("h", I), ("2b", I), ("3b", I), ("hr", I), ("rbi", I),
-    ("sb", I), ("cs", I), ("bb", I), ("so", I), ("ibb", I), ("hbp", I), ("sh", I), ("sf", I),
-    ("gidp", I),
+    ("g", L), ("ab", L), ("r", L), ("h", L), ("2b", L), ("3b", L), ("hr", L), ("rbi", L),
+    ("sb", L), ("cs", L), ("bb", L), ("so", L), ("ibb", L), ("hbp", L), ("sh", L), ("sf", L),
+    ("gidp", L),
 ])
 
 PITCHING = _struct([
     ("player_id", S), ("year_id", I), ("stint", I), ("team_id", S), ("lg_id", S),
-    ("w", I), ("l", I), ("g", I), ("gs", I), ("cg", I), ("sho", I), ("sv", I), ("ipouts", I),
-    ("h", I), ("er", I), ("hr", I), ("bb", I), ("so", I), ("baopp", DecimalType(5, 3)),
-    ("era", DecimalType(6, 2)), ("ibb", I), ("wp", I), ("hbp", I), ("bk", I), ("bfp", I),
-    ("gf", I), ("r", I), ("sh", I), ("sf", I), ("gidp", I),
+    ("w", L), ("l", L), ("g", L), ("gs", L), ("cg", L), ("sho", L), ("sv", L), ("ipouts", L),
+    ("h", L), ("er", L), ("hr", L), ("bb", L), ("so", L), ("baopp", DecimalType(5, 3)),
+    ("era", DecimalType(6, 2)), ("ibb", L), ("wp", L), ("hbp", L), ("bk", L), ("bfp", L),
+    ("gf", L), ("r", L), ("sh", L), ("sf", L), ("gidp", L),
 ])
 
 SALARIES = _struct([
-    ("year_id", I), ("team_id", S), ("lg_id", S), ("player_id", S), ("salary", DecimalType(12, 2)),
+    ("year_id", I), ("team_id", S), ("lg_id", S), ("player_id", S), ("salary", DecimalType(18, 2)),
 ])
 
 SCHEMAS = {"people": PEOPLE, "teams": TEAMS, "batting": BATTING, "pitching": PITCHING,

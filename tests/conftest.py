@@ -21,11 +21,11 @@ def D(x):
     return None if x is None else Decimal(str(x))
 
 
-PITCH_COLS = "player_id string, year_id int, stint int, team_id string, lg_id string, gs int, ipouts int, er int, hr int, bb int, so int, hbp int, era decimal(6,2)"
-BAT_COLS = "player_id string, year_id int, stint int, team_id string, lg_id string, ab int, h int, `2b` int, `3b` int, hr int, bb int, ibb int, hbp int, sh int, sf int"
+PITCH_COLS = "player_id string, year_id int, stint int, team_id string, lg_id string, gs long, ipouts long, er long, hr long, bb long, so long, hbp long, era decimal(6,2)"
+BAT_COLS = "player_id string, year_id int, stint int, team_id string, lg_id string, ab long, h long, `2b` long, `3b` long, hr long, bb long, ibb long, hbp long, sh long, sf long"
 PEOPLE_COLS = "player_id string, name_first string, name_last string, weight int, height int, death_year int, birth_country string"
 TEAM_COLS = "year_id int, lg_id string, team_id string, name string, g int, w int, l int"
-SAL_COLS = "year_id int, team_id string, lg_id string, player_id string, salary decimal(12,2)"
+SAL_COLS = "year_id int, team_id string, lg_id string, player_id string, salary decimal(18,2)"
 
 
 @pytest.fixture

@@ -11,7 +11,7 @@ def test_innings_pitched_thirds(make_wh):
     wh = make_wh(pitching=[P("a", 300), P("b", 100), P("c", 0), P("d", None)])
     got = {r.player_id: r.innings_pitched for r in wh.pitching.collect()}
     assert got == {"a": D("100.0"), "b": D("33.3"), "c": D("0.0"), "d": None}
-    assert str(wh.pitching.schema["innings_pitched"].dataType) == "DecimalType(6,1)"
+    assert str(wh.pitching.schema["innings_pitched"].dataType) == "DecimalType(12,1)"
 
 
 def test_per_nine_guard(make_wh):

@@ -2,6 +2,7 @@
 
 import datetime
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,11 +50,20 @@ def test_one_customer_with_a_third_of_all_orders(spark):
     s = fixtures.season(orders, lines, customer)
     wh = Warehouse.derive({"pitching": fixtures.pitching(s), "batting": fixtures.batting(s), "people": None, "teams": None,
                            "salaries": fixtures.salaries(orders, customer)})
-    hot = wh.pitching.where("player_id = 'p4'").collect()
-    assert len(hot) == 2 and all(0 < r.innings_pitched < 100_000 for r in hot)
+    hot = wh.pitching.where("player_id = 'p4'").orderBy("stint").collect()
+    # its true sums: 20,000 orders of three lines of quantity 25, half of them with even keys
+    assert [(r.gs, r.ipouts, r.innings_pitched) for r in hot] == [(30_000, 750_000, Decimal("250000.0"))] * 2
+    bat = wh.batting.where("player_id = 'p4'").collect()
+    assert len(bat) == 2 and all((r.ab, r.h, r.hr) == (3_000_000, 750_000, 60_000) for r in bat)
+    for r in bat:
+        b = {k: v or 0 for k, v in r.asDict().items()}
+        obp = Fraction(b["h"] + b["bb"] + b["hbp"], b["ab"] + b["bb"] + b["hbp"] + b["sf"])
+        slg = Fraction(b["h"] + b["2b"] + 2 * b["3b"] + 3 * b["hr"], b["ab"])
+        assert abs(Fraction(r.ops) - (obp + slg)) <= Fraction(1, 2000)
     x = LeagueConstants(wh, Params.fixture())
     assert x.fip().count() == wh.pitching.where("ipouts >= 162").count()
-    assert wh.salaries.where("player_id = 'p4'").agg(F.max("salary")).first()[0] > 0
+    assert {r.salary for r in wh.salaries.where("player_id = 'p4'").collect()} == {Decimal("2500000000.00")}
+    assert A.team_payroll(wh.salaries).agg(F.sum("total_payroll_usd")).first()[0] == n * 250_000
 
 
 def csv_row(table, **values):
@@ -137,3 +147,11 @@ def test_player_seasons_stay_in_place(spark, tmp_path):
             assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_ops_of_counts_beyond_64_bit_products(spark):
+    from dugout.functions.rates import with_batting_rates
+    counts = {"ab": 4_000_000_000, "h": 1_000_000_001, "2b": 7, "3b": 5, "hr": 3, "bb": 1_000_000_000, "hbp": None, "sh": 0, "sf": 1}
+    row = with_batting_rates(spark.createDataFrame([tuple(counts.values())], ", ".join(f"`{c}` long" for c in counts))).first()
+    ops = Fraction(1_000_000_001 + 1_000_000_000, 5_000_000_001) + Fraction(1_000_000_001 + 7 + 10 + 9, 4_000_000_000)
+    assert row.ops == Decimal(round(ops * 1000)).scaleb(-3) and row.pa == 5_000_000_001
