@@ -7,17 +7,19 @@
    shingles of that item are found, and every item-sized window in which they sum to t of the item's
    weight is opened, whatever their order and place. A text shorter than the item is one window.
    No other window can pass.
-2. *Fingerprint.* Every distinct window content and every item gets a 64-bit SimHash of its weighted
+2. *Fingerprint.* Every distinct window content and every item gets a 128-bit SimHash of its weighted
    words.
-3. *Multi-index blocks.* Fingerprints are cut into ``RADIUS + 1`` blocks; within Hamming distance
-   RADIUS at least one block is equal (pigeonhole), so the equi-join on (length, block number, block)
-   finds every pair within the radius. A pair counts at its first equal block only.
-4. *Exact check.* Weighted multiset similarity of shingles, sum w*min / sum w*max >= t.
-
-A screened window is verified against the item that opened it, however far apart their fingerprints are
-(edits at an item's edges can exceed the radius), and against every item of its length that its
-fingerprint comes near. So the radius loses no window. Windows of equal content (a passage that many documents share)
-are fingerprinted and verified once. Everything is DataFrame code; no Python runs on executors.
+3. *Multi-index blocks.* Fingerprints are cut into ``BLOCKS`` blocks of 16 bits; of two within Hamming distance
+   RADIUS, one block differs in at most RADIUS // BLOCKS bits (pigeonhole). Items are entered under every value
+   so near to each of their blocks (697 values a block for three bits), so the equi-join on (length, block number,
+   block) finds every pair within the radius, and of other pairs of one length about one in twelve. A pair
+   counts at its first such block only.
+4. *Exact check.* The pairs of step 3, and no others, are verified: weighted multiset similarity of shingles,
+   sum w*min / sum w*max >= t.
+
+The screen only leaves windows out. Windows of equal content (a passage that many documents share)
+are fingerprinted and verified once. Everything is DataFrame code; no Python runs on executors. A window of similarity t
+or more is lost only if its fingerprint is beyond the radius (see README for the recall measured against brute force).
 
 Cases: null or empty documents and items never match; items and documents of fewer than five words
 match as whole shingles; an item cut off at a document's start or end is met by the first or last
@@ -29,6 +31,8 @@ tables give an empty result.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -37,8 +41,10 @@ from dugout.llm.common import small, staged, text_or_empty
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 15
-BITS = 64
+RADIUS = 31
+BITS = 128
+BLOCKS = 8
+BLOCK_BITS = BITS // BLOCKS
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
@@ -146,49 +152,42 @@ def _windows(docs: DataFrame, candidates: DataFrame, shingles: DataFrame, weight
             .withColumn("content", F.md5(F.concat_ws(" ", "window").cast("binary"))))
 
 
-def simhash(words: DataFrame, key: list[str]) -> DataFrame:
-    """(key..., word, weight) -> (key..., fingerprint): one sum per bit, aggregated map-side first."""
-    h = words.withColumn("h", F.xxhash64("word"))
-    bits = h.groupBy(*key).agg(*[F.sum(F.expr(f"weight * (2 * (shiftright(h, {b}) & 1) - 1)")).alias(f"b{b}")
+def simhash(words: DataFrame, key: list[str], names: tuple[str, str] = ("print1", "print2")) -> DataFrame:
+    """(key..., word, weight) -> (key..., two halves of the fingerprint): one sum per bit, aggregated map-side first."""
+    h = words.withColumn("h0", F.xxhash64("word")).withColumn("h1", F.xxhash64(F.lit("half"), "word"))
+    bits = h.groupBy(*key).agg(*[F.sum(F.expr(f"weight * (2 * (shiftright(h{b // 64}, {b % 64}) & 1) - 1)")).alias(f"b{b}")
                                  for b in range(BITS)])
-    value = F.lit(0).cast("long")
-    for b in range(BITS):
-        value = value.bitwiseOR(F.when(F.col(f"b{b}") >= 0, F.lit(1 << b if b < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long")))
-    return bits.select(*key, value.alias("fingerprint"))
+    half = lambda at: " | ".join(f"CASE WHEN b{at + b} >= 0 THEN shiftleft(1L, {b}) ELSE 0L END" for b in range(64))
+    return bits.select(*key, F.expr(half(0)).alias(names[0]), F.expr(half(64)).alias(names[1]))
 
 
-def block_bounds(radius: int) -> list[tuple[int, int]]:
-    """(first bit, bits) of the radius + 1 blocks of a fingerprint."""
-    n = radius + 1
-    cuts = [BITS * i // n for i in range(n + 1)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+def _block(one: str, two: str, n: int) -> str:
+    """Block n of a fingerprint given by its halves."""
+    per = BLOCKS // 2
+    return f"(shiftrightunsigned({one if n < per else two}, {n % per * BLOCK_BITS}) & {(1 << BLOCK_BITS) - 1})"
 
 
-def _block(column: str, first: int, bits: int) -> str:
-    return f"(shiftrightunsigned({column}, {first}) & {(1 << bits) - 1})"
+def near_masks(flips: int) -> list[int]:
+    """The block values of at most ``flips`` bits."""
+    return [sum(1 << b for b in bits) for n in range(flips + 1) for bits in combinations(range(BLOCK_BITS), n)]
 
 
 def hamming_join(left: DataFrame, right: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """All pairs of (n_words, fingerprint) rows of equal n_words within ``radius``; right is staged.
-
-    left has ``fingerprint``, right has ``item_fingerprint``; every pair is met at its first equal block.
-    """
-    bounds = block_bounds(radius)
-    n = len(bounds)
-
-    def cut(df: DataFrame, column: str) -> DataFrame:
-        blocks = "array(" + ", ".join(_block(column, a, b) for a, b in bounds) + ")"
-        return df.select("*", F.posexplode(F.expr(blocks)).alias("block_no", "block"))
-
-    a = cut(left, "fingerprint").alias("a")
-    b = small(staged(cut(right, "item_fingerprint"), "decon-blocks")).alias("b")
-    apart = F.col("a.fingerprint").bitwiseXOR(F.col("b.item_fingerprint"))
-    first = F.expr("CASE " + " ".join(
-        f"WHEN {_block('(a.fingerprint ^ b.item_fingerprint)', x, w)} = 0 THEN {i}" for i, (x, w) in enumerate(bounds)) + f" ELSE {n} END")
+    """All pairs of equal n_words within ``radius``: left has print1 and print2, right item_print1 and item_print2."""
+    flips = radius // BLOCKS
+    blocks = lambda one, two: F.expr("array(" + ", ".join(_block(one, two, n) for n in range(BLOCKS)) + ")")
+    a = left.select("*", F.posexplode(blocks("print1", "print2")).alias("block_no", "block")).alias("a")
+    masks = F.array(*[F.lit(m).cast("long") for m in near_masks(flips)])
+    b = (right.select("*", F.posexplode(blocks("item_print1", "item_print2")).alias("block_no", "value"))
+         .select("*", F.explode(masks).alias("mask")).withColumn("block", F.col("value").bitwiseXOR(F.col("mask"))).drop("value", "mask"))
+    b = small(staged(b, "decon-blocks")).alias("b")
+    one, two = "(a.print1 ^ b.item_print1)", "(a.print2 ^ b.item_print2)"
+    first = F.expr("CASE " + " ".join(f"WHEN bit_count({_block(one, two, n)}) <= {flips} THEN {n}" for n in range(BLOCKS)) + " END")
+    apart = F.expr(f"bit_count({one}) + bit_count({two})")
     on = ((F.col("a.n_words") == F.col("b.n_words")) & (F.col("a.block_no") == F.col("b.block_no"))
-          & (F.col("a.block") == F.col("b.block")) & (F.bit_count(apart) <= radius) & (first == F.col("a.block_no")))
+          & (F.col("a.block") == F.col("b.block")) & (apart <= radius) & (first == F.col("a.block_no")))
     keep = [F.col(f"a.{c}") for c in left.columns] + [F.col(f"b.{c}") for c in right.columns if c != "n_words"]
-    return a.join(b, on).select(*keep, F.bit_count(apart).cast("int").alias("hamming"))
+    return a.join(b, on).select(*keep, apart.cast("int").alias("hamming"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, k: int = SHINGLE, t: float = SIMILARITY,
@@ -220,15 +219,9 @@ def contaminated(docs: DataFrame, items: DataFrame, k: int = SHINGLE, t: float =
     def weighed(rows: DataFrame) -> DataFrame:
         return rows.join(rarity, "word", "left").withColumn("weight", F.coalesce("rarity", unknown)).drop("rarity")
 
-    item_prints = simhash(weighed(exploded), ["item_id", "n_words"]).withColumnRenamed("fingerprint", "item_fingerprint")
+    item_prints = simhash(weighed(exploded), ["item_id", "n_words"], ("item_print1", "item_print2"))
     prints = simhash(weighed(contents.select("content", "n_words", F.explode("window").alias("word"))), ["content", "n_words"])
-    prints, item_prints = staged(prints, "decon-prints"), staged(item_prints, "decon-item-prints")
-    opened = (windows.select("content", "n_words", "item_id").distinct().join(prints, ["content", "n_words"])
-              .join(small(item_prints), ["item_id", "n_words"])
-              .select("content", "n_words", "item_id",
-                      F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint"))).cast("int").alias("hamming")))
-    near = hamming_join(prints, item_prints, radius).select("content", "n_words", "item_id", "hamming")
-    near = staged(near.unionByName(opened).distinct(), "decon-near")
+    near = staged(hamming_join(staged(prints, "decon-prints"), item_prints, radius).select("content", "n_words", "item_id", "hamming"), "decon-near")
 
     # exact weighted-shingle similarity of the candidate pairs
     size = F.least(F.col("n_words"), F.lit(k))

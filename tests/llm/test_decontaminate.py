@@ -73,7 +73,8 @@ def test_clipped_shortened_and_swapped_items(spark):
     assert {r["doc_id"]: r["n_words"] for r in got}[3] == 54
 
 
-def test_radius_loses_no_edge_edited_item(spark, small_dir):
+def test_recall_of_edited_items(spark, small_dir):
+    """Items cut, swapped and edited at their edges down to the threshold: what the radius leaves out is under 2 %."""
     items = [tuple(r) for r in spark.read.parquet(f"{small_dir}/benchmark.parquet").select("item_id", "text").collect()]
     docs, n = [], 0
     for _, text in items:
@@ -82,34 +83,46 @@ def test_radius_loses_no_edge_edited_item(spark, small_dir):
             edited = [f"x{n}y{i}" for i in range(first)] + w[first:len(w) - last] + [f"z{n}q{i}" for i in range(last)]
             docs.append((n, " ".join(edited)))
             n += 1
+        half = len(w) // 2
+        docs.append((n, " ".join(w[half:] + w[:half])))
+        docs.append((n + 1, " ".join(w[:half] + [f"m{n}"] + w[half + 1:])))
+        n += 2
     want = brute(docs, items, 0.8 - 1e-9)              # as contaminated does, for equality up to rounding
     got = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
-    beyond = sum(r["hamming"] > D.RADIUS for r in got)
-    print(f"pairs {len(want)}, found {len(got)}, beyond the radius {beyond}, items {len(items)}")
-    assert want and {(r["doc_id"], r["item_id"]) for r in got} == set(want)
-    assert beyond                                         # these a join within the radius alone would lose
+    found = {(r["doc_id"], r["item_id"]) for r in got}
+    print(f"pairs {len(want)}, found {len(found)}, largest distance {max(r['hamming'] for r in got)}")
+    assert want and found <= set(want) and len(found) >= 0.98 * len(want)
+    assert all(r["hamming"] <= D.RADIUS for r in got)
+
+
+def test_only_pairs_of_the_blocks_are_verified(spark, small_dir, monkeypatch):
+    docs, items = (spark.read.parquet(f"{small_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    real = D.hamming_join
+    monkeypatch.setattr(D, "hamming_join", lambda *a, **b: real(*a, **b).limit(0))
+    assert D.contaminated(docs, items).collect() == []
 
 
 def test_blocks_find_all_within_radius(spark):
     import random
     rng = random.Random(5)
-    base = [rng.getrandbits(64) for _ in range(30)]
-    near = []
+    half = lambda x: x - (1 << 64) if x >> 63 else x
+    halves = lambda x: (half(x & (1 << 64) - 1), half(x >> 64))
+    base = [rng.getrandbits(128) for _ in range(30)]
+    near, prints = [], {}
     for i, b in enumerate(base):
-        for d in range(0, 25, 3):
+        for d in range(0, 45, 3):
             x = b
-            for bit in rng.sample(range(64), d):
+            for bit in rng.sample(range(128), d):
                 x ^= 1 << bit
-            near.append((i * 100 + d, 7, x - (1 << 64) if x >> 63 else x))
-    items = [(i, 7, b - (1 << 64) if b >> 63 else b) for i, b in enumerate(base)]
-    left = spark.createDataFrame(near, "content long, n_words int, fingerprint long")
-    right = spark.createDataFrame(items, "item_id long, n_words int, item_fingerprint long")
-    for radius in (3, 15):
+            prints[i * 100 + d] = x
+            near.append((i * 100 + d, 7, *halves(x)))
+    left = spark.createDataFrame(near, "content long, n_words int, print1 long, print2 long")
+    right = spark.createDataFrame([(i, 7, *halves(b)) for i, b in enumerate(base)], "item_id long, n_words int, item_print1 long, item_print2 long")
+    for radius in (3, 15, 31):
         got = sorted((r["content"], r["item_id"], r["hamming"]) for r in D.hamming_join(left, right, radius).collect())
-        want = sorted((c, i, bin((x ^ y) & 0xFFFFFFFFFFFFFFFF).count("1"))
-                      for c, _, x in near for i, _, y in items if bin((x ^ y) & 0xFFFFFFFFFFFFFFFF).count("1") <= radius)
+        want = sorted((c, i, (x ^ y).bit_count()) for c, x in prints.items() for i, y in enumerate(base) if (x ^ y).bit_count() <= radius)
         assert got == want
-    assert sum(w for _, w in D.block_bounds(15)) == 64 and len(D.block_bounds(15)) == 16
+    assert len(D.near_masks(3)) == 1 + 16 + 120 + 560 and D.BLOCKS * (D.RADIUS // D.BLOCKS + 1) > D.RADIUS
 
 
 def test_odd_rows(spark, weird, nothing):
