@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dugout.llm.license_scan import BASE, GAP, K, SHARE, SPLIT, STATEMENTS
-from dugout.llm.line_dedup import BLOCK_TAG, HIDDEN_PART, HOST, LEAST_PAGES, RATIO
+from dugout.llm.license_scan import BASE, GAP, K, SHARE, SPLIT, STATEMENTS, reach
+from dugout.llm.line_dedup import BLOCK_TAG, HIDDEN_PART, HOST, LEAST_PAGES, RATIO, TAG
 from dugout.llm.mixing import MAX_EPOCHS, WEIGHTS, WORD
 from dugout.llm.prefix_trie import FAMILY, PREFIXES
 
@@ -50,7 +50,7 @@ LINE_DEDUP = f"""
 WITH p AS (
   SELECT page_id, nullif(lower(regexp_extract(url, {_q(HOST)}, 1)), '') AS host,
          regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), {_q(HIDDEN_PART)}, ' ', 'g'),
-           '[\\n\\r]+', ' ', 'g'), {_q(BLOCK_TAG)}, chr(10), 'g'), '<[^>]*>', '', 'g') AS body,
+           '[\\n\\r]+', ' ', 'g'), {_q(BLOCK_TAG)}, chr(10), 'g'), {_q(TAG)}, '', 'g') AS body,
          row_number() OVER () AS row_no
   FROM pages),
 l AS (
@@ -75,6 +75,8 @@ TEMPLATES = ", ".join(
     f"({i}, {_q(label)}, {base}, {phrase.split()})" for i, (phrase, label, base) in enumerate(
         [(p, x, "true") for p, x in BASE.items()] + [(p, x, "false") for p, x in STATEMENTS.items()]))
 
+FARTHEST = max(reach(len(p.split()) - K + 1) for p in STATEMENTS)
+
 LICENSE_SCAN = f"""
 WITH t AS (SELECT * FROM (VALUES {TEMPLATES}) v(template, label, is_base, words)),
 size AS (SELECT template, label, is_base, len(words) - {K - 1} AS grams FROM t),
@@ -91,17 +93,17 @@ votes AS (
   SELECT row_no, template, diagonal, count(DISTINCT pos) AS votes, min(pos) AS lo, max(pos) AS hi, list(DISTINCT nth) AS nths
   FROM hits GROUP BY ALL),
 v AS (SELECT * FROM votes JOIN size USING (template)),
-steps AS (
-  SELECT *, CASE WHEN coalesce(diagonal - lag(diagonal) OVER o, {GAP + 1}) > {GAP} THEN 1 ELSE 0 END AS opens
-  FROM v WHERE NOT is_base AND votes < grams WINDOW o AS (PARTITION BY row_no, template ORDER BY diagonal, lo)),
-grouped AS (SELECT *, sum(opens) OVER (PARTITION BY row_no, template ORDER BY diagonal, lo) AS span FROM steps),
+near AS (
+  SELECT *, list({{'d': diagonal, 'nths': nths}}) OVER (PARTITION BY row_no, template ORDER BY diagonal RANGE BETWEEN CURRENT ROW AND {FARTHEST} FOLLOWING) AS near,
+         CAST(ceil(round((1 - {SHARE}) * grams, 9)) AS BIGINT) * {GAP} AS reach
+  FROM v WHERE NOT is_base AND votes < grams),
 merged AS (
-  SELECT row_no, label, is_base, grams, min(lo) AS lo, max(hi) AS hi, len(list_distinct(flatten(list(nths)))) / grams::DOUBLE AS score
-  FROM grouped GROUP BY row_no, template, label, is_base, grams, span),
+  SELECT row_no, label, is_base, diagonal,
+         len(list_distinct(flatten(list_transform(list_filter(near, lambda x: x.d <= diagonal + reach), lambda x: x.nths)))) / grams::DOUBLE AS score FROM near),
 spans AS (
   SELECT row_no, label, is_base, diagonal AS first_word, 1.0::DOUBLE AS score FROM v WHERE votes = grams
   UNION ALL
-  SELECT row_no, label, is_base, lo, score FROM merged WHERE score >= {SHARE} AND hi - lo + 1 <= 2 * grams + {GAP})
+  SELECT row_no, label, is_base, diagonal, score FROM merged WHERE score >= {SHARE})
 SELECT d.doc_id, len(d.words)::BIGINT AS n_words, count(*) FILTER (is_base)::BIGINT AS n_base,
        min(first_word) FILTER (is_base)::BIGINT AS first_word, max(first_word) FILTER (is_base)::BIGINT AS last_word,
        coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base), '') AS base_labels,

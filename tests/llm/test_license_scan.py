@@ -1,3 +1,4 @@
+import random
 import re
 
 from dugout.llm import license_scan as S
@@ -40,6 +41,62 @@ def test_diagonals_merge(spark):
     assert not [k for k in found if k[0] == 3]
 
 
+def own_labels(text):
+    """Plain check of the method's statements: some run of diagonals within reach holds the share of a statement's pairs."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(UP))
+    found, best = set(), 0.0
+    for phrase, label in S.STATEMENTS.items():
+        t = phrase.split()
+        grams = len(t) - 1
+        hits = {(i - j, j) for i in range(len(w) - 1) for j in range(grams) if w[i:i + 2] == t[j:j + 2]}
+        for d in {d for d, _ in hits}:
+            score = len({j for e, j in hits if d <= e <= d + S.reach(grams)}) / grams
+            if score >= S.SHARE:
+                found.add(label)
+                best = max(best, score)
+    return found, best
+
+
+def noisy(rng, words, edits):
+    words = list(words)
+    for _ in range(edits):
+        at = rng.randrange(1, len(words) - 1)
+        kind = rng.choice("iidr")
+        if kind == "i":
+            words[at:at] = [f"x{rng.randrange(99)}" for _ in range(rng.randint(1, S.GAP))]
+        elif kind == "d":
+            del words[at]
+        else:
+            words[at] = f"y{rng.randrange(99)}"
+    return words
+
+
+def test_planted_statements_in_noise(spark):
+    rng, rows, planted = random.Random(3), [], {}
+    for phrase, label in S.STATEMENTS.items():
+        t = phrase.split()
+        for edits in (0, 1, 2):
+            if edits and len(t) < 12 * edits:
+                continue
+            # words of the statement itself, again and again, before and after it
+            around = [t[:2] * rng.randint(1, 25), [f"z{rng.randrange(50)}" for _ in range(20)], t[-3:] * rng.randint(1, 9)]
+            planted[len(rows)] = (label, edits)
+            rows.append((len(rows), " ".join(around[rng.randrange(2)] + noisy(rng, t, edits) + around[2 if rng.random() < 0.5 else 1])))
+    rows += [(1000, "this source " * 20 + "this source code form is subject to the terms of the famous mozilla public license"),
+             (1001, "this source code " * 8 + "this source code form is subject to the terms of the famous mozilla public license"),
+             (1002, "this source code form is subject " * 30), (1003, "of the software " * 3000)]
+    got = {r["doc_id"]: r for r in S.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for d, text in rows:
+        labels, best = own_labels(text)
+        r = got[d]
+        assert set(filter(None, r["labels"].split(","))) == labels | set(filter(None, r["base_labels"].split(","))), text
+        assert abs(r["score"] - (1.0 if r["base_labels"] else best)) < 1e-12
+    kept = [label in got[d]["labels"].split(",") for d, (label, edits) in planted.items()]
+    print(f"planted statements found: {sum(kept)} of {len(kept)}")
+    assert sum(kept) >= 0.97 * len(kept)
+    assert "mpl-2.0" in got[1000]["labels"] and "mpl-2.0" in got[1001]["labels"] and got[1002]["labels"] == "" and got[1003]["labels"] == ""
+
+
 def test_odd_rows(spark, weird, nothing):
     rows = S.scan(weird).collect()
     assert len(rows) == len(WEIRD) and all(r["labels"] == "" and r["score"] == 0.0 and r["first_word"] is None for r in rows)
