@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from dugout.params import Params
 from dugout.operators.expectations import gate as exp_gate
 from dugout.plans import quality as M
-from dugout.sources.sinks import make_current, materialize, read_layer, refresh_aggregates, stage
+from dugout.sources.sinks import commit, materialize, read_layer, refresh_aggregates, stage
 from dugout.sources.warehouse import Warehouse
 
 
@@ -38,7 +38,7 @@ def build_marts(wh: Warehouse, root: str, params: Params = Params(), gate: bool
     results = materialize(M.expect_written_marts(written), "expect-marts")
     if gate:
         exp_gate(results)
-    return {name: make_current(spark, path) for name, path in staged.items()}, results
+    return commit(spark, root, "marts", staged), results
 
 
 def run_all(spark: SparkSession, root: str, params: Params = Params(), csv_paths: dict | None = None,

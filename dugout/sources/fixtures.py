@@ -204,7 +204,7 @@ def persist_raw(spark: SparkSession, sf_dir: str, root: str, buckets: int | None
     batting, pitching, salaries) are instead hash-bucketed on ``player_id`` so player joins need
     no shuffle (read back with ``Warehouse.from_bucketed``).
     """
-    from dugout.sources.sinks import write_layer
+    from dugout.sources.sinks import commit, stage, stage_bucketed, write_layer
     from dugout.sources.warehouse import Warehouse
     t = {n: read(spark, sf_dir, n) for n in ("nation", "customer", "orders", "lineitem")}
     season_path = write_layer(season(t["orders"], t["lineitem"], t["customer"]), root, "work", "season")
@@ -216,10 +216,10 @@ def persist_raw(spark: SparkSession, sf_dir: str, root: str, buckets: int | None
         "pitching": pitching(s),
         "salaries": salaries(t["orders"], t["customer"]),
     })
-    from dugout.sources.sinks import write_bucketed
+    places = {}
     for name, df in wh.tables().items():
         if buckets and name != "teams":
-            write_bucketed(df, root, "raw", name, buckets)
-            continue
-        part = ("year_id",) if name in ("batting", "pitching", "salaries") else ()
-        write_layer(df, root, "raw", name, partition_by=part)
+            places[name] = stage_bucketed(df, root, "raw", name, buckets)
+        else:
+            places[name] = stage(df, root, "raw", name, ("year_id",) if name in ("batting", "pitching", "salaries") else ())
+    commit(spark, root, "raw", places)

@@ -1,25 +1,27 @@
 """Layered table sinks: raw / analytics / marts under one root folder.
 
-``publish`` writes every version of a table to a fresh ``v<timestamp>`` folder, and readers take the
-newest version whose ``_SUCCESS`` marker exists (the marker appears only when the write job
-commits).  Nothing is overwritten in place, so readers never see a half-written table and a failed
-or interrupted rebuild leaves the previous version live.  ``stage`` writes a version that readers
-do not see yet; ``make_current`` shows it, after it was checked.  Versions older than the ``KEEP`` newest
-are removed when a new one becomes current (readers of those have had that long to finish).
-``write_layer`` publishes too: raw tables and marts are versioned like the aggregates.
+Every version of a table is written to a fresh folder that no reader sees (``stage``). ``commit`` then shows any number
+of tables of a layer at once: it puts one small manifest that names the current folder of every table of the layer.
+Manifests are numbered, put only where that number is absent (a concurrent commit takes the next one), and a reader
+takes the newest one that is whole, once for all tables it reads. So a crash between, before or while putting it leaves
+the old set whole, and tables of one load or refresh are never mixed with those of another.
+The ``KEEP`` newest manifests stay; folders that only older ones name are removed.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from dugout.session import shared_dir
 
-STAGED = "staged-"                  # readers list folders that start with v only
+SETS = "_sets"                      # a layer's folder of manifests
+
 
 def _path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
@@ -50,66 +52,104 @@ def _jvm_fs(spark: SparkSession, path: str):
 
 
 def layer_exists(spark: SparkSession, root: str, layer: str, name: str) -> bool:
-    """Whether a table has a committed version (or is a committed bucketed table)."""
-    fs, hp = _jvm_fs(spark, f"{_path(root, layer, name)}/_SUCCESS")
-    return fs.exists(hp) or current_version(spark, root, layer, name) is not None
+    """Whether a table has a committed version."""
+    return name in read_set(spark, root, layer)
+
+
+def _fresh(root: str, layer: str, name: str, kind: str = "") -> str:
+    return f"{_path(root, layer, name)}/v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}{kind}"
 
 
 def stage(df: DataFrame, root: str, layer: str, name: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Write a version that is not current yet; returns its folder."""
-    version = f"{STAGED}v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
-    target = f"{_path(root, layer, name)}/{version}"
+    """Write a version that no manifest names yet; returns its folder."""
+    target = _fresh(root, layer, name)
     w = df.hint("rebalance", *partition_by).write if partition_by else df.write
     w = w.partitionBy(*partition_by) if partition_by else w
     w.mode("errorifexists").parquet(target)
     return target
 
 
-def make_current(spark: SparkSession, staged_path: str, keep: int = KEEP) -> str:
-    """Show a staged version to readers (one rename) and remove versions older than the ``keep`` newest."""
-    base, _, folder = staged_path.rpartition("/")
-    target = f"{base}/{folder.removeprefix(STAGED)}"
-    fs, hp = _jvm_fs(spark, staged_path)
-    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-    if not fs.rename(hp, new):
-        raise OSError(f"{staged_path} could not be renamed")
-    for old in _versions(spark, base)[keep:]:
-        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/{old}"), True)
-    return target
-
-
-def publish(df: DataFrame, root: str, layer: str, name: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Write a new version folder; it becomes current once its write has committed."""
-    return make_current(df.sparkSession, stage(df, root, layer, name, partition_by))
-
-
-def _versions(spark: SparkSession, base: str) -> list[str]:
-    """Committed version folders of a table, newest first."""
-    fs, hp = _jvm_fs(spark, base)
+def _manifests(spark: SparkSession, root: str, layer: str) -> list[tuple[int, dict[str, str] | None]]:
+    """(number, folder of each table) of a layer's manifests, newest first; None for one that is not whole."""
+    fs, hp = _jvm_fs(spark, _path(root, layer, SETS))
     if not fs.exists(hp):
         return []
-    names = sorted((st.getPath().getName() for st in fs.listStatus(hp)
-                    if st.isDirectory() and st.getPath().getName().startswith("v")), reverse=True)
+    out = []
+    for st in fs.listStatus(hp):
+        stem, _, kind = st.getPath().getName().partition(".")
+        if kind == "json" and stem.isdigit():
+            stream = fs.open(st.getPath())
+            try:
+                text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            try:
+                out.append((int(stem), json.loads(text)))
+            except ValueError:
+                out.append((int(stem), None))
+    return sorted(out, key=lambda x: -x[0])
+
+
+def read_set(spark: SparkSession, root: str, layer: str) -> dict[str, str]:
+    """The current folder of every table of a layer, from its newest whole manifest."""
+    return next((tables for _, tables in _manifests(spark, root, layer) if tables is not None), {})
+
+
+def _put(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with this text unless it is there."""
+    fs, hp = _jvm_fs(spark, path)
+    if fs.exists(hp):
+        return False
+    try:
+        stream = fs.create(hp, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception):
+            return False
+        raise
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    return True
+
+
+def commit(spark: SparkSession, root: str, layer: str, staged: dict[str, str], keep: int = KEEP) -> dict[str, str]:
+    """Show staged versions (table -> folder) to readers together, by one manifest; the layer's other tables stay as they are."""
+    while True:
+        known = _manifests(spark, root, layer)
+        tables = next((t for _, t in known if t is not None), {})
+        tables = tables | {name: path.rstrip("/").rpartition("/")[2] for name, path in staged.items()}
+        if _put(spark, f"{_path(root, layer, SETS)}/{(known[0][0] if known else 0) + 1:012d}.json", json.dumps(tables)):
+            break
+    whole = [(n, t) for n, t in _manifests(spark, root, layer) if t is not None]
+    held = {place for _, t in whole[:keep] for place in t.items()}
+    fs, _ = _jvm_fs(spark, root)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return [v for v in names if fs.exists(path(f"{base}/{v}/_SUCCESS"))]
+    for n, t in whole[keep:]:
+        for name, folder in set(t.items()) - held:
+            fs.delete(path(f"{_path(root, layer, name)}/{folder}"), True)
+        fs.delete(path(f"{_path(root, layer, SETS)}/{n:012d}.json"), False)
+    return staged
+
+
+def publish(df: DataFrame, root: str, layer: str, name: str, partition_by: tuple[str, ...] = ()) -> str:
+    """Write a new version and show it."""
+    return commit(df.sparkSession, root, layer, {name: stage(df, root, layer, name, partition_by)})[name]
 
 
 def current_version(spark: SparkSession, root: str, layer: str, name: str) -> str | None:
-    """Newest committed version folder of a published table (None if it was never published)."""
-    return next(iter(_versions(spark, _path(root, layer, name))), None)
+    """The current folder of a table (None if it was never published)."""
+    return read_set(spark, root, layer).get(name)
 
 
-def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    """Read the newest committed version of a table."""
-    base = _path(root, layer, name)
-    version = current_version(spark, root, layer, name)
+def read_layer(spark: SparkSession, root: str, layer: str, name: str, tables: dict[str, str] | None = None) -> DataFrame:
+    """Read the current version of a table; ``tables``: a set that was read before, for several tables of one set."""
+    version = (read_set(spark, root, layer) if tables is None else tables).get(name)
     if version is None:
-        raise FileNotFoundError(f"{base} has no committed version")
-    return spark.read.parquet(f"{base}/{version}")
+        raise FileNotFoundError(f"{_path(root, layer, name)} has no committed version")
+    return spark.read.parquet(f"{_path(root, layer, name)}/{version}")
 
 
 def refresh_aggregates(wh, root: str, params=None) -> dict[str, str]:
-    """Rebuild the three analytical aggregates and the league constants from the raw layer and publish each."""
+    """Rebuild the three analytical aggregates and the league constants from the raw layer and show all seven together."""
     from dugout.params import Params
     from dugout.plans import aggregates as A
     from dugout.plans.constants import LeagueConstants
@@ -117,54 +157,53 @@ def refresh_aggregates(wh, root: str, params=None) -> dict[str, str]:
     places: dict[str, str] = {}
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        places[name] = publish(df, root, "analytics", name)
+        places[name] = stage(df, root, "analytics", name)
         return df.sparkSession.read.schema(df.schema).parquet(places[name])
 
     constants = LeagueConstants(wh, params, keep)
     for name in ("fip_sums", "fip_mean", "woba_mean", "mart_league"):
         getattr(constants, name)
-    return places | {
-        "mv_team_payroll": publish(A.team_payroll(wh.salaries), root, "analytics", "mv_team_payroll"),
-        "mv_team_physiques": publish(A.team_physiques(wh.batting, wh.people), root, "analytics",
-                                     "mv_team_physiques"),
-        "mv_league_pitching_baseline": publish(A.league_pitching_baseline(wh.pitching, params), root,
-                                               "analytics", "mv_league_pitching_baseline"),
-    }
+    keep(A.team_payroll(wh.salaries), "mv_team_payroll")
+    keep(A.team_physiques(wh.batting, wh.people), "mv_team_physiques")
+    spark = keep(A.league_pitching_baseline(wh.pitching, params), "mv_league_pitching_baseline").sparkSession
+    return commit(spark, root, "analytics", places)
 
 
-def _table_name(root: str, layer: str, name: str) -> str:
-    """Catalog name of a bucketed table; the root is part of it, so two warehouses never meet."""
-    return f"dugout_{hashlib.sha1(root.rstrip('/').encode()).hexdigest()[:12]}_{layer}_{name}"
+def _table_name(root: str, layer: str, name: str, folder: str) -> str:
+    """Catalog name of a version of a bucketed table; root and folder are part of it, so two never meet."""
+    return f"dugout_{hashlib.sha1(f'{root.rstrip("/")}/{folder}'.encode()).hexdigest()[:12]}_{layer}_{name}"
 
 
-def write_bucketed(df: DataFrame, root: str, layer: str, name: str, buckets: int,
-                   by: tuple[str, ...] = ("player_id",)) -> str:
-    """Write a table hash-bucketed (and sorted) on ``by`` under the shared folder.
+def stage_bucketed(df: DataFrame, root: str, layer: str, name: str, buckets: int, by: tuple[str, ...] = ("player_id",)) -> str:
+    """Write a version hash-bucketed (and sorted) on ``by``; no manifest names it yet.
 
     Joins between tables bucketed the same way on their join key (e.g. batting, pitching and
     people on ``player_id``) then run as sort-merge joins without any shuffle.  The files live in
     the shared folder; the catalog entry is an external table that ``read_bucketed`` re-creates in
     any session, so nothing depends on one driver's metastore.
     """
-    table = _table_name(root, layer, name)
-    (df.write.mode("overwrite").bucketBy(buckets, *by).sortBy(*by)
-     .option("path", _path(root, layer, name)).saveAsTable(table))
-    return table
+    target = _fresh(root, layer, name, f"-b{buckets}")
+    (df.write.mode("errorifexists").bucketBy(buckets, *by).sortBy(*by)
+     .option("path", target).saveAsTable(_table_name(root, layer, name, target.rpartition("/")[2])))
+    return target
+
+
+def write_bucketed(df: DataFrame, root: str, layer: str, name: str, buckets: int, by: tuple[str, ...] = ("player_id",)) -> str:
+    """Write a bucketed version and show it."""
+    return commit(df.sparkSession, root, layer, {name: stage_bucketed(df, root, layer, name, buckets, by)})[name]
 
 
 def read_bucketed(spark: SparkSession, root: str, layer: str, name: str, buckets: int,
-                  by: tuple[str, ...] = ("player_id",)) -> DataFrame:
-    """Attach a bucketed table written by ``write_bucketed`` (idempotent) and return it.
-
-    An entry of that name that has another place or number of buckets is an error."""
-    table = _table_name(root, layer, name)
-    path = _path(root, layer, name)
-    if spark.catalog.tableExists(table):
-        rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
-        place = lambda p: p.removeprefix("file:").replace("//", "/").rstrip("/")
-        if place(rows["Location"]) != place(path) or int(rows["Num Buckets"]) != buckets:
-            raise ValueError(f"{table} is at {rows['Location']} with {rows['Num Buckets']} buckets, not at {path} with {buckets}")
-    else:
+                  by: tuple[str, ...] = ("player_id",), tables: dict[str, str] | None = None) -> DataFrame:
+    """Attach the current version of a bucketed table (idempotent) and return it; another number of buckets is an error."""
+    folder = (read_set(spark, root, layer) if tables is None else tables).get(name)
+    if folder is None:
+        raise FileNotFoundError(f"{_path(root, layer, name)} has no committed version")
+    if not folder.endswith(f"-b{buckets}"):
+        raise ValueError(f"{_path(root, layer, name)}/{folder} has not {buckets} buckets")
+    table = _table_name(root, layer, name, folder)
+    path = f"{_path(root, layer, name)}/{folder}"
+    if not spark.catalog.tableExists(table):
         schema = spark.read.parquet(path).schema                     # footer read only
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         keys = ", ".join(f"`{c}`" for c in by)

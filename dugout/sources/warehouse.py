@@ -50,20 +50,22 @@ class Warehouse:
 
     @staticmethod
     def from_parquet(spark: SparkSession, root: str) -> "Warehouse":
-        """Tables written by ``dugout.sources.loader.load_all`` (derived columns already stored)."""
-        from dugout.sources.sinks import read_layer
-        return Warehouse({t: (lambda t=t: read_layer(spark, root, "raw", t)) for t in TABLE_NAMES})
+        """Tables written by ``dugout.sources.loader.load_all`` (derived columns already stored), all of one load."""
+        from dugout.sources.sinks import read_layer, read_set
+        current = read_set(spark, root, "raw")
+        return Warehouse({t: (lambda t=t: read_layer(spark, root, "raw", t, current)) for t in TABLE_NAMES})
 
     @staticmethod
     def from_bucketed(spark: SparkSession, root: str, buckets: int) -> "Warehouse":
         """Tables written by ``fixtures.persist_raw(..., buckets=n)``: player-keyed tables bucketed
         on ``player_id`` (shuffle-free player joins), teams as plain Parquet."""
-        from dugout.sources.sinks import read_bucketed, read_layer
+        from dugout.sources.sinks import read_bucketed, read_layer, read_set
+        current = read_set(spark, root, "raw")
 
         def src(t):
             if t == "teams":
-                return lambda: read_layer(spark, root, "raw", t)
-            return lambda: read_bucketed(spark, root, "raw", t, buckets)
+                return lambda: read_layer(spark, root, "raw", t, current)
+            return lambda: read_bucketed(spark, root, "raw", t, buckets, tables=current)
         return Warehouse({t: src(t) for t in TABLE_NAMES})
 
     def tables(self) -> dict[str, DataFrame]:

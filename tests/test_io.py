@@ -72,7 +72,7 @@ def test_write_read_publish_and_require(spark, make_wh):
     assert first["mv_team_payroll"] != second["mv_team_payroll"]      # new version folder
     assert sinks.current_version(spark, root, "analytics", "mv_team_payroll") == second["mv_team_payroll"].split("/")[-1]
     assert sinks.read_layer(spark, root, "analytics", "mv_team_payroll").first().total_payroll_usd == v1 == 5
-    # an uncommitted (no _SUCCESS) newer folder is ignored by readers
+    # a newer folder that no manifest names is ignored by readers
     os.makedirs(os.path.join(root, "analytics", "mv_team_payroll", "v999999999999999-zzzz"))
     assert sinks.current_version(spark, root, "analytics", "mv_team_payroll") == second["mv_team_payroll"].split("/")[-1]
 
@@ -95,6 +95,35 @@ def test_load_all_end_to_end(spark):
     assert back.people.select(F.col("full_name")).first()[0] == ""
 
 
+def test_tables_of_a_layer_switch_together(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    both = lambda n: {t: sinks.stage(spark.range(n), root, "raw", t) for t in ("a", "b")}
+    sizes = lambda: [sinks.read_layer(spark, root, "raw", t).count() for t in ("a", "b")]
+    sinks.commit(spark, root, "raw", both(1))
+    second = both(2)                                                     # a crash here: staged, no manifest
+    assert sizes() == [1, 1]
+    (tmp_path / "raw" / "_sets" / "000000000002.json").write_text('{"a": "v0')   # a crash while the manifest is written
+    assert sizes() == [1, 1]
+    held = sinks.read_set(spark, root, "raw")
+    sinks.commit(spark, root, "raw", second)
+    assert sizes() == [2, 2] and (tmp_path / "raw" / "_sets" / "000000000003.json").exists()
+    assert sinks.read_layer(spark, root, "raw", "a", held).count() == 1      # a reader keeps the set it resolved
+
+
+def test_concurrent_commits_keep_each_other(spark, tmp_path, monkeypatch):
+    root, real = str(tmp_path), sinks._put
+    one, two = (sinks.stage(spark.range(n), root, "raw", t) for n, t in ((1, "a"), (2, "b")))
+
+    def put(spark, path, text):
+        monkeypatch.setattr(sinks, "_put", real)                           # another job commits just before
+        sinks.commit(spark, root, "raw", {"b": two})
+        return real(spark, path, text)
+
+    monkeypatch.setattr(sinks, "_put", put)
+    sinks.commit(spark, root, "raw", {"a": one})
+    assert sorted(sinks.read_set(spark, root, "raw")) == ["a", "b"]
+
+
 def test_season_year_ignores_session_time_zone(spark):
     """Zone-aware reading of the wall-clock timestamps must not move New-Year orders."""
     from dugout.sources.fixtures import raw_tables
