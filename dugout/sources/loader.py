@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dugout.sources.schemas import PRIMARY_KEYS, SCHEMAS, TABLES
@@ -14,21 +14,58 @@ NO_TEXT = "\u0000"                          # stands for a bare empty field whil
 SEASON_TABLES = ("batting", "pitching", "salaries")
 
 
+OPTIONS = {"escape": '"', "multiLine": "true", "emptyValue": "", "nullValue": NO_TEXT, "mode": "FAILFAST"}
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """(record): the records of CSV files below their header rows, read in byte ranges by many tasks.
+
+    A quoted field may hold line breaks, so a line is a record's start only where the quotes before it in its file are even
+    in number. Files are read as lines, in ranges of ``spark.sql.files.maxPartitionBytes``; the parity of each range is
+    summed over the ranges before it, and a running parity within a range tells its lines' places. A line that is a
+    whole record goes on as it is; only the lines of broken records are gathered, by their record's start. A quote that is
+    never closed is an error. Blank lines are no records.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"), "value",
+        ((F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2).alias("odd"))
+    along, earlier = Window.partitionBy("f", "b").orderBy("i"), Window.partitionBy("f").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = lines.groupBy("f", "b").agg(F.sum("odd").alias("quotes"), F.min("i").alias("first"))
+    ranges = ranges.withColumns({"before": F.coalesce(F.sum("quotes").over(earlier), F.lit(0)),
+                                 "unclosed": F.sum("quotes").over(Window.partitionBy("f")) % 2})           # a row for each range
+    checked = F.when(F.col("unclosed") == 1, F.raise_error(F.concat(F.lit("a quote is never closed in "), "f"))).otherwise(F.col("before"))
+    ranges = ranges.select("f", "b", "first", checked.alias("before"))
+    upto = along.rowsBetween(Window.unboundedPreceding, -1)
+    placed = (lines.join(ranges, ["f", "b"])
+              .withColumn("starts", (F.col("before") + F.coalesce(F.sum("odd").over(upto), F.lit(0))) % 2 == 0))
+    own = F.max(F.when(F.col("starts"), F.col("i"))).over(along.rowsBetween(Window.unboundedPreceding, 0))
+    placed = placed.withColumn("start", own)
+    whole = placed.where(F.col("starts") & (F.col("odd") == 0) & ~((F.col("b") == 0) & (F.col("i") == F.col("first"))))
+    parts = placed.where(~F.col("starts") | (F.col("odd") == 1))
+    # a record that came over a range's bound started in the last earlier range that has a start
+    last = placed.groupBy("f", "b").agg(F.max(F.when(F.col("starts"), F.col("i"))).alias("_i"))
+    last = last.withColumn("_at", F.when(F.col("_i").isNotNull(), F.struct("b", "_i"))).select(
+        "f", "b", F.last("_at", ignorenulls=True).over(earlier).alias("over"))
+    head = F.struct(F.lit(0).cast("long").alias("b"), F.col("first").alias("_i"))
+    parts = (parts.join(last, ["f", "b"])
+             .withColumn("at", F.when(F.col("start").isNotNull(), F.struct(F.col("b"), F.col("start").alias("_i"))).otherwise(F.col("over"))))
+    joined = (parts.groupBy("f", "at").agg(F.sort_array(F.collect_list(F.struct("b", "i", "value"))).alias("x"),
+                                           F.max((F.col("b") == 0) & (F.col("at") == head)).alias("is_header"))
+              .where(~F.col("is_header")).select(F.concat_ws("\n", "x.value").alias("record")))
+    return (whole.select(F.col("value").alias("record")).unionByName(joined)
+            .select(F.regexp_replace("record", "\r$", "").alias("record")).where("record <> ''"))
+
+
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Read one table's CSV against its declared schema.
 
-    Columns are matched by position (``enforceSchema``), an empty field is NULL, a quoted empty field is
+    Columns are matched by position, an empty field is NULL, a quoted empty field is
     an empty text, the text 'NA' stays text, quotes inside quotes are doubled and a quoted field may hold
-    line breaks.  FAILFAST makes a bad integer, a short row or an extra column abort the load, and the
-    parser reads all columns, so an extra one is found even when later plans read only a few.
-
-    Quoted line breaks mean that one file is read by one task (``multiLine``): load many files at scale.
+    line breaks, wherever a file is split (``csv_records``).  FAILFAST makes a bad integer, a short row or an extra column
+    abort the load, whichever columns later plans read.
     """
-    return (spark.read.schema(SCHEMAS[table])
-            .option("header", True).option("enforceSchema", True).option("columnPruning", False)
-            .option("escape", '"').option("multiLine", True)
-            .option("emptyValue", "").option("nullValue", NO_TEXT).option("mode", "FAILFAST")
-            .csv(path))
+    row = F.from_csv("record", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in SCHEMAS[table].fields), OPTIONS)
+    return csv_records(spark, path).select(row.alias("r")).select("r.*")
 
 
 def key_violations(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:

@@ -95,6 +95,37 @@ def test_load_all_end_to_end(spark):
     assert back.people.select(F.col("full_name")).first()[0] == ""
 
 
+def _today(spark, path, table):
+    from dugout.sources.schemas import SCHEMAS
+    return (spark.read.schema(SCHEMAS[table]).option("header", True).option("enforceSchema", True).option("columnPruning", False).option("escape", '"')
+            .option("multiLine", True).option("emptyValue", "").option("nullValue", "\u0000").option("mode", "FAILFAST").csv(path))
+
+
+@pytest.mark.parametrize("size", [64, 257, 1000])
+def test_quoted_line_breaks_at_range_bounds(spark, tmp_path, size):
+    import random
+    rng = random.Random(size)
+    text = lambda: rng.choice(["plain", '"two\nlines"', '"a ""quoted""\n\n\n, word"', '""', "", '"' + "\n".join(["x"] * rng.randint(1, 60)) + '"'])
+    for n in range(2):
+        rows = [f"{1990 + i % 9},{text()},{text()},{text()},{i}.50" for i in range(150)]
+        (tmp_path / f"{n}.csv").write_text(HEADER + "\n".join(rows) + "\n" * n, newline="")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        got = loader.read_csv(spark, str(tmp_path), "salaries")
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+        assert sorted(map(str, got.collect())) == sorted(map(str, _today(spark, str(tmp_path), "salaries").collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_a_quote_that_is_never_closed_is_an_error(spark):
+    with pytest.raises(Exception, match="never closed"):
+        loader.read_csv(spark, _csv(HEADER + '2000,"T1,L1,p,1.00\n2001,T2,L1,p2,\n'), "salaries").collect()
+
+
 def test_tables_of_a_layer_switch_together(spark, tmp_path, monkeypatch):
     root = str(tmp_path)
     both = lambda n: {t: sinks.stage(spark.range(n), root, "raw", t) for t in ("a", "b")}
