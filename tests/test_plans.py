@@ -57,7 +57,7 @@ def test_pushdown_pruning_and_inferred_season_filter(spark):
     plan = starters._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(gs), GreaterThanOrEqual(gs,10)" in plan
     # column pruning: the pitching scan reads only the columns the query needs
-    assert "ReadSchema: struct<player_id:string,year_id:int,stint:int,team_id:string,gs:int,innings_pitched" in plan
+    assert "ReadSchema: struct<player_id:string,year_id:int,stint:int,team_id:string,gs:bigint,innings_pitched" in plan
     cpw = J.cost_per_win(wh, p.season)
     opt = cpw._jdf.queryExecution().optimizedPlan().toString()
     # the season predicate is written once (payroll side) and inferred for the teams side
