@@ -2,16 +2,18 @@
 
 Every document gets a hash-random key, so the documents of one source are in a random but repeatable
 order. The order is kept as (key range, key): sizes are pre-aggregated per (source, key range), prefix
-sums over those few rows give each range its offset, and only the rows of one range are sorted
-together, so a source with a third of the corpus is spread over as many tasks as it has ranges.
+sums over those few rows, in two levels, give each range its offset, and only the rows of one range are sorted
+together, so a source with a third of the corpus is spread over as many tasks as it has ranges. Rows of equal
+(source, doc_id, size) are interchangeable and are placed as one row with a count, so rows without doc_id, which
+share one key, are no more rows in their range than they have sizes.
 
 Source targets: sources in code-point order (null last) weigh ``weights`` repeating and share the
 whole corpus size by weight; a source stops at ``max_epochs`` times its own size and the excess goes
 to the others by weight until none is above (a water level found with integer sums).
 
 Cases: null text has size 0; size-0 documents are never taken (taken 0); a null source is a source of
-its own; null or repeated doc_ids are ordinary rows (``mix`` breaks ties by size, ``mixed_documents`` orders
-by doc_id and text; equal rows are interchangeable); an empty table gives an empty result; extra columns are ignored by ``mix`` and kept
+its own; null or repeated doc_ids are ordinary rows (``mix`` breaks ties by size, equal rows in any order;
+``mixed_documents`` orders by doc_id and text); an empty table gives an empty result; extra columns are ignored by ``mix`` and kept
 by ``mixed_documents``.
 """
 
@@ -27,6 +29,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 RANGE_ROWS = 2_000     # documents that one key range holds on average
+COPIES = 1_000         # equal rows that are written out together
 
 
 def text_size(text: str | Column = "text") -> Column:
@@ -68,9 +71,24 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
 
 
 def _sized(docs: DataFrame) -> DataFrame:
-    """The light rows of the mix: id, source, size, key (texts stay behind)."""
-    return staged(docs.select("doc_id", "source", text_size("text").alias("size"), random_key().alias("key")),
-                  "mix-sizes")
+    """The light rows of the mix: id, source, key, words of one row, number of equal rows, words of all (texts stay behind)."""
+    rows = docs.select("doc_id", "source", text_size("text").alias("one"), random_key().alias("key"))
+    rows = rows.groupBy("source", "key", "doc_id", "one").agg(F.count("*").alias("n"))
+    return staged(rows.withColumn("size", F.col("one") * F.col("n")), "mix-sizes")
+
+
+def _offsets(ranges: DataFrame, digits: int) -> DataFrame:
+    """(source, range, range_size) -> + offset, the words before the range: prefix sums over groups of ranges with a common
+    head, then within each, so one task holds about the square root of a source's ranges."""
+    ranges = ranges.withColumn("head", F.substring("range", 1, digits // 2))
+    before = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
+    heads = ranges.groupBy("source", "head").agg(F.sum("range_size").alias("head_size"))
+    heads = heads.withColumn("skip", F.coalesce(F.sum("head_size").over(before(W.partitionBy("source").orderBy("head"))), F.lit(0)))
+    heads = small(staged(heads.select(F.col("source").alias("_source"), F.col("head").alias("_head"), "skip"), "mix-heads"))
+    inside = F.coalesce(F.sum("range_size").over(before(W.partitionBy("source", "head").orderBy("range"))), F.lit(0))
+    return (ranges.withColumn("inside", inside)
+            .join(heads, F.col("source").eqNullSafe(F.col("_source")) & (F.col("head") == F.col("_head")))
+            .select("source", "range", "range_size", (F.col("skip") + F.col("inside")).alias("offset")))
 
 
 def _placed(rows: DataFrame, weights, max_epochs: int, range_rows: int) -> DataFrame:
@@ -81,8 +99,7 @@ def _placed(rows: DataFrame, weights, max_epochs: int, range_rows: int) -> DataF
         digits += 1
     rows = rows.withColumn("range", F.substring("key", 1, digits))
     ranges = rows.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
-    up_to = W.partitionBy("source").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
-    ranges = staged(ranges.withColumn("offset", F.coalesce(F.sum("range_size").over(up_to), F.lit(0))), "mix-ranges")
+    ranges = staged(_offsets(staged(ranges, "mix-range-sizes"), digits), "mix-ranges")
     sizes = ranges.groupBy("source").agg(F.sum("range_size").alias("source_size"))
     targets = small(staged(source_targets(sizes, weights, max_epochs), "mix-targets"))
     ranges = (ranges.alias("r").join(targets.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source")))
@@ -102,6 +119,15 @@ def _taken(placed: DataFrame) -> DataFrame:
     return placed.withColumn("full", full).withColumn("rest", budget - F.col("full") * size)
 
 
+def _each(placed: DataFrame) -> DataFrame:
+    """A row for each of ``n`` equal rows: they stand one after the other, dealt out in runs of COPIES."""
+    runs = F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(COPIES).cast("long"))
+    many = (placed.where("n > 1").withColumn("run", F.explode(runs)).repartition("key", "one", "run")
+            .withColumn("nth", F.explode(F.sequence("run", F.least(F.col("run") + COPIES, "n") - 1)))
+            .withColumn("before", F.col("before") + F.col("nth") * F.col("one")).withColumn("size", F.col("one")).drop("run", "nth"))
+    return placed.where("n = 1").unionByName(many)
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, range_rows: int = RANGE_ROWS) -> DataFrame:
     """(doc_id, text, source) -> doc_id, source, key, size, source_size, target, full, before, rest, taken.
 
@@ -109,7 +135,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, range_ro
     of the budget (floor of the target) at its place in the source's random order; the words taken
     from a source therefore sum to exactly its budget.
     """
-    placed = _taken(_placed(_sized(docs), weights, max_epochs, range_rows))
+    rows = _sized(docs)
+    placed = _taken(_placed(rows, weights, max_epochs, range_rows))
+    if not rows.where("n > 1").isEmpty():
+        placed = _each(staged(placed, "mix-placed"))
     part = F.least(F.greatest(F.col("rest") - F.col("before"), F.lit(0).cast("long")), F.col("size"))
     return placed.select("doc_id", "source", "key", "size", "source_size", "target", "full", "before", "rest",
                          (F.col("full") * F.col("size") + part).alias("taken"))

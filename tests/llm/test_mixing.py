@@ -1,3 +1,4 @@
+import hashlib
 import re
 from collections import defaultdict
 
@@ -76,3 +77,41 @@ def test_null_and_repeated_ids_are_cut_like_others(spark):
     assert want["z"] < 3000 and all(abs(out[s] - want[s]) <= 6 for s in want)
     spread = mixing._placed(docs.select("doc_id", "source", mixing.text_size().alias("size"), mixing.text_key().alias("key")), (5, 2, 1, 1), 3, 50)
     assert spread.where("source = 'z'").select("range").distinct().count() > 1
+
+
+def plain_mix(rows, weights=(5, 2, 1)):
+    """Reference: (doc_id, size, taken) of rows (doc_id, text, source) in the order md5 of the id, id, size."""
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    by, out = defaultdict(list), []
+    for d, text, source in rows:
+        key = hashlib.md5(f"mix:{'null' if d is None else d}".encode()).hexdigest()
+        by[source].append((key, d is None, d or 0, size(text), d))
+    want = targets({s: sum(r[3] for r in part) for s, part in by.items()}, weights)
+    for s, part in by.items():
+        total, budget = sum(r[3] for r in part), int(want[s] + 1e-9)
+        full, rest = divmod(budget, total) if total else (0, 0)
+        for _, _, _, n, d in sorted(part):
+            out.append((d, n, full * n + min(max(rest, 0), n)))
+            rest -= n
+    return sorted(out, key=str)
+
+
+def test_rows_without_id_are_placed_as_counts(spark):
+    rows = [(None, f"n{i} " * (1 + i % 7), "z") for i in range(3000)] + [(7, "r " * (1 + i % 5), "y") for i in range(500)]
+    rows += [(None, "x " * (1 + i % 3), None) for i in range(200)] + [(i, "a " * (i % 40), "a") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for ranges in (5, 50, 100_000):
+        got = [(r["doc_id"], r["size"], r["taken"]) for r in mixing.mix(docs, range_rows=ranges).collect()]
+        assert sorted(got, key=str) == plain_mix(rows)
+    assert mixing._sized(docs).where("doc_id IS NULL").count() == 10     # one row a source and size, however many rows
+
+
+def test_offsets_in_two_levels(spark):
+    rows = [(s, f"{i:03x}", (i * 37) % 101) for s in ("a", None) for i in range(0, 4096, 3)]
+    got = {(r["source"], r["range"]): r["offset"] for r in mixing._offsets(
+        spark.createDataFrame(rows, "source string, range string, range_size long"), 3).collect()}
+    for s in ("a", None):
+        at = 0
+        for _, r, n in sorted(x for x in rows if x[0] == s):
+            assert got[s, r] == at
+            at += n
