@@ -1,10 +1,10 @@
 """Toxicity by a classifier chain: linear models in sequence, each fed the probabilities of those before it.
 
 Categories are label columns in a stated order (here: low quality, then toxic). The model of category c sees the
-text's features and, for every earlier category, the log-odds of its probability. In training those are
-*out-of-fold*: ``FOLDS`` models are fitted, each without the rows it then predicts, so a later model
-learns from earlier predictions as unsure as they will be on new documents. When documents are scored the chain
-uses each category's final model (fitted on all sample rows).
+text's features and, for every earlier category, its probability. In training those are
+*out-of-fold*: ``FOLDS`` models are fitted, each without the rows it then predicts and over a vocabulary that was
+chosen without them, so a later model learns from earlier predictions as unsure as they will be on new documents.
+When documents are scored the chain uses each category's final model (fitted on all sample rows).
 
 Features: words (runs of ASCII letters and digits and of bytes beyond ASCII, lower-cased) and their
 first 4, 5 and 6 bytes, as 64-bit hashes with log(1 + count); plus a few shares (digits, punctuation, upper
@@ -100,10 +100,14 @@ def _counted(docs: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return docs[at], hashes[at], np.diff(np.append(at, len(docs)))
 
 
+def _probability(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
 @dataclass
 class Chain:
     """A fitted chain: vocabulary (sorted hashes), and a weight vector per category over
-    [vocabulary, dense, earlier log-odds, intercept]."""
+    [vocabulary, dense, earlier probabilities, intercept]."""
 
     vocabulary: np.ndarray
     categories: tuple[str, ...]
@@ -132,10 +136,10 @@ class Chain:
             for c, w in enumerate(self.weights):
                 f = len(self.vocabulary)
                 z = np.bincount(d, weights=x * w[v], minlength=hi - lo) + dense @ w[f:f + _DENSE] + w[-1]
-                for e, odds in enumerate(earlier):
-                    z = z + odds * w[f + _DENSE + e]
-                earlier.append(np.clip(z, -8, 8))
-                out[lo:hi, c] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+                for e, p in enumerate(earlier):
+                    z = z + p * w[f + _DENSE + e]
+                earlier.append(_probability(z))
+                out[lo:hi, c] = earlier[-1]
         return out
 
 
@@ -150,6 +154,11 @@ class _Rows:
         m = keep[self.row]
         return _Rows(new[self.row[m]], self.col[m], self.value[m], self.dense[keep], self.f)
 
+    def within(self, words: np.ndarray) -> _Rows:
+        """Only the features whose place is marked, renumbered."""
+        m = words[self.col]
+        return _Rows(self.row[m], (np.cumsum(words) - 1)[self.col[m]], self.value[m], self.dense, int(words.sum()))
+
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, weights=self.value * w[self.col], minlength=len(self.dense)) + self.dense @ w[self.f:-1] + w[-1]
 
@@ -157,8 +166,8 @@ class _Rows:
         return np.concatenate([np.bincount(self.col, weights=self.value * r[self.row], minlength=self.f), self.dense.T @ r, [r.sum()]])
 
 
-def fit_logistic(x: _Rows, y: np.ndarray, l2: float = L2, steps: int = 60) -> np.ndarray:
-    """Weights of an L2-regularised logistic regression (L-BFGS). One class only: its share as intercept."""
+def fit_logistic(x: _Rows, y: np.ndarray, l2: float = L2, steps: int = 60, close: float = 1e-7) -> np.ndarray:
+    """Weights of an L2-regularised logistic regression (L-BFGS, until a step gains less than ``close`` of the loss). One class only: its share as intercept."""
     width = x.f + x.dense.shape[1] + 1
     w = np.zeros(width)
     if len(y) == 0 or y.min() == y.max():
@@ -193,7 +202,7 @@ def fit_logistic(x: _Rows, y: np.ndarray, l2: float = L2, steps: int = 60) -> np
         s, g = -step * q, new_grad - grad
         if s @ g > 1e-12:
             past = [*past[-7:], (s, g)]
-        done = value - new_value < 1e-7 * max(1.0, abs(value))
+        done = value - new_value < close * max(1.0, abs(value))
         w, value, grad = w + s, new_value, new_grad
         if done:
             break
@@ -216,53 +225,68 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             docs, hashes, _ = text_features(texts[lo:hi])
             d, h, _ = _counted(docs, hashes)
             at = np.searchsorted(d, np.arange(hi - lo + 1))
-            part = b.slice(lo, hi - lo).drop_columns(["doc_id", "text"])
+            part = b.slice(lo, hi - lo).drop_columns(["text"])
             feats = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(h.view(np.int64)))
             yield pa.RecordBatch.from_arrays([*part.columns, feats], [*part.schema.names, "features"])
 
 
-def vocabulary(sample: DataFrame, categories=CATEGORIES, features: int = FEATURES) -> np.ndarray:
-    """The hashes whose document share differs most between the classes of a category."""
-    total = sample.agg(*[F.count(c).alias(f"n_{c}") for c in categories], *[F.sum(c).alias(f"p_{c}") for c in categories]).first()
-    rows = sample.mapInArrow(_feature_rows, ", ".join(f"{c} double" for c in categories) + ", features array<long>")
-    counts = (rows.select(*categories, F.explode("features").alias("h")).groupBy("h")
-              .agg(F.count("*").alias("df"), *[F.count(c).alias(f"n_{c}") for c in categories], *[F.sum(c).alias(f"p_{c}") for c in categories])
-              .where(F.col("df") >= LEAST_DOCS))
-    counts = staged(counts, "toxicity-counts")
-    found: set[int] = set()
-    for c in categories:
-        n, p = float(total[f"n_{c}"] or 0), float(total[f"p_{c}"] or 0)
-        if not 0 < p < n:
-            continue
-        share1, share0 = F.col(f"p_{c}") / p, (F.col(f"n_{c}") - F.col(f"p_{c}")) / (n - p)
-        both = (F.col(f"n_{c}") + 1) / (n + 2)
-        z = F.abs(share1 - share0) / F.sqrt(both * (1 - both) * (1 / p + 1 / (n - p)))
-        found |= {r["h"] for r in counts.orderBy(z.desc(), "h").limit(features).select("h").collect()}   # at most FEATURES
-    return np.sort(np.array(sorted(found), np.int64).view(np.uint64))
+def vocabularies(sample: DataFrame, categories=CATEGORIES, features: int = FEATURES, folds: int = FOLDS) -> list[np.ndarray]:
+    """The hashes whose document share differs most between the classes of a category, sorted: over all rows of the
+    sample (with its fold), then over all but each fold's."""
+    schema = ", ".join(f"{c} double" for c in categories) + ", fold long, features array<long>"
+    rows = sample.select(*categories, F.col("fold").cast("long").alias("fold"), "text").mapInArrow(_feature_rows, schema)
+    sums = [F.count("*").alias("df"), *[F.count(c).alias(f"n_{c}") for c in categories], *[F.sum(c).alias(f"p_{c}") for c in categories]]
+    names = ["df", *[f"{x}_{c}" for x in "np" for c in categories]]
+    total = {r["fold"]: r for r in sample.groupBy("fold").agg(*sums).collect()}          # a row a fold
+    by_fold = rows.select(*categories, "fold", F.explode("features").alias("h")).groupBy("h", "fold").agg(*sums)
+    # a hash's counts over all rows, and in each fold
+    counts = by_fold.groupBy("h").agg(
+        *[F.sum(x).alias(x) for x in names],
+        *[F.sum(F.when(F.col("fold") == k, F.col(x)).otherwise(0)).alias(f"{x}_{k}") for k in range(folds) for x in names])
+    counts = staged(counts.where(F.col("df") >= LEAST_DOCS), "toxicity-counts")
+    out = []
+    for k in [None, *range(folds)]:
+        told = lambda x: F.coalesce(F.col(x), F.lit(0))
+        left = counts.select("h", *[(told(x) if k is None else told(x) - told(f"{x}_{k}")).alias(x) for x in names])
+        left = left.where(F.col("df") >= LEAST_DOCS)
+        found: set[int] = set()
+        for c in categories:
+            n, p = (float(sum(r[f"{x}_{c}"] or 0 for f, r in total.items() if f != k)) for x in "np")
+            if not 0 < p < n:
+                continue
+            share1, share0 = F.col(f"p_{c}") / p, (F.col(f"n_{c}") - F.col(f"p_{c}")) / (n - p)
+            both = (F.col(f"n_{c}") + 1) / (n + 2)
+            z = F.abs(share1 - share0) / F.sqrt(both * (1 - both) * (1 / p + 1 / (n - p)))
+            found |= {r["h"] for r in left.orderBy(z.desc(), "h").limit(features).select("h").collect()}   # at most FEATURES
+        out.append(np.sort(np.array(sorted(found), np.int64).view(np.uint64)))
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, rows: int = SAMPLE_ROWS, features: int = FEATURES,
         folds: int = FOLDS) -> Chain:
     """Fit the chain on the bounded sample of labelled documents."""
     ship_package(docs.sparkSession)
-    sample = staged(sample_rows(docs, labels, categories, rows), "toxicity-sample")
-    chain = Chain(vocabulary(sample, categories, features), tuple(categories))
+    fold = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit("fold")), F.lit(folds))
+    sample = staged(sample_rows(docs, labels, categories, rows).withColumn("fold", fold), "toxicity-sample")
+    chosen = vocabularies(sample, categories, features, folds)
+    chain = Chain(chosen[0], tuple(categories))
+    every = Chain(np.unique(np.concatenate(chosen)), tuple(categories))      # the hashes that any of the models has
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [t or "" for t in b.column("text").to_pylist()]
             for lo, hi in _runs(texts):
                 hashed_docs, hashes, dense = text_features(texts[lo:hi])
-                d, v, x = chain.known(hashed_docs, hashes)
+                d, v, x = every.known(hashed_docs, hashes)
                 at = pa.array(np.searchsorted(d, np.arange(hi - lo + 1)), pa.int32())
                 part = b.slice(lo, hi - lo).drop_columns(["text"])
                 more = [pa.ListArray.from_arrays(at, pa.array(v.astype(np.int64))), pa.ListArray.from_arrays(at, pa.array(x)),
                         pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1) * _DENSE, pa.int32()), pa.array(dense.ravel()))]
                 yield pa.RecordBatch.from_arrays([*part.columns, *more], [*part.schema.names, "at", "x", "dense"])
 
-    schema = "doc_id long, " + ", ".join(f"{c} double" for c in categories) + ", at array<long>, x array<double>, dense array<double>"
-    table = (sample.select(F.col("doc_id").cast("long").alias("doc_id"), *categories, "text").mapInArrow(known, schema)
-             .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(folds)))
+    schema = "doc_id long, fold long, " + ", ".join(f"{c} double" for c in categories) + ", at array<long>, x array<double>, dense array<double>"
+    table = (sample.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("fold").cast("long").alias("fold"), *categories, "text")
+             .mapInArrow(known, schema)
              .orderBy("doc_id").toArrow())                  # at most ``rows`` rows of the vocabulary's features
     n = table.num_rows
     if n == 0:
@@ -274,18 +298,20 @@ def fit(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, rows: int = S
     dense = flat(table.column("dense").combine_chunks()).flatten().to_numpy().reshape(n, _DENSE)
     col, value = flat(at).flatten().to_numpy(), flat(x).flatten().to_numpy()
     fold = table.column("fold").to_numpy()
+    marks = [np.isin(every.vocabulary, words) for words in chosen]
     earlier: list[np.ndarray] = []
     for c in categories:
         y = table.column(c).to_numpy(zero_copy_only=False).astype(float)
-        x_all = _Rows(row, col, value, np.column_stack([dense, *earlier]) if earlier else dense, len(chain.vocabulary))
+        x_all = _Rows(row, col, value, np.column_stack([dense, *earlier]) if earlier else dense, len(every.vocabulary))
         told = ~np.isnan(y)
-        chain.weights.append(fit_logistic(x_all.take(told), y[told]))
-        odds = np.zeros(n)
+        chain.weights.append(fit_logistic(x_all.within(marks[0]).take(told), y[told]))
+        out_of_fold = np.zeros(n)
         for k in range(folds):
             out = fold == k
             if out.any():
-                odds[out] = x_all.take(out).dot(fit_logistic(x_all.take(told & ~out), y[told & ~out]))
-        earlier.append(np.clip(odds, -8, 8))
+                x = x_all.within(marks[k + 1])
+                out_of_fold[out] = _probability(x.take(out).dot(fit_logistic(x.take(told & ~out), y[told & ~out])))
+        earlier.append(out_of_fold)
     return chain
 
 
