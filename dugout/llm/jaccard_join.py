@@ -17,7 +17,8 @@ number of links; copies are never expanded into pairs.
 
 No pair is ever a row. A bucket or group is dealt out in blocks of bounded rows and shingles, and each
 pair of blocks is a task of its own that returns a row per linked member: its links and one edge of
-a spanning forest. So a large group of near copies costs its comparisons, but no memory or rows in proportion.
+a spanning forest. So a large group of near copies costs its comparisons, but no memory in proportion; its m members
+are copied to all blocks they meet, m * m / BLOCK_ROWS rows that pass the shuffle and are never kept.
 
 Cases: a text of 1-4 words is one shingle; null texts and texts without words link to nothing (a class
 each); null doc_ids are linked like others, a class without any doc_id reports null; repeated rows are
@@ -297,6 +298,7 @@ def verified_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, t: fl
     nodes = groups.select(F.col("node").alias("key"), "root")
     members = staged(nodes.join(classes, "key"), "jaccard-members")
     sizes = members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("long").alias("blocks"))
+    sizes = small(staged(sizes, "jaccard-sizes"))            # a row a group: its members stay where they are
     members = small(staged(members.join(sizes, "root").select(
         F.col("doc_id").alias("_doc"), F.col("text_id").alias("_text"), "key", "root", "blocks", "copies", "sig"), "jaccard-wanted"), 50_000)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_id"), "text")
@@ -335,7 +337,8 @@ def _rooted(docs: DataFrame, t: float) -> DataFrame:
     counts = links.groupBy("key").agg(F.sum("links").alias("links"))
     marked = (classes.select("key", F.col("doc_id").alias("copy_id"), "copies").join(roots, "key", "left").join(counts, "key", "left")
               .withColumn("root", F.coalesce("root", "key")))
-    ids = marked.groupBy("root").agg(F.min("copy_id").alias("class_id"))
+    marked = staged(marked, "jaccard-classed")
+    ids = small(staged(marked.groupBy("root").agg(F.min("copy_id").alias("class_id")), "jaccard-ids"))
     marked = staged(marked.join(ids, "root").select(
         "key", "root", "class_id", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
         .where((F.col("n_links") > 0)), "jaccard-marked")
@@ -350,6 +353,7 @@ def one_of_each(docs: DataFrame, t: float = SIMILARITY) -> DataFrame:
     found = staged(_rooted(docs, t), "jaccard-documents")
     linked = found.where("n_links > 0")
     kept = linked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id")).alias("w"))
+    kept = small(staged(kept, "jaccard-kept"))
     linked_ids = linked.groupBy("root", "doc_id", "text_id").agg(F.count("*").alias("times"))
     judged = (linked_ids.alias("l").join(kept.alias("k"), F.col("l.root") == F.col("k.root"))
               .select(F.col("l.doc_id").alias("_doc"), F.col("l.text_id").alias("_text"), "times",
