@@ -17,6 +17,7 @@ import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dugout.session import shared_dir
 
@@ -148,27 +149,73 @@ def read_layer(spark: SparkSession, root: str, layer: str, name: str, tables: di
     return spark.read.parquet(f"{_path(root, layer, name)}/{version}")
 
 
-def refresh_aggregates(wh, root: str, params=None) -> dict[str, str]:
-    """Rebuild the three analytical aggregates and the league constants from the raw layer and show all seven together."""
+def refresh_aggregates(wh, root: str, params=None, seasons: list[int] | None = None) -> dict[str, str]:
+    """Rebuild the three analytical aggregates and the league constants from the raw layer and show all seven together.
+
+    With ``seasons`` only the facts of those seasons are read (their folders of the raw layer): every table is a row or more
+    for each season of its own, so the new version is the current one's other seasons and the rebuilt ones. That equals
+    a full rebuild if no other season's facts, and no ``params``, changed since (``refresh_changed`` finds the seasons)."""
     from dugout.params import Params
     from dugout.plans import aggregates as A
     from dugout.plans.constants import LeagueConstants
     params = params or Params()
     places: dict[str, str] = {}
+    spark = wh.people.sparkSession
+    current = {} if seasons is None else read_set(spark, root, "analytics")
+    if seasons is not None:
+        wh = wh.of_seasons(seasons)
 
     def keep(df: DataFrame, name: str) -> DataFrame:
+        if seasons is not None:
+            held = read_layer(spark, root, "analytics", name, current)
+            df = df.unionByName(held.where(~held["year_id"].isin(seasons)))
         places[name] = stage(df, root, "analytics", name)
-        return df.sparkSession.read.schema(df.schema).parquet(places[name])
+        return spark.read.schema(df.schema).parquet(places[name])
 
     constants = LeagueConstants(wh, params, keep)
     for name in ("fip_sums", "fip_mean", "woba_mean", "mart_league"):
         getattr(constants, name)
     keep(A.team_payroll(wh.salaries), "mv_team_payroll")
     keep(A.team_physiques(wh.batting, wh.people), "mv_team_physiques")
-    spark = keep(A.league_pitching_baseline(wh.pitching, params), "mv_league_pitching_baseline").sparkSession
+    keep(A.league_pitching_baseline(wh.pitching, params), "mv_league_pitching_baseline")
     return commit(spark, root, "analytics", places)
 
 
+def changed_seasons(old, new) -> list[int]:
+    """Seasons whose aggregates can differ between two warehouses: those of which any batting, pitching or salary row
+    differs, and those in which a player bats whose weight or height differs.
+
+    A season's rows are compared by their number and the sum of their 64-bit hashes, one row a season after the map-side
+    combine; only the list of seasons comes to the driver."""
+    def mark(df: DataFrame, columns: list[str], by: str) -> DataFrame:
+        whole = F.xxhash64(*[x for c in columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))])   # nulls count by their place
+        return df.groupBy(by).agg(F.count("*").alias("n"), F.sum(whole.cast("decimal(38,0)")).alias("h"))
+
+    def differ(a: DataFrame, b: DataFrame, columns: list[str], by: str) -> DataFrame:
+        both = mark(a, columns, by).unionByName(mark(b, columns, by))
+        return both.groupBy(by).agg(F.count("*").alias("sides"), F.count_distinct("n", "h").alias("marks")).where("sides < 2 OR marks > 1").select(by)
+
+    found = None
+    for t in ("batting", "pitching", "salaries"):
+        a, b = getattr(old, t), getattr(new, t)
+        part = differ(a, b, sorted(b.columns), "year_id")
+        found = part if found is None else found.unionByName(part)
+    players = differ(old.people, new.people, ["weight", "height"], "player_id")
+    found = found.unionByName(new.batting.select("player_id", "year_id").join(players, "player_id", "left_semi").select("year_id"))
+    return sorted(r["year_id"] for r in found.where("year_id IS NOT NULL").distinct().collect())     # a row a season
+
+
+def refresh_changed(spark: SparkSession, root: str, before: dict[str, str], params=None) -> list[int]:
+    """Refresh the aggregates for the seasons that a load changed; returns them. ``before``: the raw layer's set
+    (``read_set``) of the last refresh, whose folders are kept for ``KEEP`` loads."""
+    from dugout.sources.warehouse import Warehouse
+    new = Warehouse.from_parquet(spark, root)
+    seasons = changed_seasons(Warehouse.from_parquet(spark, root, before), new)
+    if seasons:
+        refresh_aggregates(new, root, params, seasons)
+    return seasons
+
+
 def _table_name(root: str, layer: str, name: str, folder: str) -> str:
     """Catalog name of a version of a bucketed table; root and folder are part of it, so two never meet."""
     return f"dugout_{hashlib.sha1(f'{root.rstrip("/")}/{folder}'.encode()).hexdigest()[:12]}_{layer}_{name}"

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dugout.functions.rates import with_batting_rates, with_full_name, with_pitching_rates
 
@@ -49,10 +50,11 @@ class Warehouse:
         return Warehouse.derive(raw_tables(spark, sf_dir))
 
     @staticmethod
-    def from_parquet(spark: SparkSession, root: str) -> "Warehouse":
-        """Tables written by ``dugout.sources.loader.load_all`` (derived columns already stored), all of one load."""
+    def from_parquet(spark: SparkSession, root: str, tables: dict[str, str] | None = None) -> "Warehouse":
+        """Tables written by ``dugout.sources.loader.load_all`` (derived columns already stored), all of one load: the
+        current one, or that of ``tables``, a set read before."""
         from dugout.sources.sinks import read_layer, read_set
-        current = read_set(spark, root, "raw")
+        current = read_set(spark, root, "raw") if tables is None else tables
         return Warehouse({t: (lambda t=t: read_layer(spark, root, "raw", t, current)) for t in TABLE_NAMES})
 
     @staticmethod
@@ -68,5 +70,10 @@ class Warehouse:
             return lambda: read_bucketed(spark, root, "raw", t, buckets, tables=current)
         return Warehouse({t: src(t) for t in TABLE_NAMES})
 
+    def of_seasons(self, seasons: list[int]) -> "Warehouse":
+        """The same warehouse with the facts of some seasons only (whole folders of a written one)."""
+        of = lambda t: (lambda: self._get(t).where(F.col("year_id").isin(seasons)))
+        return Warehouse({t: of(t) if t in ("batting", "pitching", "salaries") else (lambda t=t: self._get(t)) for t in TABLE_NAMES})
+
     def tables(self) -> dict[str, DataFrame]:
         return {n: self._get(n) for n in TABLE_NAMES}
