@@ -10,8 +10,10 @@ runs first so the dimension join sees k rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def lookup(df: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -27,10 +29,20 @@ def orphans(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFra
     return child.join(parent.select(*keys), list(keys), "left_anti")
 
 
+def orphan_counts(children: dict[str, DataFrame], parent: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: for each child table, a column of its name with its rows that have no parent.
+
+    The keys of all children are counted together (one row a key after the map-side combine), so the parent is
+    joined once whatever the number of children, and no fact rows are shuffled for it."""
+    tagged = [df.select(*keys, F.lit(name).alias("_child")) for name, df in children.items()]
+    counts = reduce(DataFrame.unionByName, tagged).groupBy(*keys).agg(
+        *[F.count_if(F.col("_child") == name).alias(name) for name in children])
+    return orphans(counts, parent, keys).agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in children])
+
+
 def attach(df: DataFrame, extra: DataFrame, keys: Sequence[str]) -> DataFrame:
     """LEFT join of per-key columns onto ``df`` with NULL-safe key equality (grouping keys may be
     NULL, and a NULL group must still find its own row); the key columns appear once."""
-    from functools import reduce
     e = extra.select(*[extra[k].alias(f"_x_{k}") for k in keys],
                      *[extra[c] for c in extra.columns if c not in keys])
     cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(e[f"_x_{k}"]) for k in keys])

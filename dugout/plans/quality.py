@@ -2,8 +2,8 @@
 the award invariants.
 
 The reference scans each table once per check; here each table is read in one conditional
-aggregate pass (people: 6 measures, pitching: 3, salaries: 3, batting/teams: 1), plus three
-anti-joins for orphans and one grouped aggregate for stint density.
+aggregate pass (people: 6 measures, pitching: 3, salaries: 3, batting/teams: 1), plus one
+anti-join a parent for orphans and one grouped aggregate for stint density.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from dugout.functions.aggregates import count_if
 from dugout.functions.numeric import div_half_up
 from dugout.functions.text import percent_text
 from dugout.operators import expectations as X
-from dugout.operators.joins import orphans
+from dugout.operators.joins import orphan_counts, orphans
 from dugout.params import Params
 from dugout.sources.sinks import materialize
 from dugout.sources.warehouse import Warehouse
@@ -96,18 +96,14 @@ def dq_ledger(wh: Warehouse, params: Params = Params()) -> DataFrame:
             ("range", "salaries.salary > 0", _pf("sl = 0"), "sl", "0", None),
         ]),
     ]
-    orphan_counts = [
-        (orphans(wh.batting.select("player_id"), wh.people, ["player_id"]),
-         "batting.player_id → people", _pf("n = 0"), None),
-        (orphans(wh.pitching.select("player_id"), wh.people, ["player_id"]),
-         "pitching.player_id → people", _pf("n = 0"), None),
-        (orphans(wh.salaries.select("team_id", "year_id"), wh.teams, ["team_id", "year_id"]),
-         "salaries.(team_id,year_id) → teams",
-         "CASE WHEN n = 0 THEN 'PASS' WHEN n < 50 THEN 'WARN' ELSE 'FAIL' END",
-         "Some lg_id mismatches are historical (e.g., 1994 strike year)"),
-    ]
-    for df, name, status, note in orphan_counts:
-        parts.append(_ledger_rows(df.agg(n_all.alias("n")), [("refintegrity", name, status, "n", "0", note)]))
+    people_keys = orphan_counts({"batting": wh.batting, "pitching": wh.pitching}, wh.people, ["player_id"])
+    team_keys = orphan_counts({"salaries": wh.salaries}, wh.teams, ["team_id", "year_id"])
+    parts.append(_ledger_rows(people_keys, [
+        ("refintegrity", f"{t}.player_id → people", _pf(f"{t} = 0"), t, "0", None) for t in ("batting", "pitching")]))
+    parts.append(_ledger_rows(team_keys, [
+        ("refintegrity", "salaries.(team_id,year_id) → teams",
+         "CASE WHEN salaries = 0 THEN 'PASS' WHEN salaries < 50 THEN 'WARN' ELSE 'FAIL' END", "salaries", "0",
+         "Some lg_id mismatches are historical (e.g., 1994 strike year)")]))
     # one grouped pass over batting gives its row count and its stint gaps
     stints = wh.batting.groupBy("player_id", "year_id").agg(F.max("stint").alias("max_s"), n_all.alias("n"))
     parts.append(_ledger_rows(stints.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("c"), count_if(c("max_s") != c("n")).alias("n")), [

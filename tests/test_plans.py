@@ -91,3 +91,16 @@ def test_headline_plans_have_no_pairwise_or_python_operators(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython", plan)
         assert "*(" in plan                                   # whole-stage codegen present
+
+
+def test_children_of_one_parent_meet_it_once(spark, make_wh):
+    from dugout.operators.joins import orphan_counts
+    a = spark.createDataFrame([("p1",), ("p9",), ("p9",), (None,)], "player_id string")
+    b = spark.createDataFrame([("p1",), ("p8",)], "player_id string")
+    parent = spark.createDataFrame([("p1",), ("p2",)], "player_id string")
+    out = orphan_counts({"a": a, "b": b}, parent, ["player_id"])
+    assert out.first().asDict() == {"a": 3, "b": 1}                       # a NULL key has no parent
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") == 1
+    none = orphan_counts({"a": a.limit(0), "b": b.limit(0)}, parent, ["player_id"])
+    assert none.first().asDict() == {"a": 0, "b": 0}
