@@ -32,12 +32,14 @@ def orphans(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFra
 def orphan_counts(children: dict[str, DataFrame], parent: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: for each child table, a column of its name with its rows that have no parent.
 
-    The keys of all children are counted together (one row a key after the map-side combine), so the parent is
-    joined once whatever the number of children, and no fact rows are shuffled for it."""
-    tagged = [df.select(*keys, F.lit(name).alias("_child")) for name, df in children.items()]
-    counts = reduce(DataFrame.unionByName, tagged).groupBy(*keys).agg(
-        *[F.count_if(F.col("_child") == name).alias(name) for name in children])
-    return orphans(counts, parent, keys).agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in children])
+    The keys of all children and of the parent are counted together (one row a key after the map-side combine), so there is
+    one exchange whatever the number of children, and no fact rows are shuffled for it. It is an aggregate and no
+    anti-join, which Catalyst would push below the union and so plan once a child. Keys with a NULL part have no parent."""
+    parts = [df.select(*keys, F.lit(name).alias("_from")) for name, df in children.items()]
+    parts.append(parent.select(*keys, F.lit(None).cast("string").alias("_from")).dropna(subset=list(keys)))
+    counts = reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(
+        F.count_if(F.col("_from").isNull()).alias("_parents"), *[F.count_if(F.col("_from") == name).alias(name) for name in children])
+    return counts.where("_parents = 0").agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in children])
 
 
 def attach(df: DataFrame, extra: DataFrame, keys: Sequence[str]) -> DataFrame:

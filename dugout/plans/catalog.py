@@ -22,12 +22,14 @@ from dugout.plans import sabermetrics as K
 from dugout.plans import service as V
 from dugout.plans import staging as S
 from dugout.plans.constants import LeagueConstants
+from dugout.plans.names import indexed_search
 from dugout.sources.fixtures import read
 from dugout.sources.loader import key_report, row_counts
 from dugout.sources.warehouse import Warehouse
 
 P = Params.fixture()
 NAME_NEEDLE = "ding cust"
+INDEXED_NEEDLE = "R#00000012"
 c = F.col
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +63,7 @@ QUERIES_EXACT: dict[str, Query] = {
                                                               "full_name"),
     "name_search": lambda s, d: _wh(s, d).people.where(contains_ci(c("full_name"), NAME_NEEDLE))
         .select("player_id", "full_name"),
+    "name_search_indexed": lambda s, d: indexed_search(_wh(s, d).people, INDEXED_NEEDLE),
     "stg_people": _stg(lambda w: S.stg_people(w.people)),
     "stg_teams": _stg(lambda w: S.stg_teams(w.teams, P)),
     "stg_batting": _stg(lambda w: S.stg_batting(w.batting)),

@@ -3,7 +3,7 @@ the award invariants.
 
 The reference scans each table once per check; here each table is read in one conditional
 aggregate pass (people: 6 measures, pitching: 3, salaries: 3, batting/teams: 1), plus one
-anti-join a parent for orphans and one grouped aggregate for stint density.
+count of keys a parent for orphans and one grouped aggregate for stint density.
 """
 
 from __future__ import annotations

@@ -204,6 +204,7 @@ def persist_raw(spark: SparkSession, sf_dir: str, root: str, buckets: int | None
     batting, pitching, salaries) are instead hash-bucketed on ``player_id`` so player joins need
     no shuffle (read back with ``Warehouse.from_bucketed``).
     """
+    from dugout.plans.names import stage_name_index
     from dugout.sources.sinks import commit, stage, stage_bucketed, write_layer
     from dugout.sources.warehouse import Warehouse
     t = {n: read(spark, sf_dir, n) for n in ("nation", "customer", "orders", "lineitem")}
@@ -222,4 +223,4 @@ def persist_raw(spark: SparkSession, sf_dir: str, root: str, buckets: int | None
             places[name] = stage_bucketed(df, root, "raw", name, buckets)
         else:
             places[name] = stage(df, root, "raw", name, ("year_id",) if name in ("batting", "pitching", "salaries") else ())
-    commit(spark, root, "raw", places)
+    commit(spark, root, "raw", places | stage_name_index(spark, root, places["people"]))

@@ -105,17 +105,18 @@ def load_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def load_all(spark: SparkSession, csv_paths: dict[str, str], root: str) -> dict[str, DataFrame]:
-    """Load, derive, write, key-check and show all five tables under ``root/raw`` (rerunnable).
+    """Load, derive, write, key-check and show all five tables and the name postings under ``root/raw`` (rerunnable).
 
     Every CSV is read once: keys are checked on the written tables, and only when all five pass do they become
     current, together; otherwise the previous load stays whole.  Seasons are folders of the fact tables."""
+    from dugout.plans.names import stage_name_index
     from dugout.sources.sinks import commit, read_layer, read_set, stage
     from dugout.sources.warehouse import Warehouse
     wh = Warehouse.derive({t: read_csv(spark, csv_paths[t], t) for t in TABLES})
     staged = {t: stage(df, root, "raw", t, ("year_id",) if t in SEASON_TABLES else ()) for t, df in wh.tables().items()}
     for t, path in staged.items():
         enforce_key(spark.read.parquet(path), t)
-    commit(spark, root, "raw", staged)
+    commit(spark, root, "raw", staged | stage_name_index(spark, root, staged["people"]))
     current = read_set(spark, root, "raw")
     return {t: read_layer(spark, root, "raw", t, current) for t in TABLES}
 

@@ -61,9 +61,9 @@ def _fresh(root: str, layer: str, name: str, kind: str = "") -> str:
     return f"{_path(root, layer, name)}/v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}{kind}"
 
 
-def stage(df: DataFrame, root: str, layer: str, name: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Write a version that no manifest names yet; returns its folder."""
-    target = _fresh(root, layer, name)
+def stage(df: DataFrame, root: str, layer: str, name: str, partition_by: tuple[str, ...] = (), folder: str | None = None) -> str:
+    """Write a version that no manifest names yet; returns its folder (``folder``: its name, a fresh one if not given)."""
+    target = f"{_path(root, layer, name)}/{folder}" if folder else _fresh(root, layer, name)
     w = df.hint("rebalance", *partition_by).write if partition_by else df.write
     w = w.partitionBy(*partition_by) if partition_by else w
     w.mode("errorifexists").parquet(target)

@@ -69,3 +69,41 @@ def test_statement_rollup_normalises_and_excludes(spark):
     assert (r.calls, str(r.mean_ms), str(r.stddev_ms), str(r.total_s)) == (2, "15.00", "5.00", "0.03")
     assert [x.query for x in statement_stats(log, "q", "ms", k=1).collect()] == ["SELECT 1 FROM t"]
     assert log.select(fingerprint(F.col("q"), 5).alias("f")).first().f == "SELEC"
+
+
+def test_relationships_meet_their_parent_once(spark):
+    parent = spark.createDataFrame([("1",), ("2",)], "pid string")
+    a = spark.createDataFrame([("1",), ("3",), ("3",), (None,)], "pid string")
+    b = spark.createDataFrame([("2",), ("4",)], "k string")
+    n = spark.createDataFrame([(1,), (5,), (6,), (6,)], "pid int")
+    models = {"a": a, "b": b, "n": n, "parent": parent, "empty": a.limit(0)}
+    rel = X.relationships
+    suite = {"a": [rel("pid", "parent", "pid"), X.not_null("pid")], "b": [rel("k", "parent", "pid")], "n": [rel("pid", "parent", "pid")],
+             "empty": [rel("pid", "parent", "pid")]}
+    res = X.evaluate_all(models, suite)
+    keys = [line for line in res._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning(_k" in line]
+    assert {(r.model, r.test_name): (r.column_name, r.failures, r.status) for r in res.collect()} == {
+        ("a", "relationships(parent.pid)"): ("pid", 2, "fail"), ("a", "not_null"): ("pid", 1, "fail"),
+        ("b", "relationships(parent.pid)"): ("k", 1, "fail"), ("n", "relationships(parent.pid)"): ("pid", 3, "fail"),
+        ("empty", "relationships(parent.pid)"): ("pid", 0, "pass")}
+    assert len(keys) == 2                                      # one for text keys, one for numbers
+
+
+def test_source_suite_has_one_exchange_a_parent(spark):
+    """Checked on the physical plan: an anti-join would be pushed below the union of the children and planned for each."""
+    from dugout.plans.quality import dq_ledger, expect_sources
+    from dugout.sources.warehouse import Warehouse
+    wh = Warehouse.from_testdata(spark, "/root/testdata/sf0.001")
+    plan = expect_sources(wh)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(_k") == 1 and "LeftAnti" not in plan
+    plan = dq_ledger(wh)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" not in plan
+
+
+def test_orphans_with_null_and_hot_keys(spark):
+    from dugout.operators.joins import orphan_counts, orphans
+    parent = spark.createDataFrame([("a", 1), ("a", 1), (None, 2), ("b", None)], "t string, y int")
+    child = spark.createDataFrame([("a", 1)] * 50 + [("a", 2)] * 30 + [(None, 2), ("b", None), (None, None)], "t string, y int")
+    got = orphan_counts({"x": child, "none": child.limit(0)}, parent, ["t", "y"]).first()
+    assert (got.x, got.none) == (33, 0) and orphans(child, parent, ["t", "y"]).count() == 33
+    assert orphan_counts({"x": child}, parent.limit(0), ["t", "y"]).first().x == 83
